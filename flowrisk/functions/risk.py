@@ -25,14 +25,19 @@ def probability_of(label: Column, by_class: Mapping[str, Column]) -> Column:
     return F.coalesce(*[F.when(label == name, p) for name, p in by_class.items()])
 
 
+def _best(by_class: Mapping[str, Column]) -> Column:
+    p = list(by_class.values())
+    return F.greatest(*p) if len(p) > 1 else p[0]
+
+
 def predicted_label(by_class: Mapping[str, Column]) -> Column:
     """Class of highest probability; ties go to the first class name in the alphabet."""
-    best = F.greatest(*by_class.values())
+    best = _best(by_class)
     return F.coalesce(*[F.when(by_class[name] == best, F.lit(name)) for name in sorted(by_class)])
 
 
 def confidence(by_class: Mapping[str, Column]) -> Column:
-    return half_up(F.greatest(*by_class.values()), 4)
+    return half_up(_best(by_class), 4)
 
 
 def is_attack(label: Column) -> Column:
@@ -52,9 +57,10 @@ def severity(label: Column) -> Column:
     return _lookup(SEVERITY, label, DEFAULT_SEVERITY)
 
 
-def risk_score(label: Column, p_benign: Column, p_label: Column) -> Column:
+def risk_score(label: Column, p_benign: Column, p_label: Column, attack_p: Column) -> Column:
+    """0 to 100; ``attack_p`` is the unrounded `attack_probability`."""
     benign = F.greatest(F.lit(0.0), (1.0 - F.coalesce(p_benign, F.lit(0.0))) * CONFIDENCE_WEIGHT)
-    sure = F.coalesce(p_label, attack_probability(label, p_benign, p_label))
+    sure = F.coalesce(p_label, attack_p)
     attack = clamp(severity(label) * SEVERITY_WEIGHT + sure * CONFIDENCE_WEIGHT, 0.0, 100.0)
     return half_up(F.when(label == BENIGN, benign).otherwise(attack), 2)
 
@@ -88,13 +94,6 @@ def rounded_probabilities(probabilities: Column) -> Column:
     return F.transform_values(probabilities, lambda _, p: half_up(p, 4))
 
 
-def score_columns(label: Column, p_benign: Column, p_label: Column) -> dict[str, Column]:
-    return {
-        "attack_probability": half_up(attack_probability(label, p_benign, p_label), 4),
-        "risk_score": risk_score(label, p_benign, p_label),
-    }
-
-
 def verdict_columns(label: Column, score: Column) -> dict[str, Column]:
     """What follows from label and score. A later projection than the score's, so that
     the score is computed once."""

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from itertools import combinations
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from flowrisk.operators.clean import numeric_columns
@@ -50,17 +51,41 @@ def crosstab(df: DataFrame, row: str, column: str, values: Sequence[str] | None
 def correlation(df: DataFrame, columns: Sequence[str] | None = None, first: int = 20) -> DataFrame:
     """Pearson correlation of each pair of the first numeric columns, below the diagonal.
 
-    One scan; a pair ignores rows where either side is missing.
+    A pair ignores rows where either side is missing.
     """
     columns = list(columns or numeric_columns(df))[:first]
-    pairs = [(a, b) for b, a in combinations(columns, 2)]
-    if not pairs:
+    if len(columns) < 2:
         raise ValueError("a correlation needs two numeric columns")
     values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    row = values.agg(*[F.corr(a, b).alias(f"r_{i}") for i, (a, b) in enumerate(pairs)])
-    cells = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r_{i}").alias("r"))
-             for i, (a, b) in enumerate(pairs)]
-    return row.select(F.explode(F.array(*cells)).alias("x")).select("x.*")
+    means = values.agg(*[F.avg(c) for c in columns]).first()
+    shift = np.array([m if m is not None else 0.0 for m in means])
+
+    def products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Sums over the task's rows for each pair, of values taken from the mean."""
+        size = len(shift)
+        total = np.zeros((4, size, size))
+        for batch in batches:
+            v = batch.to_numpy("float64")
+            there = (~np.isnan(v)).astype("float64")
+            v = np.where(there > 0, v - shift, 0.0)
+            total += np.stack([there.T @ there, v.T @ v, v.T @ there, (v * v).T @ there])
+        a, b = np.tril_indices(size, -1)
+        yield pd.DataFrame({
+            "a": a, "b": b, "n": total[0, a, b], "ab": total[1, a, b],
+            "sa": total[2, a, b], "sb": total[2, b, a], "aa": total[3, a, b], "bb": total[3, b, a],
+        })
+
+    # A `corr` per pair makes more generated code than the JVM compiles; one matrix
+    # product per Arrow batch does all pairs, and each task hands on one row per pair.
+    sums = values.mapInPandas(products, "a int, b int, " + ", ".join(
+        f"{c} double" for c in ("n", "ab", "sa", "sb", "aa", "bb")))
+    sums = sums.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in ("n", "ab", "sa", "sb", "aa", "bb")])
+    n = F.col("n")
+    joint = F.col("ab") - F.col("sa") * F.col("sb") / n
+    spread = (F.col("aa") - F.col("sa") * F.col("sa") / n) * (F.col("bb") - F.col("sb") * F.col("sb") / n)
+    names = F.array(*map(F.lit, columns))
+    return sums.select(names[F.col("a")].alias("a"), names[F.col("b")].alias("b"),
+                       F.when((n > 0) & (spread > 0), joint / F.sqrt(spread)).alias("r"))
 
 
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from flowrisk.functions.numeric import clamp, half_up
+from flowrisk.functions.numeric import clamp, half_up, settled
 from flowrisk.functions.risk import risk_level
 from flowrisk.operators.ordered import HOT_ROWS, KeyOrder
 from flowrisk.schema import (
@@ -68,12 +68,12 @@ def _trend(df: DataFrame, back: Callable[[Column, int], Column], window: int) ->
 
 
 def _outputs(window: int) -> dict[str, Column]:
-    n, slope, momentum = F.col("_n"), F.col("_slope"), F.col("_momentum")
+    n, slope, momentum = F.col("_n"), F.col("_slope"), settled(F.col("_momentum"))
     warm = n >= 2
-    slope_signal = clamp(slope * SLOPE_SCALE, 0.0, 100.0)
+    slope_signal = settled(clamp(slope * SLOPE_SCALE, 0.0, 100.0))
     ratio_signal = F.col("_suspicious") / n * 100.0
     blend = SLOPE_WEIGHT * slope_signal + MOMENTUM_WEIGHT * momentum + RATIO_WEIGHT * ratio_signal
-    score = F.when(warm, clamp(blend, 0.0, 100.0)).otherwise(0.0)
+    score = F.when(warm, settled(clamp(blend, 0.0, 100.0))).otherwise(0.0)
     direction = (
         F.when(slope_signal >= 40.0, "SHARP_RISE")
         .when(slope_signal >= 15.0, "STEADY_RISE")

@@ -1,10 +1,9 @@
 """Exact order statistics without sorting the table or gathering its values.
 
 `percentile` keeps every distinct value of a column in one task. Here each wanted
-rank is enclosed between two values of the data by approximate percentiles, the
-rows outside are counted exactly, and only the values inside are counted one by
-one. Each round is one aggregation with map-side combine and shrinks the bracket
-by the accuracy of the sketch; a wrong sketch costs a round, never the result.
+position is enclosed in a range of values. A round cuts the range into bins, counts
+them with map-side combine, and goes on with the bin that holds the position. Once a
+range holds few rows, or a single value, its values are counted one by one.
 """
 
 from __future__ import annotations
@@ -15,17 +14,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from flowrisk.functions.numeric import finite
 from flowrisk.operators.small import few_rows
 
-# Brackets with at most this many distinct values are counted out.
+# Ranges with at most this many rows are counted out, up to this many in one task.
 FEW_VALUES = 200_000
-ACCURACY = 10_000
-MAX_ROUNDS = 8
+BINS = 65_536
 
 
-@dataclass
+@dataclass(frozen=True)
 class Bracket:
-    """Values low..high hold the sorted positions first..last of one group's column."""
+    """Values low..high enclose the sorted positions first..last of one group's column."""
 
     first: int
     last: int
@@ -33,22 +32,6 @@ class Bracket:
     high: object
     below: int   # rows under low
     inside: int  # rows from low to high
-    distinct: int  # upper estimate of the different values among them
-
-    def narrow(self, low, high, below: int, upto: int, distinct: int) -> None:
-        """Take the proposed ends that still enclose first..last."""
-        end = self.below + self.inside
-        whole = True
-        if low is not None and below <= self.first:
-            self.low, self.below = low, below
-        else:
-            whole = False
-        if high is not None and upto > self.last:
-            self.high, end = high, upto
-        else:
-            whole = False
-        self.inside = end - self.below
-        self.distinct = distinct if whole else self.inside
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probability: float,
@@ -57,7 +40,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probability: float,
     columns = list(columns)
     if not columns:
         return {}
-    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    values = df.select(*[finite(F.col(c)).alias(c) for c in columns])
     extent = {c: e for (_, c), e in _extent(values, None, columns).items()}
     if max(n for n, _, _ in extent.values()) <= few:
         # Few enough values for the built-in aggregate, all columns in one scan.
@@ -67,7 +50,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probability: float,
     for c, (n, low, high) in extent.items():
         at = probability * (n - 1)
         if n:
-            brackets[None, c, 0] = Bracket(math.floor(at), math.ceil(at), low, high, 0, n, n)
+            brackets[None, c, 0] = Bracket(math.floor(at), math.ceil(at), low, high, 0, n)
             part[c] = at - math.floor(at)
     found = _select(values, None, columns, brackets, few)
     result: dict[str, float | None] = dict.fromkeys(columns)
@@ -85,7 +68,7 @@ def exact_ranks(df: DataFrame, value: str, group: str | None,
     Every group must ask for the same number of positions.
     """
     brackets = {
-        (g, value, t): Bracket(rank, rank, low, high, 0, n, n)
+        (g, value, t): Bracket(rank, rank, low, high, 0, n)
         for (g, _), (n, low, high) in _extent(df, group, [value]).items() if n
         for t, rank in enumerate(ranks(n))
     }
@@ -110,121 +93,101 @@ def _extent(df, group, columns) -> dict:
     }
 
 
-def _select(df, group, columns, brackets: dict[tuple, Bracket], few) -> dict:
+def _select(df, group, columns, brackets: dict[tuple, Bracket], few: int) -> dict:
     """``{(group, column, target): (value at first, value at last)}`` for each bracket."""
-    if not brackets:
-        return {}
-    targets = max(t for _, _, t in brackets) + 1
-    for _ in range(MAX_ROUNDS):
-        if all(b.distinct <= few for b in brackets.values()):
+    brackets = dict(brackets)
+    while True:
+        wide = {k: b for k, b in brackets.items() if b.inside > few and b.low < b.high}
+        if not wide:
             break
-        _round(df, group, columns, targets, brackets)
-    return _count_out(df, group, columns, targets, brackets)
-
-
-def _with_bounds(df, group, columns, targets, rows: dict) -> tuple[DataFrame, Callable]:
-    """Attach per-group numbers to the rows; ``rows[g, c, t]`` is a tuple of values."""
-    if group is None:
-        def pick(c, t, i):
-            got = rows.get((None, c, t))
-            return F.lit(None if got is None else got[i])
-        return df, pick
-    size = len(next(iter(rows.values())))
-    value_type = df.schema[columns[0]].dataType.simpleString()
-    names = [f"_b{t}_{i}" for t in range(targets) for i in range(size)]
-    table = [
-        (g, *[x for t in range(targets) for x in rows.get((g, columns[0], t), (None,) * size)])
-        for g in {g for g, _, _ in rows}
+        narrowed = _pieces(df, group, columns, wide, binned=True)
+        brackets.update(narrowed)
+        if all(narrowed[k].inside == b.inside for k, b in wide.items()):
+            break  # closer than the bins can tell apart
+    spread = {k: b for k, b in brackets.items() if b.low < b.high}
+    if spread:
+        brackets.update(_pieces(df, group, columns, spread, binned=False))
+    return {k: (b.low, b.high) for k, b in brackets.items()}
+
+
+def _pieces(df, group, columns, brackets, binned: bool) -> dict[tuple, Bracket]:
+    """Each bracket shrunk to the bins, or to the values, that hold its positions."""
+    spans = _disjoint(brackets)
+    rows = _in_spans(df, group, columns, spans)
+    keys = ([group] if group else []) + ["i", "j"]
+    piece = F.col("v")
+    if binned:
+        share = (F.col("v") - F.col("low")) / (F.col("high") - F.col("low"))
+        piece = F.least(F.floor(share * BINS), F.lit(BINS - 1))
+    counted = rows.groupBy(*keys, piece.alias("piece")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("least"), F.max("v").alias("most"))
+    # Bins or few values of one span are ordered in one task.
+    upto = Window.partitionBy(*keys).orderBy("piece").rowsBetween(Window.unboundedPreceding, 0)
+    counted = counted.withColumn("upto", F.sum("n").over(upto))
+    asked = [
+        (g, columns.index(c), j, t, brackets[g, c, t].first - below, brackets[g, c, t].last - below)
+        for (g, c), found in spans.items() for j, (_, _, below, targets) in enumerate(found) for t in targets
     ]
-    kinds = [value_type if i < 2 else "bigint" for _ in range(targets) for i in range(size)]
-    schema = f"_g {df.schema[group].dataType.simpleString()}, " + ", ".join(
-        f"{n} {k}" for n, k in zip(names, kinds))
-    bounds = df.sparkSession.createDataFrame(table, schema)
-    # One row per group; the number of groups was checked.
-    joined = df.join(F.broadcast(bounds), F.col(group).eqNullSafe(F.col("_g"))).drop("_g")
-    return joined, lambda c, t, i: F.col(f"_b{t}_{i}")
-
-
-def _inside(c: str, low: Column, high: Column) -> Column:
-    return (F.col(c) >= low) & (F.col(c) <= high)
+    kind = df.schema[group].dataType.simpleString() if group else "string"
+    wanted = F.broadcast(df.sparkSession.createDataFrame(
+        asked, f"_g {kind}, _i int, _j int, t int, first bigint, last bigint"))  # one row per target
+    same = (F.col("i") == F.col("_i")) & (F.col("j") == F.col("_j"))
+    if group:
+        same &= F.col(group).eqNullSafe(F.col("_g"))
+    hits = counted.join(
+        wanted, same & (F.col("upto") > F.col("first")) & (F.col("upto") - F.col("n") <= F.col("last")))
+    found: dict[tuple, list] = {}
+    for row in hits.select("_g", "i", "j", "t", "least", "most", "n", "upto").collect():
+        found.setdefault((row["_g"], columns[row["i"]], row["t"]), []).append(row)
+    result = {}
+    for key, hit in found.items():
+        hit.sort(key=lambda r: r["least"])
+        below = spans[key[:2]][hit[0]["j"]][2] + hit[0]["upto"] - hit[0]["n"]
+        b = brackets[key]
+        result[key] = Bracket(b.first, b.last, hit[0]["least"], hit[-1]["most"], below,
+                              sum(r["n"] for r in hit))
+    return result
 
 
-def _round(df, group, columns, targets, brackets) -> None:
+def _disjoint(brackets: dict[tuple, Bracket]) -> dict[tuple, list]:
+    """``{(group, column): [[low, high, rows below, targets], ...]}``, overlaps merged."""
+    spans: dict[tuple, list] = {}
+    for (g, c, t), b in sorted(brackets.items(), key=lambda item: item[1].low):
+        found = spans.setdefault((g, c), [])
+        if found and b.low <= found[-1][1]:
+            found[-1][1] = max(found[-1][1], b.high)
+            found[-1][3].append(t)
+        else:
+            found.append([b.low, b.high, b.below, [t]])
+    return spans
+
+
+def _in_spans(df, group, columns, spans) -> DataFrame:
+    """One row per value inside a span: group, column ``i``, span ``j`` with its ends, value ``v``."""
+    most = max(map(len, spans.values()))
+    if group:
+        kind, of = df.schema[columns[0]].dataType.simpleString(), df.schema[group].dataType.simpleString()
+        ends = f"array<struct<j:int,low:{kind},high:{kind}>>"
+        table = [(g, [(j, s[0], s[1]) for j, s in enumerate(found)]) for (g, _), found in spans.items()]
+        bounds = F.broadcast(df.sparkSession.createDataFrame(table, f"_g {of}, _spans {ends}"))  # one row per group
+        df = df.join(bounds, F.col(group).eqNullSafe(F.col("_g")))
+
+        def span(c: str, j: int) -> Column:
+            return F.get("_spans", F.lit(j))
+    else:
+        def span(c: str, j: int) -> Column | None:
+            found = spans.get((None, c), [])
+            if j >= len(found):
+                return None
+            low, high = found[j][:2]
+            return F.struct(F.lit(j).alias("j"), F.lit(low).alias("low"), F.lit(high).alias("high"))
+
+    def place(i: int, c: str) -> Column:
+        ends = [e for e in (span(c, j) for j in range(most)) if e is not None]
+        inside = [F.when((F.col(c) >= e["low"]) & (F.col(c) <= e["high"]), e) for e in ends]
+        return F.struct(F.lit(i).alias("i"), F.coalesce(*inside).alias("s"), F.col(c).alias("v"))
+
+    places = [place(i, c) for i, c in enumerate(columns) if any(key[1] == c for key in spans)]
     keys = [group] if group else []
-    ends = {k: (b.low, b.high) for k, b in brackets.items()}
-    rows, pick = _with_bounds(df, group, columns, targets, ends)
-    places = [(i, c, t) for i, c in enumerate(columns) for t in range(targets)]
-    # 1. Propose narrower ends. Percentages must be constants, so the probes are a
-    # grid around each target that all groups share.
-    probes = {(c, t): sorted({p for (_, bc, bt), b in brackets.items() if (bc, bt) == (c, t)
-                              for p in _probes(b)}) for _, c, t in places}
-    proposed = rows.groupBy(*keys).agg(*[
-        F.percentile_approx(F.when(_inside(c, pick(c, t, 0), pick(c, t, 1)), F.col(c)),
-                            probes[c, t] or [0.5], ACCURACY).alias(f"q_{i}_{t}")
-        for i, c, t in places
-    ]).collect()
-    ends = {}
-    for row in proposed:
-        g = row[group] if group else None
-        for i, c, t in places:
-            b = brackets.get((g, c, t))
-            if b is None:
-                continue
-            found = dict(zip(probes[c, t], row[f"q_{i}_{t}"] or []))
-            low, high = _probes(b)
-            ends[g, c, t] = (found.get(low), found.get(high))
-    # 2. Count exactly what lies under and inside them.
-    rows, pick = _with_bounds(df, group, columns, targets, ends)
-    counted = rows.groupBy(*keys).agg(*[
-        agg for i, c, t in places for agg in (
-            F.count_if(F.col(c) < pick(c, t, 0)).alias(f"lt_{i}_{t}"),
-            F.count_if(F.col(c) <= pick(c, t, 1)).alias(f"le_{i}_{t}"),
-            F.approx_count_distinct(
-                F.when(_inside(c, pick(c, t, 0), pick(c, t, 1)), F.col(c))).alias(f"d_{i}_{t}"),
-        )
-    ]).collect()
-    for row in counted:
-        g = row[group] if group else None
-        for i, c, t in places:
-            if (g, c, t) in ends:
-                brackets[g, c, t].narrow(*ends[g, c, t], row[f"lt_{i}_{t}"], row[f"le_{i}_{t}"],
-                                         row[f"d_{i}_{t}"])
-
-
-def _probes(b: Bracket) -> tuple[float, float]:
-    margin = 2.0 / ACCURACY
-    low = max(0.0, (b.first - b.below) / b.inside - margin)
-    high = min(1.0, (b.last - b.below) / b.inside + margin)
-    return (round(low, 6), round(high, 6))
-
-
-def _count_out(df, group, columns, targets, brackets) -> dict:
-    """Count each value inside the brackets and read the wanted positions off."""
-    ends = {k: (b.low, b.high, b.first - b.below, b.last - b.below) for k, b in brackets.items()}
-    rows, pick = _with_bounds(df, group, columns, targets, ends)
-    places = [(i, c, t) for i, c in enumerate(columns) for t in range(targets)]
-    kept = F.array(*[
-        F.when(_inside(c, pick(c, t, 0), pick(c, t, 1)), F.struct(
-            F.lit(i).alias("i"), F.lit(t).alias("t"), F.col(c).alias("v"),
-            pick(c, t, 2).alias("first"), pick(c, t, 3).alias("last")))
-        for i, c, t in places
-    ])
-    keys = ([group] if group else []) + ["i", "t"]
-    values = (
-        rows.select(*([group] if group else []), F.explode(F.array_compact(kept)).alias("x"))
-        .select(*([group] if group else []), "x.*")
-        .groupBy(*keys, "first", "last", "v").agg(F.count(F.lit(1)).alias("n"))
-    )
-    # At most `few` distinct values per target and group are ordered here.
-    upto = Window.partitionBy(*keys).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    hits = (
-        values.withColumn("upto", F.sum("n").over(upto))
-        .filter((F.col("upto") > F.col("first")) & (F.col("upto") - F.col("n") <= F.col("last")))
-        .orderBy("v").collect()
-    )
-    found: dict = {}
-    for row in hits:
-        key = (row[group] if group else None, columns[row["i"]], row["t"])
-        low, _ = found.get(key, (row["v"], None))
-        found[key] = (low, row["v"])
-    return found
+    values = df.select(*keys, (places[0] if len(places) == 1 else F.explode(F.array(*places))).alias("x"))
+    return values.filter(F.col("x.s").isNotNull()).select(*keys, "x.i", "x.s.*", "x.v")

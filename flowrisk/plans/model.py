@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -76,8 +77,10 @@ class FlowModel:
         index = F.create_map(*[F.lit(x) for i, c in enumerate(classes) for x in (c, float(i))])
         weight = F.create_map(*[
             F.lit(x) for c in classes for x in (c, weights[c][1] if params.balanced else 1.0)])
+        # The metadata tells the learner the classes; without it a scan would count them.
+        named = {"ml_attr": {"type": "nominal", "name": "_y", "vals": classes}}
         ready = stats.transform(rows).select(
-            "features", index[F.col(target)].alias("_y"), weight[F.col(target)].alias("_w"))
+            "features", index[F.col(target)].alias("_y", metadata=named), weight[F.col(target)].alias("_w"))
         forest = params.classifier().fit(ready)
         info = {
             "model_type": "random forest",
@@ -154,8 +157,6 @@ class FlowModel:
     @staticmethod
     def load(spark: SparkSession, path: str, fallback: str | None = None) -> FlowModel:
         """Read a saved model; ``fallback`` is a parent folder to try when ``path`` has none."""
-        from pyspark.errors import AnalysisException
-
         try:
             text = spark.read.text(f"{path}/model").first()["value"]
         except AnalysisException:

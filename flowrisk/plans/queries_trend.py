@@ -58,9 +58,10 @@ _GLOBAL_TREND = """
   SELECT flow_id, floor(raw * 1e2 + 0.5e0) / 1e2 AS forecast_risk_score,
     CASE WHEN raw >= 80 THEN 'CRITICAL' WHEN raw >= 50 THEN 'HIGH' WHEN raw >= 25 THEN 'MEDIUM' ELSE 'LOW' END
       AS forecast_risk_level
-  FROM (SELECT flow_id, CASE WHEN n < 2 THEN 0e0 ELSE greatest(0e0, least(100e0,
-      0.45e0 * greatest(0e0, least(100e0, slope * 1000e0)) + 0.35e0 * momentum / (n * (n + 1) / 2e0)
-      + 20e0 * suspicious / n)) END AS raw
+  FROM (SELECT flow_id, CASE WHEN n < 2 THEN 0e0 ELSE floor(greatest(0e0, least(100e0,
+      0.45e0 * floor(greatest(0e0, least(100e0, slope * 1000e0)) * 1e9 + 0.5e0) / 1e9
+      + 0.35e0 * floor(momentum / (n * (n + 1) / 2e0) * 1e9 + 0.5e0) / 1e9
+      + 20e0 * suspicious / n)) * 1e9 + 0.5e0) / 1e9 END AS raw
     FROM (SELECT flow_id, count(*) OVER w AS n,
         CASE WHEN count(*) OVER w >= 2 THEN regr_slope(forecast_attack_prob, rn) OVER w ELSE 0e0 END AS slope,
         sum(risk_score * rn) OVER w - (min(rn) OVER w - 1) * sum(risk_score) OVER w AS momentum,
@@ -136,9 +137,10 @@ def session_windows(spark, folder):
 
 @query(f"""SELECT flow_id, session_id, floor(raw * 1e2 + 0.5e0) / 1e2 AS forecast_risk_score,
     CAST(n AS INTEGER) AS windows_observed
-  FROM (SELECT flow_id, session_id, n, CASE WHEN n < 2 THEN 0e0 ELSE greatest(0e0, least(100e0,
-      0.45e0 * greatest(0e0, least(100e0, slope * 1000e0)) + 0.35e0 * momentum / (n * (n + 1) / 2e0)
-      + 20e0 * suspicious / n)) END AS raw
+  FROM (SELECT flow_id, session_id, n, CASE WHEN n < 2 THEN 0e0 ELSE floor(greatest(0e0, least(100e0,
+      0.45e0 * floor(greatest(0e0, least(100e0, slope * 1000e0)) * 1e9 + 0.5e0) / 1e9
+      + 0.35e0 * floor(momentum / (n * (n + 1) / 2e0) * 1e9 + 0.5e0) / 1e9
+      + 20e0 * suspicious / n)) * 1e9 + 0.5e0) / 1e9 END AS raw
     FROM (SELECT flow_id, session_id, count(*) OVER w AS n,
         CASE WHEN count(*) OVER w >= 2 THEN regr_slope(forecast_attack_prob, rn) OVER w ELSE 0e0 END AS slope,
         sum(risk_score * rn) OVER w - (min(rn) OVER w - 1) * sum(risk_score) OVER w AS momentum,
@@ -172,9 +174,10 @@ def time_bucket_risk(spark, folder):
 
 @query(f"""SELECT host_id, bucket_start, floor(raw * 1e2 + 0.5e0) / 1e2 AS forecast_risk_score,
     CAST(n AS INTEGER) AS windows_observed
-  FROM (SELECT host_id, bucket_start, n, CASE WHEN n < 2 THEN 0e0 ELSE greatest(0e0, least(100e0,
-      0.45e0 * greatest(0e0, least(100e0, slope * 1000e0)) + 0.35e0 * momentum / (n * (n + 1) / 2e0)
-      + 20e0 * suspicious / n)) END AS raw
+  FROM (SELECT host_id, bucket_start, n, CASE WHEN n < 2 THEN 0e0 ELSE floor(greatest(0e0, least(100e0,
+      0.45e0 * floor(greatest(0e0, least(100e0, slope * 1000e0)) * 1e9 + 0.5e0) / 1e9
+      + 0.35e0 * floor(momentum / (n * (n + 1) / 2e0) * 1e9 + 0.5e0) / 1e9
+      + 20e0 * suspicious / n)) * 1e9 + 0.5e0) / 1e9 END AS raw
     FROM (SELECT host_id, bucket_start, count(*) OVER w AS n,
         CASE WHEN count(*) OVER w >= 2 THEN regr_slope(forecast_attack_prob, rn) OVER w ELSE 0e0 END AS slope,
         sum(risk_score * rn) OVER w - (min(rn) OVER w - 1) * sum(risk_score) OVER w AS momentum,

@@ -60,7 +60,8 @@ _VIEWS = {
             FROM classified)""",
     # Trend signals over the last 8 detections of a host.
     "trend": """
-      SELECT *, greatest(0e0, least(100e0, slope * 1000e0)) AS slope_signal
+      SELECT * REPLACE (floor(momentum * 1e9 + 0.5e0) / 1e9 AS momentum),
+        floor(greatest(0e0, least(100e0, slope * 1000e0)) * 1e9 + 0.5e0) / 1e9 AS slope_signal
       FROM (SELECT *, count(*) OVER w AS n,
               CASE WHEN count(*) OVER w >= 2 THEN regr_slope(forecast_attack_prob, rn) OVER w ELSE 0e0 END AS slope,
               (sum(risk_score * rn) OVER w - (min(rn) OVER w - 1) * sum(risk_score) OVER w)
@@ -74,8 +75,8 @@ _VIEWS = {
           ELSE 'LOW' END AS forecast_risk_level,
         CASE WHEN n < 2 THEN 0e0 ELSE floor(n / 8e0 * 1e3 + 0.5e0) / 1e3 END AS forecast_confidence,
         CAST(n AS INTEGER) AS windows_observed
-      FROM (SELECT *, CASE WHEN n < 2 THEN 0e0 ELSE greatest(0e0, least(100e0, 0.45e0 * slope_signal
-              + 0.35e0 * momentum + 0.20e0 * (suspicious * 100e0 / n))) END AS raw FROM trend)""",
+      FROM (SELECT *, CASE WHEN n < 2 THEN 0e0 ELSE floor(greatest(0e0, least(100e0, 0.45e0 * slope_signal
+              + 0.35e0 * momentum + 0.20e0 * (suspicious * 100e0 / n))) * 1e9 + 0.5e0) / 1e9 END AS raw FROM trend)""",
 }
 _ORDER = list(_VIEWS)
 _NEEDS = {"flows": [], "cleaned": ["flows"], "classified": ["flows"], "scored": ["flows", "classified"],

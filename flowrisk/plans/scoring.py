@@ -36,21 +36,38 @@ def add_risk(df: DataFrame, classes: Sequence[str] = CLASSES) -> DataFrame:
     by_class = class_columns(classes)
     label = F.col("predicted_label")
     p_benign = by_class.get(BENIGN, F.lit(None).cast("double"))
-    return df.withColumns({
-        "confidence": risk.confidence(by_class),
-        **risk.score_columns(label, p_benign, risk.probability_of(label, by_class)),
-    }).withColumns(risk.verdict_columns(label, F.col("risk_score")))
+    # Projections in steps: each value is computed once and the generated code stays
+    # small enough for the JVM to compile.
+    return (
+        df.withColumn("_p_label", risk.probability_of(label, by_class))
+        .withColumn("_attack", risk.attack_probability(label, p_benign, F.col("_p_label")))
+        .withColumns({
+            "confidence": risk.confidence(by_class),
+            "attack_probability": half_up(F.col("_attack"), 4),
+            "risk_score": risk.risk_score(label, p_benign, F.col("_p_label"), F.col("_attack")),
+        })
+        .withColumns(risk.verdict_columns(label, F.col("risk_score")))
+        .drop("_p_label", "_attack")
+    )
 
 
 def add_risk_from_map(df: DataFrame, label: str = "predicted_label",
                       probabilities: str = "probabilities") -> DataFrame:
     """Risk columns from a label and a map of class probabilities with any keys."""
     p, name = F.col(probabilities), F.col(label)
-    return df.withColumns({
-        "confidence": half_up(F.array_max(F.map_values(p)), 4),
-        "probabilities": risk.rounded_probabilities(p),
-        **risk.score_columns(name, F.try_element_at(p, F.lit(BENIGN)), F.try_element_at(p, name)),
-    }).withColumns(risk.verdict_columns(name, F.col("risk_score")))
+    p_benign, p_label = F.col("_p_benign"), F.col("_p_label")
+    return (
+        df.withColumns({"_p_benign": F.try_element_at(p, F.lit(BENIGN)), "_p_label": F.try_element_at(p, name)})
+        .withColumn("_attack", risk.attack_probability(name, p_benign, p_label))
+        .withColumns({
+            "confidence": half_up(F.array_max(F.map_values(p)), 4),
+            "attack_probability": half_up(F.col("_attack"), 4),
+            "risk_score": risk.risk_score(name, p_benign, p_label, F.col("_attack")),
+            "probabilities": risk.rounded_probabilities(p),
+        })
+        .withColumns(risk.verdict_columns(name, F.col("risk_score")))
+        .drop("_p_benign", "_p_label", "_attack")
+    )
 
 
 def with_forecast(scored: DataFrame, keys: Sequence[str], order: Sequence[str],

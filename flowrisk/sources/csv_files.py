@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from flowrisk.functions.numeric import number
@@ -22,10 +23,16 @@ _HEADER_JOBS = 16
 
 def csv_paths(spark: SparkSession, folder: str) -> list[str]:
     """All ``*.csv`` under ``folder``, at any depth, sorted. Only lists, reads no content."""
-    files = (
+    reader = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.csv").load(folder).select("path")
+        .option("pathGlobFilter", "*.csv")
     )
+    try:
+        files = reader.load(folder).select("path")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
     return sorted(r["path"] for r in files.collect())
 
 
