@@ -101,7 +101,10 @@ class FlowModel:
         whole = df.withColumn("_input", F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in RESULT_COLUMNS]))
         rows = derive_features(clean_flows(whole, leaks=()), self.derive)
         scored = self.forest.transform(self.stats.transform(rows))
-        p = vector_to_array("probability")
+        # The forest is a function call the optimizer would copy into every filter on a
+        # result column, once per use. A value that depends on the partition stays put;
+        # filters on input columns belong before the scoring.
+        p = F.when(F.spark_partition_id() >= 0, vector_to_array("probability"))
         scored = scored.select("_input.*", p.alias("_p"))
         scored = scored.select("*", *[F.col("_p")[i].alias(f"p_{c}") for i, c in enumerate(self.classes)])
         label = risk.predicted_label({c: F.col(f"p_{c}") for c in self.classes})
