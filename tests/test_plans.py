@@ -4,10 +4,7 @@ import re
 
 import pytest
 
-from flowrisk.plans.registry import QUERIES
-
-# Reduced to a few rows before they meet in one partition.
-REDUCED = {"latest_20", "latest_threats", "incident_report"}
+from flowrisk.plans.catalog import QUERIES
 
 
 def plan(df, capsys):
