@@ -35,13 +35,16 @@ class Bracket:
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probability: float,
-                    few: int = FEW_VALUES) -> dict[str, float | None]:
-    """Linearly interpolated quantile of each column's non-null values; None if it has none."""
+                    few: int = FEW_VALUES, extent: dict | None = None) -> dict[str, float | None]:
+    """Linearly interpolated quantile of each column's non-null values; None if it has none.
+
+    ``extent`` gives each column's (values, least, greatest) where they are known.
+    """
     columns = list(columns)
     if not columns:
         return {}
     values = df.select(*[finite(F.col(c)).alias(c) for c in columns])
-    extent = {c: e for (_, c), e in _extent(values, None, columns).items()}
+    extent = extent or {c: e for (_, c), e in _extent(values, None, columns).items()}
     if max(n for n, _, _ in extent.values()) <= few:
         # Few enough values for the built-in aggregate, all columns in one scan.
         row = values.agg(*[F.percentile(c, F.lit(probability)).alias(c) for c in columns]).first()

@@ -97,11 +97,13 @@ def fit_stats(df: DataFrame, categorical: Sequence[str] = CATEGORICAL_COLUMNS,
     numeric: dict[str, NumericStats] = {}
     if nums:
         values = df.select(*[number(F.col(c)).alias(c) for c in nums])
-        medians = exact_quantiles(values, nums, 0.5, few)
         row = values.agg(F.count(F.lit(1)).alias("_rows"), *[
             agg for i, c in enumerate(nums) for agg in (
-                F.count(c).alias(f"n_{i}"), F.avg(c).alias(f"avg_{i}"), F.var_pop(c).alias(f"var_{i}"))
+                F.count(c).alias(f"n_{i}"), F.min(c).alias(f"lo_{i}"), F.max(c).alias(f"hi_{i}"),
+                F.avg(c).alias(f"avg_{i}"), F.var_pop(c).alias(f"var_{i}"))
         ]).first()
+        extent = {c: (row[f"n_{i}"], row[f"lo_{i}"], row[f"hi_{i}"]) for i, c in enumerate(nums)}
+        medians = exact_quantiles(values, nums, 0.5, few, extent)
         for i, c in enumerate(nums):
             median = medians[c] if medians[c] is not None else 0.0
             numeric[c] = _after_imputing(

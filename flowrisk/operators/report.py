@@ -91,13 +91,15 @@ def incident_report(scored: DataFrame, order: Sequence[str], columns: Sequence[s
         # At most `threats` rows are gathered, newest first.
         F.reverse(F.array_sort(F.collect_list(F.struct(*order, record.alias("flow"))))).alias("rows")
     ).select(F.transform("rows", lambda r: r["flow"]).alias("last_threats"))
-    classes = scored.groupBy("predicted_label").agg(F.count(F.lit(1)).alias("n"))
-    by_class = classes.agg(F.map_from_entries(
-        F.array_sort(F.collect_list(F.struct("predicted_label", "n"))))).scalar()
-    return scored.agg(
-        F.max(order[0]).alias("reported_at"),
-        F.when(F.max(F.col("predicted_label") != BENIGN), "severe").otherwise("secure").alias("status"),
-        F.count(F.lit(1)).alias("flows_evaluated"),
-        F.count_if(F.col("predicted_label") != BENIGN).alias("threats"),
-        F.max_by(record, at).alias("last_flow"),
-    ).withColumns({"class_counts": by_class, "last_threats": last.scalar()})
+    threat = F.col("predicted_label") != BENIGN
+    per_class = scored.groupBy("predicted_label").agg(
+        F.count(F.lit(1)).alias("n"), F.max(at).alias("at"), F.max_by(record, at).alias("flow"))
+    return per_class.agg(
+        F.max("at")[order[0]].alias("reported_at"),
+        F.when(F.max(threat), "severe").otherwise("secure").alias("status"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("flows_evaluated"),
+        F.coalesce(F.sum(F.when(threat, F.col("n"))), F.lit(0)).alias("threats"),
+        F.max_by("flow", "at").alias("last_flow"),
+        # One entry per class.
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("predicted_label", "n")))).alias("class_counts"),
+    ).withColumn("last_threats", last.scalar())

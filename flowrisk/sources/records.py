@@ -60,7 +60,9 @@ def from_payloads(df: DataFrame, payload: str, schema: T.StructType = FLOW_SCHEM
     others = [c for c in df.columns if c != payload]
     return (
         df.filter(_accepted(text))
-        .select(*others, F.posexplode(flows).alias("position", "flow"))
+        # The outer form keeps the optimizer from parsing again just to test for empty arrays.
+        .select(*others, F.posexplode_outer(flows).alias("position", "flow"))
+        .filter(F.col("position").isNotNull())
         .select(*others, "position", "flow.*")
     )
 
