@@ -45,10 +45,6 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probability: float,
         return {}
     values = df.select(*[finite(F.col(c)).alias(c) for c in columns])
     extent = extent or {c: e for (_, c), e in _extent(values, None, columns).items()}
-    if max(n for n, _, _ in extent.values()) <= few:
-        # Few enough values for the built-in aggregate, all columns in one scan.
-        row = values.agg(*[F.percentile(c, F.lit(probability)).alias(c) for c in columns]).first()
-        return row.asDict()
     brackets, part = {}, {}
     for c, (n, low, high) in extent.items():
         at = probability * (n - 1)
