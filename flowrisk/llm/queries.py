@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowrisk.llm import mixing, packing, warc
+from flowrisk.llm import mixing, packing, substring, warc
 from flowrisk.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -16,6 +16,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op3_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix_sources(mixing.document_sizes(table(spark, folder, "documents")))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"),
@@ -35,9 +40,19 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(pieces, capacity)
 
 
-QUERIES = {f.__name__: f for f in (op3_source_mixing, op9_warc, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_source_mixing, op9_warc, op10_best_fit_packing)}
 
 CHECKS = {
+    "op1_substring_dedup": r"""
+      WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+      k AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS h
+            FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w)),
+      hit AS (SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY h) AS m FROM k) WHERE m < doc_id),
+      gone AS (SELECT doc_id, list(DISTINCT p) AS ps FROM (SELECT doc_id, unnest(range(i, i + 50)) AS p FROM hit) GROUP BY doc_id),
+      kept AS (SELECT w.doc_id, len(ws) AS n, coalesce(len(ps), 0) AS g,
+          [ws[p] FOR p IN range(1, len(ws) + 1) IF NOT list_contains(coalesce(ps, []), p)] AS ks
+        FROM w LEFT JOIN gone USING (doc_id))
+      SELECT doc_id, n AS n_words, g AS n_removed, sha256(array_to_string(ks, ' ')) AS kept_sha256 FROM kept""",
     "op9_warc": """
       WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, sha1(coalesce(html, '')) AS d FROM pages),
       g AS (SELECT *, octet_length(b) AS n, max(page_id) OVER (PARTITION BY d, octet_length(b)) AS m FROM p)
