@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowrisk.llm import mixing, packing, substring, warc
+from flowrisk.llm import mixing, near_text, packing, substring, warc
 from flowrisk.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -27,6 +27,10 @@ def op3_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
                         "source", "copies")
 
 
+def op6_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_text.near_duplicates(table(spark, folder, "documents"))
+
+
 def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     r = F.col("response")
     return warc.round_trip(table(spark, folder, "pages"), with_payload=False).select(
@@ -40,7 +44,7 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(pieces, capacity)
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_source_mixing, op9_warc, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_source_mixing, op6_order_minhash, op9_warc, op10_best_fit_packing)}
 
 CHECKS = {
     "op1_substring_dedup": r"""
