@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowrisk.llm import mixing, near_text, packing, substring, warc
+from flowrisk.llm import fingerprint, mixing, near_text, packing, secrets, substring, warc
 from flowrisk.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -31,6 +31,21 @@ def op6_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_text.near_duplicates(table(spark, folder, "documents"))
 
 
+def op7_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    rows = fingerprint.edited_fingerprints(table(spark, folder, "documents"))
+    return rows.withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited", "bins", "edited_bins")
+
+
+def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = secrets.fit(secrets.labelled_samples(docs))
+    found, base = F.col("found"), F.filter("found", lambda s: s["kind"] < 3)
+    count = lambda kind: F.size(F.filter(found, lambda s: s["kind"] == kind)).cast("long")
+    return secrets.scan(docs, model).select(
+        "doc_id", *[count(k).alias(f"n_{name}") for k, name in enumerate(secrets.KINDS)],
+        F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(found).alias("spans"))
+
+
 def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     r = F.col("response")
     return warc.round_trip(table(spark, folder, "pages"), with_payload=False).select(
@@ -44,7 +59,7 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(pieces, capacity)
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_source_mixing, op6_order_minhash, op9_warc, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_source_mixing, op6_order_minhash, op7_fingerprints, op8_secrets, op9_warc, op10_best_fit_packing)}
 
 CHECKS = {
     "op1_substring_dedup": r"""
