@@ -8,9 +8,9 @@ contain anything. Assembly joins the three records of a capture by their identif
 gives one nested row per capture.
 
 Defined cases: null html is an empty payload; null urls and ids are written as empty
-fields and read back as null; rows with equal page_id are separate captures, and of
-equal payloads with equal page_id the first in url order is the response; an empty table
-gives an empty archive and an empty result; further columns are ignored.
+fields and read back as null; rows with equal page_id are separate captures, unless their
+payloads are equal too: then they share identifiers and a type, and each is read back; an
+empty table gives an empty archive and an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import io
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from flowrisk.llm.common import with_table
 from flowrisk.session import shared_path
@@ -48,9 +48,7 @@ def captures(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
         pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
         .withColumn("_sha", F.sha2(F.col("html").cast("binary"), 256))
         .withColumn("_bytes", F.octet_length("html").cast("long"))
-        # Equal rows get numbers, so that each has a key of its own.
-        .withColumn("_n", F.row_number().over(Window.partitionBy("page_id", "_sha").orderBy("url")))
-        .withColumn("_key", F.concat_ws("|", F.coalesce(F.col("page_id").cast("string"), F.lit("-")), "_sha", "_n"))
+        .withColumn("_key", F.concat_ws("|", F.coalesce(F.col("page_id").cast("string"), F.lit("-")), "_sha"))
     )
     # The largest page_id of each payload that occurs again; partial sums keep hot payloads cheap.
     first = (
@@ -60,7 +58,7 @@ def captures(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
         .agg(F.max("page_id").alias("_first"), F.count(F.lit(1)).alias("_copies"))
         .filter("_copies > 1").drop("_copies")
     )
-    target = F.concat_ws("|", F.coalesce(F.col("_first").cast("string"), F.lit("-")), "_sha", F.lit(1))
+    target = F.concat_ws("|", F.coalesce(F.col("_first").cast("string"), F.lit("-")), "_sha")
     return (
         with_table(rows, first.withColumn("_again", F.lit(True)), ["_sha"], "left")
         .withColumn("_of", F.when(F.col("_again") & (target != F.col("_key")), target))
@@ -165,11 +163,12 @@ def assemble(records: DataFrame) -> DataFrame:
     """
     answers = records.filter(F.col("type").isin("response", "revisit"))
     short = ["record_id", "concurrent_to", "block_bytes"]
+    # Captures that share identifiers share these records: one of each is enough.
     requests = records.filter("type = 'request'").select(
-        F.col("concurrent_to").alias("_to"), F.struct(*short).alias("request"))
+        F.col("concurrent_to").alias("_to"), F.struct(*short).alias("request")).dropDuplicates(["_to"])
     metadata = records.filter("type = 'metadata'").select(
         F.col("concurrent_to").alias("_to"), F.struct(*short, "capture").alias("metadata"),
-        F.when(F.col("capture") != "", F.col("capture")).cast("long").alias("page_id"))
+        F.when(F.col("capture") != "", F.col("capture")).cast("long").alias("page_id")).dropDuplicates(["_to"])
     whole = (
         answers.join(requests, answers["record_id"] == requests["_to"], "left").drop("_to")
         .join(metadata, F.col("record_id") == metadata["_to"], "left").drop("_to")
@@ -177,7 +176,7 @@ def assemble(records: DataFrame) -> DataFrame:
     # The responses that revisits refer to; hot ones are joined from the many side.
     stored = (
         records.filter("type = 'response'").select("record_id", F.col("payload_bytes").alias("_n"), F.col("payload_digest").alias("_digest"))
-        .join(metadata.select("_to", F.col("page_id").alias("_page")), F.col("record_id") == F.col("_to"))
+        .dropDuplicates(["record_id"]).join(metadata.select("_to", F.col("page_id").alias("_page")), F.col("record_id") == F.col("_to"))
         .select(F.col("record_id").alias("_stored"), "_n", "_digest", "_page")
     )
     uri = F.col("target_uri")
