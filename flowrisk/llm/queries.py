@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowrisk.llm import fingerprint, mixing, near_text, near_vectors, packing, secrets, substring, warc
+from flowrisk.llm import fingerprint, mixing, near_text, near_vectors, packing, secrets, substring, toxicity, warc
 from flowrisk.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -27,6 +27,10 @@ def op3_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
                         "source", "copies")
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.scored(table(spark, folder, "documents"), table(spark, folder, "labels")).drop("text")
+
+
 def op5_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_vectors.near_vectors(table(spark, folder, "embeddings"))
 
@@ -63,7 +67,7 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(pieces, capacity)
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_source_mixing, op5_vector_dedup, op6_order_minhash, op7_fingerprints, op8_secrets, op9_warc, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_source_mixing, op4_toxicity, op5_vector_dedup, op6_order_minhash, op7_fingerprints, op8_secrets, op9_warc, op10_best_fit_packing)}
 
 CHECKS = {
     "op1_substring_dedup": r"""
