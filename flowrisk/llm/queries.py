@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowrisk.llm import fingerprint, mixing, near_text, near_vectors, packing, secrets, substring, toxicity, warc
+from flowrisk.llm import fingerprint, language_model, mixing, near_text, near_vectors, packing, secrets, substring, toxicity, warc
 from flowrisk.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -21,6 +21,10 @@ def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_ppm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return language_model.scores(table(spark, folder, "documents")).withColumn("held_out", ~language_model.training())
+
+
 def op3_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix_sources(mixing.document_sizes(table(spark, folder, "documents")))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"),
@@ -67,7 +71,7 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(pieces, capacity)
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_source_mixing, op4_toxicity, op5_vector_dedup, op6_order_minhash, op7_fingerprints, op8_secrets, op9_warc, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_ppm_scoring, op3_source_mixing, op4_toxicity, op5_vector_dedup, op6_order_minhash, op7_fingerprints, op8_secrets, op9_warc, op10_best_fit_packing)}
 
 CHECKS = {
     "op1_substring_dedup": r"""
