@@ -2,8 +2,8 @@
 
 Training counts every byte after its ``ORDER`` preceding bytes; shorter contexts are sums
 of longer ones, so the trie of contexts is a few tables, one per length, built and joined
-by Spark. The chance of a byte is that of the longest context seen in training: its share
-there, leaving d / (T + d) for the escape where d of T bytes after the context were
+by Spark. The chance of a byte is that of the longest context seen in training: with n of
+T bytes there it is (n - 1/2) / T, which leaves d / 2T for the escape where d bytes are
 distinct. An escape goes on to the next shorter context with the bytes seen in the longer
 one excluded, that is, with the chances of the others scaled up to one; after the empty
 context all bytes are equal. The score of a text is the sum over its bytes and its end.
@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from flowrisk.session import written
 
-ORDER = 4
+ORDER = 5
 SLICE = 1_000_000
 _BITS = 9               # of a symbol: a byte, the end or the start of a text
 _END, _START = 256, 257
@@ -126,8 +126,8 @@ def chances(grams: DataFrame) -> DataFrame:
         totals = seen.groupBy(context).agg(F.sum("n").alias("T"), F.count(F.lit(1)).alias("d"))
         shares[k] = written(
             seen.join(totals, F.shiftright(seen["code"], _BITS) == totals["context"])
-            .select("code", "context", (F.col("n") / (F.col("T") + F.col("d"))).alias("p"),
-                    (F.col("d") / (F.col("T") + F.col("d"))).alias("escape"), "d"), "ppm-shares")
+            .select("code", "context", ((2 * F.col("n") - 1) / (2 * F.col("T"))).alias("p"),
+                    (F.col("d") / (2 * F.col("T"))).alias("escape")), "ppm-shares")
         seen = seen.select("code", "n")
     for k in range(ORDER, -1, -1):
         if k:
