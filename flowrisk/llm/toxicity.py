@@ -108,6 +108,13 @@ def decode(noisy: str, model: CharacterModel, beam: int = 60) -> str:
     return min((cost + model.cost(state, END), out) for state, (cost, out) in paths.items())[1]
 
 
+def spaced(text: str, model: CharacterModel) -> Iterator[list[str]]:
+    """Words of the stretches of single characters in a lower-case text, decoded in parts of bounded length."""
+    for m in _SPACED.finditer(text):
+        for at in range(m.start(), m.end(), 400):
+            yield _LETTERS.findall(decode(text[at:min(at + 400, m.end())], model))
+
+
 class Restorer:
     """Words of texts, restored; remembers words it has seen, up to a bound."""
 
@@ -128,9 +135,8 @@ class Restorer:
         """Distinct restored words of a text, in lower case."""
         text = text.lower()
         found = set()
-        for m in _SPACED.finditer(text):
-            for at in range(m.start(), m.end(), 400):
-                found.update(_LETTERS.findall(decode(text[at:min(at + 400, m.end())], self.model)))
+        for words in spaced(text, self.model):
+            found.update(words)
         for token in set(text.split()):
             found.update(self.of_token(token))
         return found
@@ -176,7 +182,7 @@ def character_model(texts: DataFrame) -> CharacterModel:
     return CharacterModel(dict(counts), alphabet)
 
 
-def _prefix_features(word: str) -> list[str]:
+def _features(word: str) -> list[str]:
     return ["=" + word, *["^" + word[:k] for k in PREFIXES if k < len(word)]]
 
 
@@ -232,44 +238,38 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
 
 
 def score_texts(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """``docs`` with score, that of the most telling feature of its restored words."""
+    """``docs``, which must not have a column of that name, with score, that of the most telling feature of its restored words."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = shared.value
         restorer, tells, known = Restorer(model.characters), model.features, {}
 
-        def of_token(token: str) -> float:
-            chances = [tells[f] for w in restorer.of_token(token) for f in _prefix_features(w[:40]) if f in tells]
-            return max(chances, default=model.rate)
+        def of_words(words) -> float:
+            return max([tells[f] for w in words for f in _features(w[:40]) if f in tells], default=model.rate)
 
         for batch in batches:
             scores = []
-            for text in batch["text"]:
+            for text in batch:
                 if len(known) > 300_000:
                     known.clear()
                 text = text.lower() if isinstance(text, str) else ""
-                best = model.rate
+                best = max([model.rate, *[of_words(words) for words in spaced(text, model.characters)]])
                 for token in set(text.split()):
                     p = known.get(token)
                     if p is None:
-                        p = known[token] = of_token(token)
+                        p = known[token] = of_words(restorer.of_token(token))
                     if p > best:
                         best = p
-                for m in _SPACED.finditer(text):
-                    for at in range(m.start(), m.end(), 400):
-                        for w in _LETTERS.findall(decode(text[at:min(at + 400, m.end())], model.characters)):
-                            best = max([best, *[tells[f] for f in _prefix_features(w[:40]) if f in tells]])
                 scores.append(best)
-            batch["score"] = scores
-            yield batch
+            yield pd.Series(scores, dtype="float64")
 
-    schema = docs.select("doc_id", "text").schema.add("score", "double")
-    return docs.select("doc_id", "text").mapInPandas(score, schema)
+    return docs.withColumn("score", score(F.col("text")))
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, text, held_out, score and predicted per row of ``docs``."""
-    rows = score_texts(docs, fit(docs, labels))
+    rows = score_texts(docs.select("doc_id", "text"), fit(docs, labels))
     return rows.select("doc_id", "text", _held_out().alias("held_out"), "score",
                        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
