@@ -36,7 +36,7 @@ from flowrisk.llm.graph import components
 from flowrisk.session import written
 
 COSINE = 0.9
-RECALL = 0.99
+RECALL = 0.999
 ROTATIONS = 2
 CONFIDENCE = 4.5   # standard errors
 BLOCK = 256

@@ -26,11 +26,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from flowrisk.llm.common import words_of
 from flowrisk.session import written
 
-# Encoded words a worker keeps; beyond it the cache starts anew, results stay the same.
-CACHE = 600_000
+# Words and word parts of which a worker remembers the ids; results don't depend on it.
+CACHE = 400_000
 GROUP = 3_000   # pieces packed together, about
 MERGE = 50      # groups whose poorly filled bins are packed together next
 FULL = 0.995    # token share from which a bin stays as it is
@@ -47,21 +46,79 @@ class Capacity:
     rule: str = "norm"  # or "dot"
 
 
-class _WordIds(dict):
-    """Ids of words as little-endian 32-bit bytes; the tokenizer never merges across white space."""
+class _Recent:
+    """A map that forgets what was not used while ``CACHE`` newer entries came."""
+
+    def __init__(self):
+        self.new, self.old = {}, {}
+
+    def get(self, key):
+        value = self.new.get(key)
+        if value is None and (value := self.old.get(key)) is not None:
+            self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
+        if len(self.new) >= CACHE:
+            self.old, self.new = self.new, {}
+        self.new[key] = value
+
+
+class _WordIds:
+    """Ids of words, as little-endian 32-bit bytes.
+
+    The tokenizer drops white space and never merges across it, nor across the border of
+    letters and other signs, and it folds case: so a word of ASCII letters, with or without
+    a mark after it, is looked up in lower case and without the mark.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = False
-
-    def learn(self, words: list[str]) -> None:
-        if len(self) > CACHE:
-            self.clear()
-        new = [w for w in dict.fromkeys(words) if w not in self]
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self[w] = np.array(e.ids, "<u4").tobytes()
+        self.words, self.plain = _Recent(), _Recent()
+
+    def _encoded(self, words: list[str]) -> list[bytes]:
+        """Ids of each word, encoded as one text: a call costs more than a word."""
+        out = []
+        for at in range(0, len(words), 2_000):
+            part = words[at:at + 2_000]
+            first = np.cumsum([0, *[len(w) + 1 for w in part]])[:-1]
+            encoded = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            ids = np.array(encoded.ids, "<u4")
+            of = np.searchsorted(first, [o[0] for o in encoded.offsets], "right") - 1
+            ends = np.searchsorted(of, np.arange(len(part)), "right")
+            out += [ids[a:b].tobytes() for a, b in zip([0, *ends[:-1]], ends)]
+        return out
+
+    def of(self, words: list[bytes]) -> bytes:
+        known = self.words.new
+        try:
+            return b"".join([known[w] for w in words])
+        except KeyError:
+            pass
+        out = {w: self.words.get(w) for w in dict.fromkeys(words)}
+        parts = {w: _plain(w.decode()) for w, ids in out.items() if ids is None}
+        plain = {p: self.plain.get(p) for ps in parts.values() for p in ps}
+        new = [p for p, ids in plain.items() if ids is None]
+        for p, ids in zip(new, self._encoded(new) if new else []):
+            plain[p] = ids
+            self.plain.put(p, ids)
+        for w, ps in parts.items():
+            out[w] = b"".join([plain[p] for p in ps])
+            self.words.put(w, out[w])
+        return b"".join([out[w] for w in words])
+
+
+def _plain(word: str) -> tuple[str, ...]:
+    """The parts of a word that the tokenizer encodes apart in any case."""
+    if not word.isascii():
+        return (word,)
+    if word.isalpha():
+        return (word.lower(),)
+    if word[-1] in ".,;:!?" and word[:-1].isalpha():
+        return word[:-1].lower(), word[-1]
+    return (word,)
 
 
 @lru_cache(maxsize=2)
@@ -70,16 +127,9 @@ def _word_ids(path: str) -> _WordIds:
 
 
 def _token_bytes(text: str | None, known: _WordIds, end_id: int) -> bytes:
-    words = words_of(text or "")
-    out = []
-    for at in range(0, len(words), 50_000):
-        part = words[at:at + 50_000]
-        try:
-            out.append(b"".join([known[w] for w in part]))
-        except KeyError:
-            known.learn(part)
-            out.append(b"".join([known[w] for w in part]))
-    return b"".join([*out, np.array([end_id], "<u4").tobytes()])
+    words = (text or "").encode().split()  # bytes split at ASCII white space alone
+    parts = [known.of(words[at:at + 50_000]) for at in range(0, len(words), 50_000)]
+    return b"".join([*parts, np.array([end_id], "<u4").tobytes()])
 
 
 def tokenized_pieces(docs: DataFrame, path: str, tokens: int = 4096, end_id: int = 1,

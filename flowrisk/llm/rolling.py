@@ -9,7 +9,6 @@ import numpy as np
 import pandas as pd
 import xxhash
 
-from flowrisk.llm.common import words_of
 
 # Odd, so both have inverses modulo 2**64.
 _BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
@@ -42,7 +41,7 @@ class Texts:
     """Some texts as one row of words with 128-bit word hashes; text d has words first[d] to first[d + 1]."""
 
     rows: pd.DataFrame
-    words: list[list[str]]
+    words: list[list[bytes]]
     first: np.ndarray
     hashes: tuple[np.ndarray, np.ndarray]
 
@@ -69,7 +68,8 @@ def hashed(batches: Iterator[pd.DataFrame], text: str = "text") -> Iterator[Text
         length = batch[text].str.len().fillna(0).to_numpy(np.int64)
         part = np.cumsum(length) // _CHUNK
         for _, rows in batch.groupby(part, sort=False):
-            words = [words_of(t) if isinstance(t, str) else [] for t in rows[text]]
+            # Bytes split at ASCII white space alone, as words do.
+            words = [t.encode().split() if isinstance(t, str) else [] for t in rows[text]]
             first = np.zeros(len(words) + 1, np.int64)
             np.cumsum([len(w) for w in words], out=first[1:])
             flat = np.empty(int(first[-1]), object)
