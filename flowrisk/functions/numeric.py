@@ -3,6 +3,11 @@
 from pyspark.sql import Column, functions as F
 
 
+def named(name: str) -> Column:
+    """The column of exactly this name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def finite(c: Column) -> Column:
     """NaN and both infinities become NULL, so that NULL is the only missing value."""
     c = c.cast("double")

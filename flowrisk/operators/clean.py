@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from flowrisk.functions.numeric import finite, number
+from flowrisk.functions.numeric import finite, named, number
 from flowrisk.schema import ATTACK_CATEGORIES, BASELINE_LEAK_COLUMNS, LEAK_COLUMNS
 
 
@@ -20,13 +22,13 @@ def find_target(df: DataFrame, target: str = "label") -> str | None:
 
 
 def trim_label(df: DataFrame, label: str) -> DataFrame:
-    return df.withColumn(label, F.trim(F.col(label).cast("string")))
+    return df.withColumn(label, F.trim(named(label).cast("string")))
 
 
 def non_finite_to_null(df: DataFrame) -> DataFrame:
     """NaN and infinities of every floating-point column become NULL."""
     floats = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({c: finite(F.col(c)) for c in floats}) if floats else df
+    return df.withColumns({c: finite(named(c)) for c in floats}) if floats else df
 
 
 def leak_columns(df: DataFrame, leaks: Iterable[str], normalize_underscores: bool = False) -> list[str]:
@@ -43,6 +45,10 @@ def leak_columns(df: DataFrame, leaks: Iterable[str], normalize_underscores: boo
     return [c for c in df.columns if key(c) in leaks]
 
 
+def _without(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.select(*[named(c) for c in df.columns if c not in columns])
+
+
 def clean_flows(df: DataFrame, training: bool = False, target: str = "label",
                 leaks: Sequence[str] = LEAK_COLUMNS, normalize_underscores: bool = False,
                 keep: Sequence[str] = ()) -> DataFrame:
@@ -56,9 +62,9 @@ def clean_flows(df: DataFrame, training: bool = False, target: str = "label",
     if label is not None:
         df = trim_label(df, label)
         if training:
-            df = df.filter(F.col(label).isNotNull())
+            df = df.filter(named(label).isNotNull())
     df = non_finite_to_null(df)
-    return df.drop(*[c for c in leak_columns(df, leaks, normalize_underscores) if c not in keep])
+    return _without(df, [c for c in leak_columns(df, leaks, normalize_underscores) if c not in keep])
 
 
 def split_target(df: DataFrame, target: str = "label") -> tuple[list[str], str | None]:
@@ -76,9 +82,9 @@ def constant_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
     if not columns:
         return []
     row = df.agg(*[
-        F.min(F.col(c)).eqNullSafe(F.max(F.col(c))).alias(c) for c in columns
+        F.min(named(c)).eqNullSafe(F.max(named(c))) for c in columns
     ]).first()
-    return [c for c in columns if row[c]]
+    return [c for c, constant in zip(columns, row) if constant]
 
 
 def clean_baseline(df: DataFrame, leaks: Sequence[str] = BASELINE_LEAK_COLUMNS,
@@ -92,11 +98,12 @@ def clean_baseline(df: DataFrame, leaks: Sequence[str] = BASELINE_LEAK_COLUMNS,
     label = find_target(df)
     if label is None:
         raise ValueError(f"no label column among {df.columns}")
-    df = non_finite_to_null(trim_label(df, label)).na.drop()
-    df = df.drop(*[c for c in leak_columns(df, leaks) if c not in keep])
+    df = non_finite_to_null(trim_label(df, label))
+    df = df.filter(reduce(and_, [named(c).isNotNull() for c in df.columns]))
+    df = _without(df, [c for c in leak_columns(df, leaks) if c not in keep])
     numeric = [c for c in numeric_columns(df) if c not in (label, *keep)]
     constant = set(constant_columns(df, numeric))
-    return df.select(*keep, *[c for c in numeric if c not in constant], label)
+    return df.select(*map(named, [*keep, *[c for c in numeric if c not in constant], label]))
 
 
 def dropped_rows(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -109,11 +116,11 @@ def dropped_rows(before: DataFrame, after: DataFrame) -> DataFrame:
 
 def to_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Columns as DOUBLE, unparsable text as NULL."""
-    return df.withColumns({c: number(F.col(c)) for c in columns})
+    return df.withColumns({c: number(named(c)) for c in columns})
 
 
 def fill(df: DataFrame, values: dict[str, float]) -> DataFrame:
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in values.items()})
+    return df.withColumns({c: F.coalesce(named(c), F.lit(v)) for c, v in values.items()})
 
 
 def first_rows(df: DataFrame, order: Sequence[str], n: int | None) -> DataFrame:
@@ -131,7 +138,7 @@ def attack_category(df: DataFrame, name: str, out: str = "attack_category",
 
 def search(df: DataFrame, text: str, columns: Sequence[str]) -> DataFrame:
     """Rows where any of the columns contains ``text``, ignoring case."""
-    hit = [F.lower(F.col(c).cast("string")).contains(text.lower()) for c in columns]
+    hit = [F.lower(named(c).cast("string")).contains(text.lower()) for c in columns]
     return df.filter(F.coalesce(F.array_contains(F.array(*hit), True), F.lit(False)))
 
 

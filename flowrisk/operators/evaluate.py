@@ -10,10 +10,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from flowrisk.operators.small import few_rows
-
 
 def pair_counts(df: DataFrame, truth: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
+    """The confusion matrix in long form: rows per (group,) truth and prediction."""
     return df.groupBy(*by, F.col(truth).alias("truth"), F.col(predicted).alias("predicted")).agg(
         F.count(F.lit(1)).alias("n"))
 
@@ -23,8 +22,8 @@ def confusion_matrix(df: DataFrame, truth: str, predicted: str,
     """One row per true class, one column ``pred_<class>`` per class; all labels sorted."""
     pairs = pair_counts(df, truth, predicted)
     if labels is None:
-        rows = few_rows(
-            pairs.select(F.explode(F.array("truth", "predicted")).alias("c")).distinct(), "classes")
+        # The result has a column for each; `pair_counts` is the form for many.
+        rows = pairs.select(F.explode(F.array("truth", "predicted")).alias("c")).distinct().collect()
         labels = sorted(r["c"] for r in rows if r["c"] is not None)
     cells = [
         F.coalesce(F.sum(F.when(F.col("predicted") == c, F.col("n"))), F.lit(0)).alias(f"pred_{c}")

@@ -8,10 +8,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from flowrisk.functions.numeric import named
 from flowrisk.operators.clean import numeric_columns
 from flowrisk.operators.ordered import KeyOrder
 from flowrisk.operators.order_stats import FEW_VALUES, exact_quantiles
-from flowrisk.operators.small import few_rows, small_rows
+from flowrisk.operators.small import small_rows
 
 
 def distribution(df: DataFrame, column: str) -> DataFrame:
@@ -41,23 +42,31 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def crosstab(df: DataFrame, row: str, column: str, values: Sequence[str] | None = None) -> DataFrame:
-    """Counts of ``row`` by ``column``; values of ``column`` become columns, sorted."""
-    if values is None:
-        values = sorted(r[0] for r in few_rows(
-            df.select(column).filter(F.col(column).isNotNull()).distinct(), f"values of {column}"))
+    """Counts of ``row`` by ``column``; values of ``column`` become columns, sorted.
+
+    `crosstab_long` is the form for more values than a table should have columns.
+    """
+    if values is None:  # the result has a column for each, so the driver has to know them
+        values = sorted(r[0] for r in df.select(column).filter(F.col(column).isNotNull()).distinct().collect())
     return df.groupBy(row).pivot(column, list(values)).agg(F.count(F.lit(1))).na.fill(0)
 
 
+def crosstab_long(df: DataFrame, row: str, column: str) -> DataFrame:
+    """Counts of ``row`` by ``column``, a row per pair that occurs."""
+    return df.filter(F.col(column).isNotNull()).groupBy(row, column).agg(F.count(F.lit(1)).alias("n"))
+
+
 def correlation(df: DataFrame, columns: Sequence[str] | None = None, first: int = 20) -> DataFrame:
-    """Pearson correlation of each pair of the first numeric columns, below the diagonal.
+    """Pearson correlation of each pair of columns, below the diagonal.
 
-    A pair ignores rows where either side is missing.
+    Without ``columns`` the ``first`` numeric columns are taken. A pair ignores rows
+    where either side is missing.
     """
-    columns = list(columns or numeric_columns(df))[:first]
+    columns = list(columns) if columns else numeric_columns(df)[:first]
     if len(columns) < 2:
         raise ValueError("a correlation needs two numeric columns")
-    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    means = values.agg(*[F.avg(c) for c in columns]).first()
+    values = df.select(*[named(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    means = values.agg(*[F.avg(c) for c in values.columns]).first()
     shift = np.array([m if m is not None else 0.0 for m in means])
 
     def products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -90,7 +99,7 @@ def correlation(df: DataFrame, columns: Sequence[str] | None = None, first: int
 
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     """Equal-width counts between least and greatest value; the last bin is closed."""
-    values = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
+    values = df.select(named(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
     low, high = values.agg(F.min("v"), F.max("v")).first()
     if low is None:
         low = high = 0.0
@@ -118,7 +127,7 @@ def clipped_histograms(df: DataFrame, columns: Sequence[str], label: str, bins:
     caps = exact_quantiles(df, columns, upper, few)
     capped = F.array(*[
         F.struct(F.lit(c).alias("feature"),
-                 F.when(F.col(c).isNotNull(), F.least(F.col(c).cast("double"), F.lit(caps[c]))).alias("v"))
+                 F.when(named(c).isNotNull(), F.least(named(c).cast("double"), F.lit(caps[c]))).alias("v"))
         for c in columns if caps[c] is not None
     ])
     values = (
@@ -132,10 +141,9 @@ def clipped_histograms(df: DataFrame, columns: Sequence[str], label: str, bins:
         "low": F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo")),
         "high": F.when(F.col("lo") == F.col("hi"), F.col("hi") + 0.5).otherwise(F.col("hi")),
     }).select("class", "feature", "rows", "low", ((F.col("high") - F.col("low")) / bins).alias("width"))
-    bounds = df.sparkSession.createDataFrame(few_rows(ranges, "classes and features"), ranges.schema)
     at = F.least(F.floor((F.col("v") - F.col("low")) / F.col("width")), F.lit(bins - 1)).cast("int")
     return (
-        values.join(F.broadcast(bounds), ["class", "feature"])  # checked just above
+        values.join(ranges, ["class", "feature"])
         .groupBy("class", "feature", at.alias("bin"), "rows", "low", "width")
         .agg(F.count(F.lit(1)).alias("n"))
         .select("class", "feature", "bin", (F.col("low") + F.col("bin") * F.col("width")).alias("low"),
@@ -153,10 +161,10 @@ def column_profile(df: DataFrame) -> DataFrame:
     fields = df.schema.fields
     row = df.agg(*[
         agg for i, f in enumerate(fields) for agg in (
-            F.count_if(F.col(f.name).isNull()).alias(f"nulls_{i}"),
-            F.min(f.name).cast("string").alias(f"min_{i}"),
-            F.max(f.name).cast("string").alias(f"max_{i}"),
-            F.approx_count_distinct(f.name).alias(f"distinct_{i}"),
+            F.count_if(named(f.name).isNull()).alias(f"nulls_{i}"),
+            F.min(named(f.name)).cast("string").alias(f"min_{i}"),
+            F.max(named(f.name)).cast("string").alias(f"max_{i}"),
+            F.approx_count_distinct(named(f.name)).alias(f"distinct_{i}"),
         )
     ])
     lines = [
@@ -178,7 +186,7 @@ def kinds(df: DataFrame) -> DataFrame:
 def label_encode(df: DataFrame, column: str, out: str) -> DataFrame:
     """Ordinal of each value in alphabetical order, from 0; NULL stays NULL."""
     values = df.select(F.col(column).alias("_value")).filter(F.col(column).isNotNull()).distinct()
-    rows = small_rows(values)
+    rows = small_rows(values)  # few codes are sent along, more are joined; the result is the same
     if rows is not None:
         listed = sorted(r["_value"] for r in rows)
         codes = df.sparkSession.createDataFrame(
@@ -188,4 +196,7 @@ def label_encode(df: DataFrame, column: str, out: str) -> DataFrame:
         one = values.withColumn("_one", F.lit(1).cast("bigint"))
         numbered = KeyOrder.of(one, [], ["_value"]).running_sum("_one", out).rows()
         codes = numbered.withColumn(out, F.col(out) - 1).drop("_one")
+        # Missing values match nothing and would all meet in one task.
+        there = df.filter(F.col(column).isNotNull()).join(codes, F.col(column) == F.col("_value")).drop("_value")
+        return there.unionByName(df.filter(F.col(column).isNull()).withColumn(out, F.lit(None).cast("bigint")))
     return df.join(codes, F.col(column) == F.col("_value"), "left").drop("_value")

@@ -14,8 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from flowrisk.functions.numeric import finite
-from flowrisk.operators.small import few_rows
+from flowrisk.functions.numeric import finite, named
 
 # Ranges with at most this many rows are counted out, up to this many in one task.
 FEW_VALUES = 200_000
@@ -43,7 +42,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probability: float,
     columns = list(columns)
     if not columns:
         return {}
-    values = df.select(*[finite(F.col(c)).alias(c) for c in columns])
+    values = df.select(*[finite(named(c)).alias(c) for c in columns])
     extent = extent or {c: e for (_, c), e in _extent(values, None, columns).items()}
     brackets, part = {}, {}
     for c, (n, low, high) in extent.items():
@@ -64,7 +63,8 @@ def exact_ranks(df: DataFrame, value: str, group: str | None,
     """Values at the 0-based sorted positions ``ranks(rows)`` of each group.
 
     Returns ``{group value: [value, ...]}``, with the key None when there is no group.
-    Every group must ask for the same number of positions.
+    Every group must ask for the same number of positions; all groups are brought to the
+    driver, so there should be few: `splits` ranks small groups in place.
     """
     brackets = {
         (g, value, t): Bracket(rank, rank, low, high, 0, n)
@@ -79,16 +79,16 @@ def exact_ranks(df: DataFrame, value: str, group: str | None,
 
 
 def _extent(df, group, columns) -> dict:
-    """``{(group, column): (values, least, greatest)}``."""
+    """``{(group, column): (values, least, greatest)}``; callers see to it that groups are few."""
     keys = [group] if group else []
     extent = df.groupBy(*keys).agg(*[
-        f(c).alias(f"{name}_{i}")
+        f(named(c)).alias(f"{name}_{i}")
         for i, c in enumerate(columns)
         for name, f in (("n", F.count), ("lo", F.min), ("hi", F.max))
     ])
     return {
         (row[group] if group else None, c): (row[f"n_{i}"], row[f"lo_{i}"], row[f"hi_{i}"])
-        for row in few_rows(extent, "groups") for i, c in enumerate(columns)
+        for row in extent.collect() for i, c in enumerate(columns)
     }
 
 
@@ -183,8 +183,8 @@ def _in_spans(df, group, columns, spans) -> DataFrame:
 
     def place(i: int, c: str) -> Column:
         ends = [e for e in (span(c, j) for j in range(most)) if e is not None]
-        inside = [F.when((F.col(c) >= e["low"]) & (F.col(c) <= e["high"]), e) for e in ends]
-        return F.struct(F.lit(i).alias("i"), F.coalesce(*inside).alias("s"), F.col(c).alias("v"))
+        inside = [F.when((named(c) >= e["low"]) & (named(c) <= e["high"]), e) for e in ends]
+        return F.struct(F.lit(i).alias("i"), F.coalesce(*inside).alias("s"), named(c).alias("v"))
 
     places = [place(i, c) for i, c in enumerate(columns) if any(key[1] == c for key in spans)]
     keys = [group] if group else []

@@ -7,13 +7,14 @@ import math
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
-from flowrisk.functions.numeric import number
+from flowrisk.functions.numeric import named, number
 from flowrisk.operators.clean import numeric_columns
+from flowrisk.operators.explore import label_encode
 from flowrisk.operators.order_stats import FEW_VALUES, exact_quantiles
-from flowrisk.operators.small import few_rows
 from flowrisk.schema import CATEGORICAL_COLUMNS
 
 MISSING = "missing"
@@ -41,7 +42,7 @@ class FitStats:
     def imputed(self, df: DataFrame, name: str) -> Column:
         """Column with missing values replaced; one absent from ``df`` is all median."""
         median = F.lit(self.numeric[name].median)
-        return F.coalesce(number(F.col(name)), median) if name in df.columns else median
+        return F.coalesce(number(named(name)), median) if name in df.columns else median
 
     def columns(self, df: DataFrame) -> list[Column]:
         """The scaled numeric columns, then one 0/1 column per category."""
@@ -75,7 +76,20 @@ class FitStats:
 def _category(df: DataFrame, name: str) -> Column:
     if name not in df.columns:
         return F.lit(MISSING)
-    return F.coalesce(F.col(name).cast("string"), F.lit(MISSING))
+    return F.coalesce(named(name).cast("string"), F.lit(MISSING))
+
+
+def one_hot_vectors(df: DataFrame, name: str, out: str) -> DataFrame:
+    """``out``: the category of ``name`` as a sparse 0/1 vector, categories in alphabetical order.
+
+    The table of categories stays distributed, so there may be any number of them; a
+    missing value is the category ``missing``.
+    """
+    coded = label_encode(df.withColumn("_category", _category(df, name)), "_category", "_code")
+    most = coded.agg(F.max("_code")).scalar()
+    size = coded.sparkSession.range(1).select(F.coalesce(most, F.lit(0)).cast("double").alias("_code"))
+    encoder = OneHotEncoder(inputCol="_code", outputCol=out, dropLast=False).fit(size)
+    return encoder.transform(coded.withColumn("_code", F.col("_code").cast("double"))).drop("_category", "_code")
 
 
 def active_columns(df: DataFrame, categorical: Sequence[str] = CATEGORICAL_COLUMNS,
@@ -96,11 +110,11 @@ def fit_stats(df: DataFrame, categorical: Sequence[str] = CATEGORICAL_COLUMNS,
     cats, nums = active_columns(df, categorical, exclude)
     numeric: dict[str, NumericStats] = {}
     if nums:
-        values = df.select(*[number(F.col(c)).alias(c) for c in nums])
+        values = df.select(*[number(named(c)).alias(c) for c in nums])
         row = values.agg(F.count(F.lit(1)).alias("_rows"), *[
             agg for i, c in enumerate(nums) for agg in (
-                F.count(c).alias(f"n_{i}"), F.min(c).alias(f"lo_{i}"), F.max(c).alias(f"hi_{i}"),
-                F.avg(c).alias(f"avg_{i}"), F.var_pop(c).alias(f"var_{i}"))
+                F.count(named(c)).alias(f"n_{i}"), F.min(named(c)).alias(f"lo_{i}"), F.max(named(c)).alias(f"hi_{i}"),
+                F.avg(named(c)).alias(f"avg_{i}"), F.var_pop(named(c)).alias(f"var_{i}"))
         ]).first()
         extent = {c: (row[f"n_{i}"], row[f"lo_{i}"], row[f"hi_{i}"]) for i, c in enumerate(nums)}
         medians = exact_quantiles(values, nums, 0.5, few, extent)
@@ -111,7 +125,8 @@ def fit_stats(df: DataFrame, categorical: Sequence[str] = CATEGORICAL_COLUMNS,
     categories: dict[str, list[str]] = {}
     if cats:
         pairs = F.array(*[F.struct(F.lit(c).alias("c"), _category(df, c).alias("v")) for c in cats])
-        seen = few_rows(df.select(F.explode(pairs).alias("x")).select("x.*").distinct(), "categories")
+        # Feature names are a list on the driver, one per category; `one_hot_vectors` needs none.
+        seen = df.select(F.explode(pairs).alias("x")).select("x.*").distinct().collect()
         categories = {c: sorted(r["v"] for r in seen if r["c"] == c) for c in cats}
     return FitStats(numeric, categories)
 

@@ -85,21 +85,22 @@ def dataset_head(df: DataFrame, order: str, n: int = 25) -> DataFrame:
 def incident_report(scored: DataFrame, order: Sequence[str], columns: Sequence[str],
                     threats: int = 15) -> DataFrame:
     """One row: time span, posture, key figures, class counts, last flow and last threats."""
-    at = F.struct(*order)
     record = F.struct(*columns)
-    last = latest_threats(scored, order, threats).agg(
+    newest = [F.desc(c) for c in order]
+    last = scored.orderBy(*newest).limit(1).select(record.alias("flow"))
+    recent = latest_threats(scored, order, threats).agg(
         # At most `threats` rows are gathered, newest first.
         F.reverse(F.array_sort(F.collect_list(F.struct(*order, record.alias("flow"))))).alias("rows")
     ).select(F.transform("rows", lambda r: r["flow"]).alias("last_threats"))
-    threat = F.col("predicted_label") != BENIGN
-    per_class = scored.groupBy("predicted_label").agg(
-        F.count(F.lit(1)).alias("n"), F.max(at).alias("at"), F.max_by(record, at).alias("flow"))
+    threat = F.coalesce(F.col("predicted_label") != BENIGN, F.lit(False))
+    # Counts and greatest times are hash aggregates; the flows come from two top-n scans.
+    per_class = scored.groupBy("predicted_label").agg(F.count(F.lit(1)).alias("n"), F.max(order[0]).alias("at"))
+    known = F.filter(F.array_sort(F.collect_list(F.struct("predicted_label", "n"))), lambda c: c["predicted_label"].isNotNull())
     return per_class.agg(
-        F.max("at")[order[0]].alias("reported_at"),
+        F.max("at").alias("reported_at"),
         F.when(F.max(threat), "severe").otherwise("secure").alias("status"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("flows_evaluated"),
         F.coalesce(F.sum(F.when(threat, F.col("n"))), F.lit(0)).alias("threats"),
-        F.max_by("flow", "at").alias("last_flow"),
-        # One entry per class.
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("predicted_label", "n")))).alias("class_counts"),
-    ).withColumn("last_threats", last.scalar())
+        # One entry per class; flows without a label count in the total only.
+        F.map_from_entries(known).alias("class_counts"),
+    ).withColumn("last_flow", last.scalar()).withColumn("last_threats", recent.scalar())

@@ -10,11 +10,3 @@ def small_rows(df: DataFrame, limit: int = SMALL_ROWS) -> list[Row] | None:
     """The rows of ``df`` if there are at most ``limit``, else None."""
     rows = df.limit(limit + 1).collect()
     return rows if len(rows) <= limit else None
-
-
-def few_rows(df: DataFrame, what: str, limit: int = SMALL_ROWS) -> list[Row]:
-    """Like `small_rows`, for results that make no sense beyond the limit."""
-    rows = small_rows(df, limit)
-    if rows is None:
-        raise ValueError(f"more than {limit} {what}; the column is an identifier, not a category")
-    return rows

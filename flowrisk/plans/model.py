@@ -17,7 +17,6 @@ from flowrisk.operators.clean import clean_flows, find_target, trim_names
 from flowrisk.operators.explore import class_weights
 from flowrisk.operators.features import derive_features
 from flowrisk.operators.prep import FitStats, fit_stats
-from flowrisk.operators.small import few_rows
 from flowrisk.plans.scoring import RESULT_COLUMNS, add_risk, with_forecast
 from flowrisk.schema import CATEGORICAL_COLUMNS
 from flowrisk.sources.records import from_records
@@ -70,7 +69,8 @@ class FlowModel:
             raise ValueError(f"no {label!r} column among {df.columns}")
         rows = derive_features(df, derive)
         stats = fit_stats(rows, categorical, (*exclude, target))
-        weights = {r[target]: (r["n"], r["weight"]) for r in few_rows(class_weights(rows, target), "classes")}
+        # The forest holds a number per class in every leaf, so classes are few.
+        weights = {r[target]: (r["n"], r["weight"]) for r in class_weights(rows, target).collect()}
         if not weights:
             raise ValueError("no labelled flow to fit on")
         classes = sorted(weights)
@@ -162,7 +162,9 @@ class FlowModel:
         """Read a saved model; ``fallback`` is a parent folder to try when ``path`` has none."""
         try:
             text = spark.read.text(f"{path}/model").first()["value"]
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             if fallback is None:
                 raise FileNotFoundError(f"no model under {path}") from None
             return FlowModel.load(spark, f"{fallback.rstrip('/')}/{path}")

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from operator import and_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -18,60 +18,88 @@ MISSING_TEXTS = [
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
-_HEADER_JOBS = 16
+def _has_files(spark: SparkSession, folder: str) -> bool:
+    return _listed(spark, folder) is not None and not _listed(spark, folder).isEmpty()
 
 
 def csv_paths(spark: SparkSession, folder: str) -> list[str]:
     """All ``*.csv`` under ``folder``, at any depth, sorted. Only lists, reads no content."""
+    files = _listed(spark, folder)
+    return [] if files is None else sorted(r["path"] for r in files.collect())
+
+
+def _listed(spark: SparkSession, folder: str) -> DataFrame | None:
     reader = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.csv")
     )
     try:
-        files = reader.load(folder).select("path")
+        return reader.load(folder).select("path")
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
-            return []
+            return None
         raise
-    return sorted(r["path"] for r in files.collect())
 
 
-def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """Column names of one file; a repeated name gets ``.1``, ``.2``, ..."""
-    first = spark.read.text(path).head(1)
-    names = next(csv.reader([first[0]["value"].lstrip("﻿")])) if first else []
+def _distinct_names(line: str) -> tuple[str, ...]:
+    """Column names of a header line; a repeated name gets ``.1``, ``.2``, ..."""
     seen: dict[str, int] = {}
     out = []
-    for name in names:
+    for name in next(csv.reader([line])):
         n = seen.get(name, 0)
         seen[name] = n + 1
         out.append(f"{name}.{n}" if n else name)
     return tuple(out)
 
 
+def csv_headers(spark: SparkSession, folder: str) -> DataFrame:
+    """Files by header: ``header`` (the first line that is not blank), ``paths`` and ``n_files``.
+
+    One job over all files. The text reader gives lines with their file and place, and of
+    each file only the first line is kept, before anything is shuffled. A file of blank
+    lines has the header NULL. Header lines must not contain quoted line ends.
+    """
+    meta = F.col("_metadata")
+    lines = (
+        spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").text(folder)
+        .select(meta["file_path"].alias("path"), meta["file_block_start"].alias("block"), "value",
+                F.monotonically_increasing_id().alias("line"))
+        .withColumn("value", F.regexp_replace("value", "^\ufeff|\r$", ""))
+    )
+    # Ids rise within a file's block; the first block with a line that is not blank holds the header.
+    place = F.when(F.trim("value") != "", F.struct("block", "line", "value"))
+    first = lines.groupBy("path").agg(F.min(place).alias("first"))
+    return first.groupBy(F.col("first.value").alias("header")).agg(
+        F.sort_array(F.collect_list("path")).alias("paths"), F.count(F.lit(1)).alias("n_files"))
+
+
 def read_csv_folder(spark: SparkSession, folder: str,
-                    types: Mapping[str, str] | None = None) -> DataFrame:
+                    types: Mapping[str, str] | None = None, multi_line: bool = False) -> DataFrame:
     """All CSV files of a folder as one table, columns matched by name.
 
     A read of many CSV files matches columns by position, so files are read per
     distinct header and united by name. ``types`` maps trimmed names to the type they
     are read as, with unparsable text as NULL; without it, columns where every value
-    is a number become DOUBLE or BIGINT.
+    is a number become DOUBLE or BIGINT. Quotes inside quoted text are doubled, blank
+    lines count for nothing, and ``multi_line`` allows line ends inside quoted text (a
+    file is then read by one task). A file without any line that is not blank is an error.
     """
-    paths = csv_paths(spark, folder)
-    if not paths:
+    groups = csv_headers(spark, folder).collect() if _has_files(spark, folder) else []  # a row per header
+    if not groups:
         raise FileNotFoundError(f"no CSV file under {folder}")
-    # One short job per file reads its first line.
-    with ThreadPoolExecutor(_HEADER_JOBS) as pool:
-        headers = list(pool.map(lambda p: _header(spark, p), paths))
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for path, header in zip(paths, headers):
-        if header:
-            groups.setdefault(header, []).append(path)
     parts = []
-    for header, files in groups.items():
+    for group in sorted(groups, key=lambda g: (g["header"] is None, g["paths"])):
+        if group["header"] is None:
+            raise ValueError(f"no header in {group['paths'][0]} and {group['n_files'] - 1} more files")
+        header = _distinct_names(group["header"])
         schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-        part = spark.read.schema(schema).option("header", "true").csv(files)
+        part = (
+            spark.read.schema(schema).option("escape", '"').option("multiLine", multi_line)
+            .option("enforceSchema", "true").csv(group["paths"])
+        )
+        # The header is a row like any other here, wherever blank lines have put it.
+        part = part.filter(~reduce(and_, [part[f"`{c}`"].eqNullSafe(F.lit(name or None)) for c, name
+                                          in zip(header, next(csv.reader([group["header"]])))]))
         parts.append(part.select(*[
             F.when(~F.trim(part[f"`{c}`"]).isin(MISSING_TEXTS), part[f"`{c}`"]).alias(c) for c in header
         ]))

@@ -35,39 +35,56 @@ def from_records(spark: SparkSession, data, schema: T.StructType = FLOW_SCHEMA)
     return spark.createDataFrame(rows, T.StructType(fields))
 
 
-def _shape(payload):
-    return F.substring(F.ltrim(payload), 1, 1)
+def _parsed(df: DataFrame, payload: str) -> DataFrame:
+    """``df`` with ``_parts``: the payload's elements as variants, NULL where it is rejected as a whole.
+
+    The text is parsed once. An object with the key ``flows`` must hold an array there; a
+    bare array is its elements, any other object is one element.
+    """
+    first = F.substring(F.ltrim(F.col(payload)), 1, 1)
+    whole = F.col("_json")
+    has_flows = F.try_variant_get(whole, "$.flows", "variant").isNotNull()  # also where it is JSON's null
+    inner = F.try_variant_get(whole, "$.flows", "array<variant>")
+    parts = (
+        F.when(first == "[", F.try_variant_get(whole, "$", "array<variant>"))
+        .when((first == "{") & has_flows, inner)
+        .when((first == "{") & whole.isNotNull(), F.array(whole))
+    )
+    return df.withColumn("_json", F.try_parse_json(F.col(payload))).withColumn("_parts", parts)
 
 
-def _accepted(payload):
-    return F.try_parse_json(payload).isNotNull() & _shape(payload).isin("{", "[")
+def _is_object(part):
+    return F.schema_of_variant(part).startswith("OBJECT")
 
 
 def from_payloads(df: DataFrame, payload: str, schema: T.StructType = FLOW_SCHEMA) -> DataFrame:
     """Rows of JSON payloads: an object with ``flows``, a bare array or one object.
 
     Keeps the other columns and adds ``position``, the flow's place in its payload from
-    0. Payloads that are no JSON object or array give no rows; see `rejected_payloads`.
+    0. Payloads that hold no list of flows, and elements that are no object, give no
+    rows; `rejected_payloads` counts both. A field that doesn't fit its type is NULL.
     """
-    text = F.col(payload)
-    many = T.ArrayType(schema)
-    flows = (
-        F.when(_shape(text) == "[", F.from_json(text, many))
-        .when(F.get_json_object(text, "$.flows").isNotNull(),
-              F.from_json(text, T.StructType([T.StructField("flows", many)]))["flows"])
-        .otherwise(F.array(F.from_json(text, schema)))
-    )
     others = [c for c in df.columns if c != payload]
+    fields = [F.try_variant_get("_part", f"$.{f.name}", _variant_type(f.dataType)).cast(f.dataType).alias(f.name) for f in schema]
     return (
-        df.filter(_accepted(text))
+        _parsed(df, payload)
         # The outer form keeps the optimizer from parsing again just to test for empty arrays.
-        .select(*others, F.posexplode_outer(flows).alias("position", "flow"))
-        .filter(F.col("position").isNotNull())
-        .select(*others, "position", "flow.*")
+        .select(*others, F.posexplode_outer("_parts").alias("position", "_part"))
+        .filter(F.col("_part").isNotNull() & _is_object(F.col("_part")))
+        .select(*others, "position", *fields)
     )
 
 
+def _variant_type(kind: T.DataType) -> str:
+    return kind.simpleString()
+
+
 def rejected_payloads(df: DataFrame, payload: str) -> DataFrame:
-    """One row: payloads seen and payloads rejected."""
-    accepted = F.coalesce(_accepted(F.col(payload)), F.lit(False))
-    return df.agg(F.count(F.lit(1)).alias("payloads"), F.count_if(~accepted).alias("rejected"))
+    """One row: payloads seen and rejected as a whole, elements seen and rejected of the others."""
+    parsed = _parsed(df, payload)
+    elements = F.coalesce(F.size("_parts"), F.lit(0))
+    good = F.size(F.filter("_parts", lambda p: p.isNotNull() & _is_object(p)))
+    return parsed.agg(
+        F.count(F.lit(1)).alias("payloads"), F.count_if(F.col("_parts").isNull()).alias("rejected"),
+        F.coalesce(F.sum(F.when(F.col("_parts").isNotNull(), elements)), F.lit(0)).alias("elements"),
+        F.coalesce(F.sum(F.when(F.col("_parts").isNotNull(), elements - good)), F.lit(0)).alias("rejected_elements"))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from flowrisk.operators import clean, prep
 from flowrisk.operators.features import derive_features
 from flowrisk.schema import BASELINE_LEAK_COLUMNS
-from flowrisk.sources.csv_files import csv_paths, read_csv_folder
+from flowrisk.sources.csv_files import csv_headers, csv_paths, read_csv_folder
 from flowrisk.sources.records import from_payloads, from_records, rejected_payloads
 
 DEMO = [
@@ -54,7 +54,60 @@ def test_payload_shapes(spark):
     df = spark.createDataFrame(list(enumerate(bodies)), "id int, body string")
     got = {(r["id"], r["position"], r["dst_port"]) for r in from_payloads(df, "body").collect()}
     assert got == {(0, 0, 1), (0, 1, 2), (1, 0, 3), (2, 0, 4)}
-    assert tuple(rejected_payloads(df, "body").first()) == (10, 5)
+    assert tuple(rejected_payloads(df, "body").first()) == (10, 5, 4, 0)
+
+
+def test_no_payload_is_lost_uncounted(spark):
+    bodies = ["[1,2]", '{"flows": 5}', '[{"dst_port":1},7]', '{"flows": null}', '{"flows": [null, {"dst_port": 2}, {"dst_port": "x"}]}',
+              '[[{"dst_port": 3}]]', '{"dst_port": 4, "flows2": 1}']
+    df = spark.createDataFrame(list(enumerate(bodies)), "id int, body string")
+    got = {(r["id"], r["position"], r["dst_port"]) for r in from_payloads(df, "body").collect()}
+    assert got == {(2, 0, 1), (4, 1, 2), (4, 2, None), (6, 0, 4)}
+    payloads, rejected, elements, bad = rejected_payloads(df, "body").first()
+    assert (payloads, rejected) == (7, 2) and elements - bad == len(got)
+
+
+def test_csv_blank_lines_quotes_and_line_ends(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('\n  \nx,y\n"say ""hi"", you",1\n\n"C:\\",2\n')
+    (tmp_path / "b.csv").write_bytes(b"\xef\xbb\xbfx,y\r\nplain,3\r\n")
+    got = sorted(map(tuple, read_csv_folder(spark, str(tmp_path)).select("x", "y").collect()))
+    assert got == [("C:\\", 2), ("plain", 3), ('say "hi", you', 1)]
+    (tmp_path / "deep").mkdir()
+    (tmp_path / "deep" / "c.csv").write_text('x,y\n"two\nlines",4\n')
+    got = read_csv_folder(spark, str(tmp_path / "deep"), multi_line=True).collect()
+    assert [tuple(r) for r in got] == [("two\nlines", 4)]
+    (tmp_path / "empty.csv").write_text("\n\n")
+    with pytest.raises(ValueError):
+        read_csv_folder(spark, str(tmp_path))
+
+
+def test_headers_come_from_one_job(spark, tmp_path):
+    for i in range(30):
+        (tmp_path / f"{i}.csv").write_text(f"x,{'y' if i % 2 else 'z'}\n1,2\n")
+    tracker, group = spark.sparkContext.statusTracker(), "headers"
+    spark.sparkContext.setJobGroup(group, group)
+    headers = csv_headers(spark, str(tmp_path)).collect()
+    jobs = len(tracker.getJobIdsForGroup(group))
+    spark.sparkContext.setJobGroup("", "")
+    assert sorted((h["header"], h["n_files"]) for h in headers) == [("x,y", 15), ("x,z", 15)] and jobs <= 4
+
+
+def test_names_with_dots(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,x,Fwd Header Length,Fwd Header Length,label\n" + "".join(
+        f"{i},{i % 3 + 0.5},1,1,{'DoS' if i % 2 else 'Normal'}\n" for i in range(60)))
+    raw = read_csv_folder(spark, str(tmp_path))
+    assert raw.columns == ["x", "x.1", "Fwd Header Length", "Fwd Header Length.1", "label"]
+    made = clean.clean_flows(raw, training=True)
+    assert made.columns == ["x", "x.1", "Fwd Header Length", "label"] and made.count() == 60
+    assert clean.clean_baseline(raw).columns == ["x", "x.1", "label"]
+    stats = prep.fit_stats(made, exclude=["label"])
+    assert stats.numeric["x.1"].median == 1.5 and stats.transform(made).count() == 60
+
+
+def test_one_hot_vectors(spark):
+    df = spark.createDataFrame([(1, "b"), (2, None), (3, "a"), (4, "b")], "id int, service string")
+    got = {r["id"]: r["v"].toArray().tolist() for r in prep.one_hot_vectors(df, "service", "v").collect()}
+    assert got == {1: [0, 1, 0], 2: [0, 0, 1], 3: [1, 0, 0], 4: [0, 1, 0]}
 
 
 def test_clean_flows(spark):

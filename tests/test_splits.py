@@ -56,3 +56,18 @@ def test_empty(spark):
     assert splits.random_split(empty, "flow_id").count() == 0
     assert splits.stratified_split(empty, "label", "flow_id").count() == 0
     assert splits.stratified_folds(empty, "label", "flow_id").count() == 0
+
+
+def test_nothing_in_train(spark):
+    rows = spark.range(2).withColumnRenamed("id", "i")
+    assert splits.random_split(rows, "i", 0.1).filter("split = 'train'").count() == 0
+
+
+@pytest.mark.parametrize("few", [5, 1000])
+def test_many_classes_give_the_same_rows(spark, monkeypatch, few):
+    rows = spark.range(900).selectExpr("id AS i", "CASE WHEN id < 300 THEN NULL WHEN id < 600 THEN 'big' ELSE concat('c', id % 60) END AS label")
+    split = splits.stratified_split(rows, "label", "i", few=few).select("i", "split").orderBy("i").collect()
+    folds = splits.stratified_folds(rows, "label", "i", few=few).select("i", "fold").orderBy("i").collect()
+    monkeypatch.setattr("flowrisk.operators.splits.small_rows", lambda df: None)
+    assert splits.stratified_split(rows, "label", "i", few=few).select("i", "split").orderBy("i").collect() == split
+    assert splits.stratified_folds(rows, "label", "i", few=few).select("i", "fold").orderBy("i").collect() == folds
