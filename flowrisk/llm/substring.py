@@ -123,7 +123,8 @@ def repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
         .filter((F.col("_low") < F.col("_high")) | ((F.col("_some") > 0) & (F.col("_all") > F.col("_some"))))
         .select("anchor")
     )
-    shared = found.join(shared, "anchor", "left_semi")
+    # Written, as no later grouping may inherit the layout by anchor, which a hot one makes uneven.
+    shared = written(found.join(shared, "anchor", "left_semi"), "repeat-shared")
     kinds = shared.groupBy("anchor").agg((F.min("n1") < F.max("n1")).alias("_several"))
     seen = written(
         with_table(_repeats(shared, ["anchor", "n1", "n2"]), kinds, ["anchor"])
