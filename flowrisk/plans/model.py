@@ -10,7 +10,7 @@ from datetime import datetime, timezone
 from pyspark.errors import AnalysisException
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from flowrisk.functions import risk
 from flowrisk.operators.clean import clean_flows, find_target, trim_names
@@ -94,33 +94,40 @@ class FlowModel:
         }
         return FlowModel(stats, forest, classes, info, derive, tuple(exclude))
 
-    def with_probabilities(self, df: DataFrame) -> DataFrame:
-        """Input columns, ``p_<class>`` per class and ``predicted_label``."""
+    def with_probabilities(self, df: DataFrame, where: Column | str | None = None) -> DataFrame:
+        """Input columns, ``p_<class>`` per class and ``predicted_label``.
+
+        ``where`` is a condition on input columns (by trimmed names) that rows must meet;
+        it is applied before the forest, so it reaches the scan.
+        """
         df = trim_names(df)
+        if where is not None:
+            df = df.filter(where)
         # The input goes along untouched beside its cleaned copy.
         whole = df.withColumn("_input", F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in RESULT_COLUMNS]))
         rows = derive_features(clean_flows(whole, leaks=()), self.derive)
         scored = self.forest.transform(self.stats.transform(rows))
         # The forest is a function call the optimizer would copy into every filter on a
         # result column, once per use. A value that depends on the partition stays put;
-        # filters on input columns belong before the scoring.
+        # filters on input columns go into ``where``.
         p = F.when(F.spark_partition_id() >= 0, vector_to_array("probability"))
         scored = scored.select("_input.*", p.alias("_p"))
         scored = scored.select("*", *[F.col("_p")[i].alias(f"p_{c}") for i, c in enumerate(self.classes)])
         label = risk.predicted_label({c: F.col(f"p_{c}") for c in self.classes})
         return scored.withColumn("predicted_label", label).drop("_p")
 
-    def score(self, df: DataFrame, probabilities: bool = False) -> DataFrame:
+    def score(self, df: DataFrame, probabilities: bool = False, where: Column | str | None = None) -> DataFrame:
         """Input columns and the eight result columns; works on batches and streams."""
-        scored = add_risk(self.with_probabilities(df), self.classes)
+        scored = add_risk(self.with_probabilities(df, where), self.classes)
         return scored if probabilities else scored.drop(*[f"p_{c}" for c in self.classes])
 
     def score_records(self, spark: SparkSession, data: DataFrame | Mapping | list) -> DataFrame:
         return self.score(from_records(spark, data))
 
-    def detect(self, df: DataFrame, keys: Sequence[str], order: Sequence[str], **options) -> DataFrame:
+    def detect(self, df: DataFrame, keys: Sequence[str], order: Sequence[str],
+               where: Column | str | None = None, **options) -> DataFrame:
         """Score, probability map and forecast after each flow of its key."""
-        scored = self.score(df, probabilities=True)
+        scored = self.score(df, probabilities=True, where=where)
         return with_forecast(scored, keys, order, self.classes, **options).drop(
             *[f"p_{c}" for c in self.classes])
 

@@ -115,6 +115,28 @@ def correlation_lower(spark, folder):
     return explore.correlation(rows, _FEATURES).withColumn("r", r6("r"))
 
 
+_WIDE = {f"w{j}": (7 * j + 3, 11 + 2 * j) for j in range(25)}
+_WIDE_SQL = "SELECT " + ", ".join(f"(flow_id * {a} + k) % {b} * 1e0 AS {c}" for c, (a, b) in _WIDE.items()) + " FROM flows"
+
+
+def _wide_sql():
+    cells = ", ".join(f"{{'a': '{a}', 'b': '{b}', 'r': {sql6(f'corr({a}, {b})')}}}" for b, a in combinations(_WIDE, 2))
+    return f"SELECT x.a AS a, x.b AS b, x.r AS r FROM (SELECT unnest([{cells}]) AS x FROM ({_WIDE_SQL}))"
+
+
+@query(_wide_sql())
+def correlation_wide(spark, folder):
+    """All 300 pairs of 25 columns."""
+    rows = flows(spark, folder).select(*[
+        ((F.col("flow_id") * a + F.col("k")) % b).cast("double").alias(c) for c, (a, b) in _WIDE.items()])
+    return explore.correlation(rows, list(_WIDE)).withColumn("r", r6("r"))
+
+
+@query("SELECT protocol_type, label, count(*) AS n FROM flows GROUP BY 1, 2")
+def crosstab_long(spark, folder):
+    return explore.crosstab_long(flows(spark, folder), "protocol_type", "label")
+
+
 @query("""SELECT bin, low + bin * width AS low, low + (bin + 1) * width AS high, coalesce(n, 0) AS n
   FROM (SELECT CAST(range AS INTEGER) AS bin FROM range(20))
   LEFT JOIN (SELECT least(CAST(floor((packet_rate - low) / width) AS INTEGER), 19) AS bin, count(*) AS n

@@ -2,19 +2,39 @@
 
 from pyspark.sql import functions as F
 
-from flowrisk.plans.queries_trend import _OBSERVED, _RESULT, _RESULT_SQL
+from flowrisk.plans.queries_trend import _OBSERVED, _RESULT, _RESULT_SQL, GAP, QUIET_SQL
 from flowrisk.plans.registry import HOST, ORDER, query, r6, sql6
 from flowrisk.plans.scoring import RESULT_COLUMNS
 from flowrisk.session import shared_path
 from flowrisk.sources.event_flows import detections, flows_of, read_events
 from flowrisk.streaming import live
-from flowrisk.streaming.source import drain, each_batch, file_stream
+from flowrisk.streaming.source import dataset_stream, drain, each_batch, file_stream, replayed
 from flowrisk.streaming.trend import TrendBatches, forecast_stream
 
 
-def _stream(spark, folder):
-    schema = read_events(spark, folder).schema
-    return detections(flows_of(file_stream(spark, folder, schema, "events*.parquet", files_per_batch=1)))
+BATCHES = 5
+_replays: dict[tuple, tuple] = {}
+
+
+def _replay(spark, folder, closing):
+    """The events in order, in five micro-batches; with ``closing`` a sixth whose only event,
+    without a user, comes a month later and so closes all windows before it."""
+    key = (spark.sparkContext.applicationId, folder, closing)
+    if key not in _replays:
+        events = read_events(spark, folder)
+        path, _ = replayed(events, "ts", BATCHES)
+        if closing:
+            late = events.agg(F.max("ts").alias("ts")).select(*[
+                (F.col("ts") + F.expr("INTERVAL 30 DAYS") if c == "ts" else F.lit(None)).cast(events.schema[c].dataType).alias(c)
+                for c in events.columns])
+            late.coalesce(1).write.mode("append").parquet(path)
+        _replays[key] = path, events.schema
+    return _replays[key]
+
+
+def _stream(spark, folder, closing=False):
+    path, schema = _replay(spark, folder, closing)
+    return detections(flows_of(file_stream(spark, path, schema, files_per_batch=1)))
 
 
 @query("""SELECT flow_id, predicted_label, is_attack, confidence, attack_probability, risk_score, risk_level
@@ -61,8 +81,8 @@ def stream_forecast_batches(spark, folder):
             count(*) FILTER (is_attack) AS threats, {sql6("avg(risk_score)")} AS mean_risk, max(risk_score) AS risk_score
           FROM scored GROUP BY 1""", "scored")
 def stream_buckets(spark, folder):
-    rows = live.event_time(_stream(spark, folder).select(*_OBSERVED))
-    made = drain(live.bucket_risk(rows, "1 hour"), "complete")
+    rows = live.event_time(_stream(spark, folder, closing=True).select(*_OBSERVED))
+    made = drain(live.bucket_risk(rows, "1 hour"))
     return made.select(F.col("bucket_start").cast("timestamp_ntz").alias("bucket_start"), "flows", "threats",
                        r6("mean_risk"), "risk_score")
 
@@ -73,6 +93,33 @@ def stream_buckets(spark, folder):
             FROM (SELECT *, CASE WHEN ts < lag(ts) OVER (PARTITION BY host_id ORDER BY ts, flow_id) + INTERVAL 8 HOUR
               THEN 0 ELSE 1 END AS starts FROM scored)) GROUP BY host_id, session_id""", "scored")
 def stream_sessions(spark, folder):
-    rows = live.event_time(_stream(spark, folder).select(*_OBSERVED))
-    made = drain(live.session_activity(rows, HOST, "8 hours"), "complete")
+    rows = live.event_time(_stream(spark, folder, closing=True).select(*_OBSERVED))
+    made = drain(live.session_activity(rows, HOST, "8 hours"))
     return made.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")})
+
+
+@query(QUIET_SQL, "scored")
+def stream_quiet_forecast(spark, folder):
+    """The trend of a host starts anew after a quiet period, in keyed state over several batches."""
+    rows = live.event_time(_stream(spark, folder).select(*_OBSERVED))
+    made = drain(forecast_stream(rows, HOST, ORDER, ts="ts", quiet=GAP))
+    return made.select("flow_id", "forecast_risk_score", "windows_observed")
+
+
+@query("SELECT flow_id, host_id, label FROM flows")
+def stream_dataset(spark, folder):
+    """The table as it lies, one file or a folder of part files, read as a stream."""
+    path = f"{folder}/events.parquet"
+    return drain(flows_of(dataset_stream(spark, path, read_events(spark, folder).schema)).select("flow_id", "host_id", "label"))
+
+
+@query(f"SELECT CAST({BATCHES} AS BIGINT) AS batches, count(*) AS flows FROM flows")
+def stream_batches(spark, folder):
+    """Micro-batches that the replayed events take, and the flows in them."""
+    out = shared_path(spark, "batches")
+
+    def keep(batch, number):
+        batch.agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    each_batch(_stream(spark, folder).select("flow_id"), keep, shared_path(spark, "checkpoint")).awaitTermination()
+    return spark.read.parquet(f"{out}/batch=*").filter("n > 0").agg(F.count(F.lit(1)).alias("batches"), F.sum("n").alias("flows"))

@@ -168,42 +168,52 @@ def label_taxonomy(spark, folder):
 
 
 def _payloads(spark, folder):
-    """JSON payloads of every shape, one per flow; each 13th is cut short."""
+    """JSON payloads of every shape, one per flow: each 13th is cut short, each 17th has no list
+    of flows, and each 19th of the others is a list that begins with a number."""
     one = F.struct("flow_id", "duration", "src_bytes", "dst_port", "protocol_type")
     two = F.array(one, one.withField("protocol_type", F.lit("icmp")))
     i = F.col("flow_id")
     text = (
-        F.when(i % 3 == 0, F.to_json(one)).when(i % 3 == 1, F.to_json(two))
+        F.when(i % 13 == 0, F.substring(F.to_json(two), 1, 20)).when(i % 17 == 0, F.lit('{"flows": null}'))
+        .when(i % 19 == 0, F.concat(F.lit("[7, "), F.to_json(one), F.lit("]")))
+        .when(i % 3 == 0, F.to_json(one)).when(i % 3 == 1, F.to_json(two))
         .otherwise(F.to_json(F.struct(two.alias("flows"))))
     )
-    text = F.when(i % 13 == 0, F.substring(text, 1, 20)).otherwise(text)
     return flows(spark, folder).select(i.alias("payload_id"), text.alias("body"))
 
 
 @query("""SELECT flow_id AS payload_id, CAST(position AS INTEGER) AS position, flow_id, duration, src_bytes, dst_port,
-            CASE position WHEN 0 THEN protocol_type ELSE 'icmp' END AS protocol_type
+            CASE WHEN position = 0 OR flow_id % 19 = 0 THEN protocol_type ELSE 'icmp' END AS protocol_type
           FROM flows, (VALUES (0), (1)) AS p(position)
-          WHERE flow_id % 13 <> 0 AND (position = 0 OR flow_id % 3 <> 0)""")
+          WHERE flow_id % 13 <> 0 AND flow_id % 17 <> 0
+            AND CASE WHEN flow_id % 19 = 0 THEN position = 1 ELSE position = 0 OR flow_id % 3 <> 0 END""")
 def json_envelope(spark, folder):
     return from_payloads(_payloads(spark, folder), "body").select(
         "payload_id", "position", "flow_id", "duration", "src_bytes", "dst_port", "protocol_type")
 
 
-@query("SELECT count(*) AS payloads, count(*) FILTER (flow_id % 13 = 0) AS rejected FROM flows")
+@query("""SELECT count(*) AS payloads, count(*) FILTER (bad) AS rejected,
+            CAST(sum(CASE WHEN bad THEN 0 WHEN flow_id % 19 = 0 OR flow_id % 3 <> 0 THEN 2 ELSE 1 END) AS BIGINT) AS elements,
+            count(*) FILTER (NOT bad AND flow_id % 19 = 0) AS rejected_elements
+          FROM (SELECT flow_id, flow_id % 13 = 0 OR flow_id % 17 = 0 AS bad FROM flows)""")
 def json_rejected(spark, folder):
     return rejected_payloads(_payloads(spark, folder), "body")
 
 
-@query("""SELECT flow_id, duration, src_bytes, CASE WHEN flow_id % 2 = 0 THEN protocol_type END AS protocol_type, label
-          FROM flows""")
+@query("""SELECT flow_id, duration, src_bytes, CASE WHEN flow_id % 2 = 0 AND flow_id % 50 <> 7 THEN protocol_type END AS protocol_type,
+            label, CASE WHEN flow_id % 50 = 7 THEN 'say "' || CAST(flow_id AS VARCHAR) || '", ok' END AS note FROM flows""")
 def csv_union(spark, folder):
+    """Files with three headers at two depths, some with blank lines before the header and quotes in quotes."""
     target = shared_path(spark, "csv")
-    rows = flows(spark, folder)
-    even = rows.filter(F.col("flow_id") % 2 == 0).select("flow_id", "duration", "src_bytes", "protocol_type", "label")
-    odd = rows.filter(F.col("flow_id") % 2 == 1).select("label", "src_bytes", "flow_id", "duration")
+    rows, i = flows(spark, folder), F.col("flow_id")
+    even = rows.filter((i % 2 == 0) & (i % 50 != 7)).select("flow_id", "duration", "src_bytes", "protocol_type", "label")
+    odd = rows.filter((i % 2 == 1) & (i % 50 != 7)).select("label", "src_bytes", "flow_id", "duration")
     even.write.option("header", "true").csv(f"{target}/even")
     odd.write.option("header", "true").csv(f"{target}/deep/odd")
-    return read_csv_folder(spark, target)
+    line = F.concat_ws(",", i, F.concat(F.lit('"say ""'), i, F.lit('"", ok"')), "label", "duration", "src_bytes")
+    lines = rows.filter(i % 50 == 7).select(F.explode(F.array(F.lit(" "), F.lit("flow_id,note,label,duration,src_bytes"), line)))
+    lines.write.text(f"{target}/deep/noted")
+    return read_csv_folder(spark, target, pattern="part-*")
 
 
 @query("SELECT CASE WHEN flow_id % 2 = 0 THEN 'even' ELSE 'odd' END AS part, count(*) AS n FROM flows GROUP BY 1")
@@ -223,9 +233,12 @@ _KEYED = """SELECT flow_id, label, CAST('0x' || substr(md5('42:' || CAST(flow_id
             FROM flows"""
 
 
-@query(f"""SELECT flow_id, CASE WHEN rn <= (SELECT round_even(0.8e0 * count(*), 0) FROM flows) THEN 'train'
+SPLIT_SQL = f"""SELECT flow_id, CASE WHEN rn <= (SELECT round_even(0.8e0 * count(*), 0) FROM flows) THEN 'train'
              ELSE 'test' END AS split
-           FROM (SELECT flow_id, row_number() OVER (ORDER BY key) AS rn FROM ({_KEYED}))""")
+           FROM (SELECT flow_id, row_number() OVER (ORDER BY key) AS rn FROM ({_KEYED}))"""
+
+
+@query(SPLIT_SQL)
 def split_80_20(spark, folder):
     return splits.random_split(flows(spark, folder), "flow_id", method="md5").select("flow_id", "split")
 
@@ -247,6 +260,43 @@ def kfold_assign(spark, folder):
     return splits.stratified_folds(flows(spark, folder), "label", "flow_id", method="md5").select("flow_id", "fold")
 
 
+@query("""SELECT x, x1, label FROM (SELECT flow_id * 1e0 AS x, packet_rate AS x1, label FROM flows)""")
+def repeated_names(spark, folder):
+    """A file with a repeated header: names with dots through cleaning and fitted statistics."""
+    target = shared_path(spark, "csv")
+    rows = flows(spark, folder).select(F.col("flow_id").cast("double").alias("x"), F.col("packet_rate").alias("x1"), "label")
+    lines = F.explode(F.array(F.lit("x,x,label"), F.concat_ws(",", "x", "x1", "label")))  # the header before every row
+    rows.select(lines).write.text(target)
+    made = clean.clean_baseline(read_csv_folder(spark, target, pattern="part-*"))
+    stats = prep.fit_stats(made, exclude=["label"])
+    back = [(c * stats.numeric[n].std + stats.numeric[n].mean).alias(n.replace(".", "")) for c, n in zip(stats.columns(made), stats.feature_names)]
+    return made.select(*back, "label").select(r6("x"), r6("x1"), "label")
+
+
+def _wide(spark, folder):
+    """Two rows per flow with a category of their own, so there are more categories than flows."""
+    both = F.explode(F.array(*[F.concat(F.lit(side), F.col("flow_id").cast("string")) for side in "ab"]))
+    return flows(spark, folder).select("flow_id", both.alias("service"))
+
+
+@query("""SELECT service, dense_rank() OVER (ORDER BY service) - 1 AS place, 1e0 AS value, count(*) OVER () AS size
+          FROM (SELECT unnest(['a', 'b']) || CAST(flow_id AS VARCHAR) AS service FROM flows)""")
+def one_hot_wide(spark, folder):
+    made = prep.one_hot_vectors(_wide(spark, folder), "service", "v").select("service", F.unwrap_udt("v").alias("v"))
+    return made.select("service", F.element_at("v.indices", 1).cast("bigint").alias("place"),
+                       F.element_at("v.values", 1).alias("value"), F.col("v.size").cast("bigint").alias("size"))
+
+
+@query("""SELECT id, CAST((row_number() OVER (PARTITION BY class ORDER BY key) - 1) * 5 // count(*) OVER (PARTITION BY class) AS INTEGER) AS fold
+          FROM (SELECT id, class, CAST('0x' || substr(md5('42:' || CAST(id AS VARCHAR)), 1, 15) AS BIGINT) AS key
+                FROM (SELECT flow_id * 4 + j AS id, 'c' || CAST(flow_id * 2 + j % 2 AS VARCHAR) AS class FROM flows, range(4) AS t(j)))""")
+def kfold_many_classes(spark, folder):
+    rows = flows(spark, folder).select("flow_id", F.explode(F.array(*[F.lit(j) for j in range(4)])).alias("j"))
+    rows = rows.select((F.col("flow_id") * 4 + F.col("j")).alias("id"),
+                       F.concat(F.lit("c"), (F.col("flow_id") * 2 + F.col("j") % 2).cast("string")).alias("class"))
+    return splits.stratified_folds(rows, "class", "id", method="md5").select("id", "fold")
+
+
 @query(f"""SELECT flow_id, label FROM ({_KEYED}) ORDER BY key LIMIT 1000""")
 def sample_n(spark, folder):
     return splits.sample_rows(flows(spark, folder), "flow_id", 1000, method="md5").select("flow_id", "label")

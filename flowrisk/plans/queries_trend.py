@@ -135,7 +135,7 @@ def session_windows(spark, folder):
         F.count_if(F.col("predicted_label") != "Normal").alias("threats"), F.max("risk_score").alias("risk_score"))
 
 
-@query(f"""SELECT flow_id, session_id, floor(raw * 1e2 + 0.5e0) / 1e2 AS forecast_risk_score,
+SESSION_FORECAST_SQL = f"""SELECT flow_id, session_id, floor(raw * 1e2 + 0.5e0) / 1e2 AS forecast_risk_score,
     CAST(n AS INTEGER) AS windows_observed
   FROM (SELECT flow_id, session_id, n, CASE WHEN n < 2 THEN 0e0 ELSE floor(greatest(0e0, least(100e0,
       0.45e0 * floor(greatest(0e0, least(100e0, slope * 1000e0)) * 1e9 + 0.5e0) / 1e9
@@ -148,7 +148,11 @@ def session_windows(spark, folder):
       FROM (SELECT *, row_number() OVER (PARTITION BY host_id, session_id ORDER BY ts, flow_id) AS rn
             FROM ({SESSIONS_SQL}))
       WINDOW w AS (PARTITION BY host_id, session_id ORDER BY ts, flow_id
-                   ROWS BETWEEN 7 PRECEDING AND CURRENT ROW)))""", "scored")
+                   ROWS BETWEEN 7 PRECEDING AND CURRENT ROW)))"""
+QUIET_SQL = f"SELECT flow_id, forecast_risk_score, windows_observed FROM ({SESSION_FORECAST_SQL})"
+
+
+@query(SESSION_FORECAST_SQL, "scored")
 def forecast_sessions(spark, folder):
     """The trend of a host starts anew after a quiet period."""
     rows = rolling.sessions(_observed(spark, folder), HOST, "ts", ORDER, GAP)

@@ -6,13 +6,16 @@ from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from flowrisk.operators import splits
-from flowrisk.operators.clean import clean_baseline, clean_flows, find_target
+from flowrisk.operators.clean import clean_baseline, clean_flows, find_target, first_rows
 from flowrisk.operators.evaluate import classification_report, fold_f1_summary
 from flowrisk.operators.explore import distribution, drop_rare_classes, label_encode
 from flowrisk.plans.model import BASELINE, FlowModel, ForestParams
+from flowrisk.session import written
+from flowrisk.sources.csv_files import read_csv_folder
+from flowrisk.sources.sinks import export_predictions
 
 # A class needs this many rows to be learned and evaluated.
 LEAST_CLASS_ROWS = 50
@@ -23,6 +26,7 @@ def cross_validate(df: DataFrame, label: str, id_col: str, k: int = 5,
     """Out-of-fold predictions of every labelled flow: ``id, fold, truth, predicted``."""
     folded = splits.stratified_folds(clean_flows(df, training=True, target=label, keep=(id_col, *exclude)),
                                      label, id_col, k, params.seed)
+    folded = written(folded, "folds")  # every pass of every fold reads it
     left_out = list({id_col, "fold", *exclude})
     parts = []
     for fold in range(k):
@@ -31,7 +35,7 @@ def cross_validate(df: DataFrame, label: str, id_col: str, k: int = 5,
         scored = model.with_probabilities(folded.filter(F.col("fold") == fold))
         parts.append(scored.select(id_col, "fold", F.col(label).alias("truth"),
                                    F.col("predicted_label").alias("predicted")))
-    return reduce(DataFrame.unionByName, parts)
+    return written(reduce(DataFrame.unionByName, parts), "out-of-fold")  # each forest predicts once
 
 
 @dataclass(frozen=True)
@@ -71,6 +75,18 @@ def training_metadata(spark: SparkSession, run: TrainingRun, version: str = "1")
     })
 
 
+def score_files(model: FlowModel, folder: str, out: str, limit: int | None = None,
+                order: Sequence[str] = (), fmt: str = "csv", where: Column | str | None = None) -> None:
+    """Score the CSV files of a folder and export input and result columns.
+
+    ``limit`` takes the first rows in ``order``; without it all rows are scored.
+    """
+    rows = read_csv_folder(SparkSession.active(), folder)
+    if limit:
+        rows = first_rows(rows, order, limit)
+    export_predictions(model.score(rows, where=where), out, fmt)
+
+
 def train_baseline(df: DataFrame, id_col: str, params: ForestParams = BASELINE,
                    sample: int | None = None) -> tuple[FlowModel, DataFrame]:
     """Numeric-only forest on three quarters of the rows; the model and the test predictions."""
@@ -87,7 +103,7 @@ def train_baseline(df: DataFrame, id_col: str, params: ForestParams = BASELINE,
 
 
 def train_encoded(df: DataFrame, id_col: str, label: str, texts: Sequence[str],
-                  features: Sequence[str], params: ForestParams) -> tuple[FlowModel, DataFrame]:
+                  features: Sequence[str], params: ForestParams = BASELINE) -> tuple[FlowModel, DataFrame]:
     """Forest over label-encoded text columns and numbers on 80 % of the rows."""
     for c in texts:
         df = label_encode(df, c, f"{c}_code")

@@ -18,20 +18,21 @@ MISSING_TEXTS = [
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
-def _has_files(spark: SparkSession, folder: str) -> bool:
-    return _listed(spark, folder) is not None and not _listed(spark, folder).isEmpty()
+def _has_files(spark: SparkSession, folder: str, pattern: str) -> bool:
+    files = _listed(spark, folder, pattern)
+    return files is not None and not files.isEmpty()
 
 
-def csv_paths(spark: SparkSession, folder: str) -> list[str]:
-    """All ``*.csv`` under ``folder``, at any depth, sorted. Only lists, reads no content."""
-    files = _listed(spark, folder)
+def csv_paths(spark: SparkSession, folder: str, pattern: str = "*.csv") -> list[str]:
+    """All files named like ``pattern`` under ``folder``, at any depth, sorted. Only lists, reads no content."""
+    files = _listed(spark, folder, pattern)
     return [] if files is None else sorted(r["path"] for r in files.collect())
 
 
-def _listed(spark: SparkSession, folder: str) -> DataFrame | None:
+def _listed(spark: SparkSession, folder: str, pattern: str) -> DataFrame | None:
     reader = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", pattern)
     )
     try:
         return reader.load(folder).select("path")
@@ -52,7 +53,7 @@ def _distinct_names(line: str) -> tuple[str, ...]:
     return tuple(out)
 
 
-def csv_headers(spark: SparkSession, folder: str) -> DataFrame:
+def csv_headers(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
     """Files by header: ``header`` (the first line that is not blank), ``paths`` and ``n_files``.
 
     One job over all files. The text reader gives lines with their file and place, and of
@@ -61,7 +62,7 @@ def csv_headers(spark: SparkSession, folder: str) -> DataFrame:
     """
     meta = F.col("_metadata")
     lines = (
-        spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").text(folder)
+        spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(folder)
         .select(meta["file_path"].alias("path"), meta["file_block_start"].alias("block"), "value",
                 F.monotonically_increasing_id().alias("line"))
         .withColumn("value", F.regexp_replace("value", "^\ufeff|\r$", ""))
@@ -74,17 +75,18 @@ def csv_headers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def read_csv_folder(spark: SparkSession, folder: str,
-                    types: Mapping[str, str] | None = None, multi_line: bool = False) -> DataFrame:
+                    types: Mapping[str, str] | None = None, multi_line: bool = False,
+                    pattern: str = "*.csv") -> DataFrame:
     """All CSV files of a folder as one table, columns matched by name.
 
     A read of many CSV files matches columns by position, so files are read per
     distinct header and united by name. ``types`` maps trimmed names to the type they
     are read as, with unparsable text as NULL; without it, columns where every value
     is a number become DOUBLE or BIGINT. Quotes inside quoted text are doubled, blank
-    lines count for nothing, and ``multi_line`` allows line ends inside quoted text (a
+    lines and repetitions of the header line count for nothing, and ``multi_line`` allows line ends inside quoted text (a
     file is then read by one task). A file without any line that is not blank is an error.
     """
-    groups = csv_headers(spark, folder).collect() if _has_files(spark, folder) else []  # a row per header
+    groups = csv_headers(spark, folder, pattern).collect() if _has_files(spark, folder, pattern) else []  # a row per header
     if not groups:
         raise FileNotFoundError(f"no CSV file under {folder}")
     parts = []

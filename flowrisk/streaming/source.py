@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from flowrisk.session import shared_path
 
@@ -18,6 +18,39 @@ def file_stream(spark: SparkSession, folder: str, schema: T.StructType, glob: st
     return reader.load(folder)
 
 
+def dataset_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None,
+                   fmt: str = "parquet") -> DataFrame:
+    """A dataset as a stream, be it one file or a folder of part files at any depth."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
+    if found.isEmpty():
+        raise FileNotFoundError(f"no file under {path}")
+    reader = spark.readStream.format(fmt).schema(schema).option("recursiveFileLookup", "true")
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    # A lone file is a folder's only match; a folder is read with all its part files.
+    lone = found.limit(2).collect()
+    if len(lone) == 1 and lone[0]["path"].rstrip("/").endswith("/" + path.rstrip("/").rsplit("/", 1)[-1]):
+        parent, _, name = path.rstrip("/").rpartition("/")
+        return reader.option("pathGlobFilter", name).load(parent)
+    return reader.load(path)
+
+
+def replayed(df: DataFrame, ts: str, parts: int = 5, files: int = 1) -> tuple[str, DataFrame]:
+    """``df`` written in event order as ``parts`` micro-batches of ``files`` files each.
+
+    Returns the folder and the stream over it. Cut points are quantiles of ``ts``; rows of
+    one time are never parted, so arrival follows event time.
+    """
+    spark, path = df.sparkSession, shared_path(df.sparkSession, "replay")
+    at = F.col(ts).cast("timestamp").cast("double")
+    cuts = sorted(set(df.select(at.alias("at")).approxQuantile("at", [i / parts for i in range(1, parts)], 0.001)))
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        part = df if low is None else df.filter(at > low)
+        part = part if high is None else part.filter(at <= high)
+        part.repartition(files).write.mode("append").parquet(path)
+    return path, file_stream(spark, path, df.schema, files_per_batch=files)
+
+
 def append_to(stream: DataFrame, path: str, checkpoint: str):
     """Start writing an append stream to parquet, taking what is there and then stopping."""
     return (
