@@ -87,22 +87,13 @@ def _outputs(window: int) -> dict[str, Column]:
         .when(F.size(found) == 0, F.array(F.lit("STABLE")))
         .otherwise(found)
     )
-    text = F.concat_ws(
-        "; ",
-        F.when(direction.isNotNull(), F.format_string(
-            "attack probability trend over %d detections: %+.3f each, now %.0f%%",
-            n, slope, F.col("_newest") * 100.0)),
-        F.when(pressure.isNotNull(), F.format_string("weighted recent risk %.0f of 100", momentum)),
-        F.when(flagged.isNotNull(), F.format_string("%d of %d detections not benign", F.col("_suspicious"), n)),
-    )
     return {
         "forecast_risk_score": half_up(score, 2),
         "forecast_risk_level": risk_level(score),  # on the unrounded score
         "forecast_confidence": F.when(warm, half_up(n / float(window), 3)).otherwise(0.0),
         "windows_observed": n,
         "reason_codes": codes,
-        "forecast_reason": F.when(~warm, F.lit("too few detections for a trend"))
-        .when(text == "", F.lit("no notable trend")).otherwise(text),
+        "forecast_reason": F.array_join(F.transform(codes, lambda c: F.lower(F.replace(c, F.lit("_"), F.lit(" ")))), "; "),
     }
 
 

@@ -144,7 +144,9 @@ def _so_far(window: WindowSpec) -> WindowSpec:
 
 def _cut(rows: DataFrame, order: Sequence[str], n_rows: int, hot_rows: int) -> DataFrame:
     default = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    n = max(default, -(-n_rows // hot_rows))
+    # Slices are listed in small tables that are sent along, so their number has a bound:
+    # like that of a hot key, their size rises with the table.
+    n = max(default, min(-(-n_rows // hot_rows), MAX_HOT))
     cut = rows.repartitionByRange(n, "_hot", *order).withColumn("_slice", F.spark_partition_id())
     # Range bounds come from a sample, so the slices must not be computed twice.
     return written(cut, "slices")

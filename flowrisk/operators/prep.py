@@ -101,13 +101,15 @@ def active_columns(df: DataFrame, categorical: Sequence[str] = CATEGORICAL_COLUM
 
 
 def fit_stats(df: DataFrame, categorical: Sequence[str] = CATEGORICAL_COLUMNS,
-              exclude: Sequence[str] = (), few: int = FEW_VALUES) -> FitStats:
-    """Learn medians, scaling and categories of ``df``.
+              exclude: Sequence[str] = (), few: int = FEW_VALUES, only: Sequence[str] | None = None) -> FitStats:
+    """Learn medians, scaling and categories of ``df``, or of the columns ``only``.
 
     Moments are taken over the raw values; imputing u values at the median m shifts
     them by a closed formula, so the imputed table is never scanned.
     """
     cats, nums = active_columns(df, categorical, exclude)
+    if only is not None:
+        cats, nums = [c for c in cats if c in only], [c for c in nums if c in only]
     numeric: dict[str, NumericStats] = {}
     if nums:
         values = df.select(*[number(named(c)).alias(c) for c in nums])

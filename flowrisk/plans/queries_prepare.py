@@ -54,15 +54,15 @@ def flow_features_dirty(spark, folder):
     return derive_features(rows).select("flow_id", *DERIVED)
 
 
-def _stats(spark, folder):
+def _stats(spark, folder, only=None):
     rows = _cleaned(spark, folder)
-    return rows, prep.fit_stats(rows, exclude=["flow_id", "host_id", "k", "label"])
+    return rows, prep.fit_stats(rows, exclude=["flow_id", "host_id", "k", "label"], only=only)
 
 
 @query("""SELECT flow_id, coalesce(src_bytes, (SELECT median(src_bytes) FROM cleaned)) AS src_bytes,
             coalesce(duration, (SELECT median(duration) FROM cleaned)) AS duration FROM cleaned""", "cleaned")
 def median_impute(spark, folder):
-    rows, stats = _stats(spark, folder)
+    rows, stats = _stats(spark, folder, ["src_bytes", "duration"])
     return rows.select("flow_id", *[stats.imputed(rows, c).alias(c) for c in ("src_bytes", "duration")])
 
 
@@ -76,7 +76,7 @@ def _scaled_sql():
 
 @query(_scaled_sql(), "cleaned")
 def standard_scale(spark, folder):
-    rows, stats = _stats(spark, folder)
+    rows, stats = _stats(spark, folder, NUMBERS)
     scaled = rows.select("flow_id", *[c for c, name in zip(stats.columns(rows), stats.feature_names)
                                       if name in NUMBERS])
     return scaled.select("flow_id", *[r6(c) for c in NUMBERS])
@@ -86,8 +86,8 @@ def standard_scale(spark, folder):
             CASE protocol_type WHEN 'tcp' THEN 1e0 ELSE 0e0 END AS protocol_type_tcp,
             CASE protocol_type WHEN 'udp' THEN 1e0 ELSE 0e0 END AS protocol_type_udp FROM cleaned""", "cleaned")
 def one_hot(spark, folder):
-    rows, stats = _stats(spark, folder)
-    return rows.select("flow_id", *stats.columns(rows)[len(stats.numeric):])
+    rows, stats = _stats(spark, folder, ["protocol_type"])
+    return rows.select("flow_id", *stats.columns(rows))
 
 
 @query("""SELECT flow_id, label, dense_rank() OVER (ORDER BY label) - 1 AS label_code FROM cleaned""", "cleaned")

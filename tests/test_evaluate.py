@@ -92,6 +92,23 @@ def test_small_reports(spark):
     assert {tuple(r) for r in encoded.collect()} == {("a", 0), ("b", 1), (None, None)}
 
 
+def test_correlation_takes_all_given_columns(spark):
+    df = spark.range(50).select(*[(F.col("id") * (j + 3) % 17).cast("double").alias(f"c.{j}") for j in range(22)])
+    assert explore.correlation(df, df.columns).count() == 231
+    assert explore.correlation(df).count() == 190
+
+
+def test_incident_report_of_flows_without_label(spark, capsys):
+    rows = [(1, "DoS", 70.0), (2, None, 0.0), (3, "Normal", 1.0)]
+    df = spark.createDataFrame(rows, "ts int, predicted_label string, risk_score double")
+    made = report.incident_report(df, ["ts"], ["ts", "predicted_label"])
+    row = made.first()
+    assert (row["flows_evaluated"], row["threats"], row["status"], row["class_counts"]) == (3, 1, "severe", {"DoS": 1, "Normal": 1})
+    assert row["last_flow"]["ts"] == 3 and [t["ts"] for t in row["last_threats"]] == [1]
+    made.explain()
+    assert "SortAggregate" not in capsys.readouterr().out
+
+
 def test_label_encoding_of_many_values(spark, monkeypatch):
     monkeypatch.setattr("flowrisk.operators.explore.small_rows", lambda df: None)
     df = spark.range(500).select(F.concat(F.lit("v"), F.col("id") % 120).alias("v"))

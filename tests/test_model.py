@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from flowrisk.operators.evaluate import class_scores, fold_f1_summary
 from flowrisk.operators.splits import random_split, stratified_folds
 from flowrisk.plans.model import FlowModel, ForestParams
-from flowrisk.plans.queries_learn import KEYS, SMALL
+from flowrisk.plans.queries_learn import KEYS
 from flowrisk.plans.registry import HOST, ORDER, dirty_flows, flows
 from flowrisk.plans.scoring import RESULT_COLUMNS
 from flowrisk.plans.training import cross_validate, train_baseline, train_encoded, training_metadata, TrainingRun
@@ -14,6 +14,7 @@ from flowrisk.schema import CLASSES, MODEL_FEATURES
 from flowrisk.sources.sinks import export_json, export_predictions, export_split
 
 FOLDER = "/root/testdata/sf0.01"
+SMALL = ForestParams(trees=20, depth=8, max_bins=32)  # the queries run the full parameters
 
 
 @pytest.fixture(scope="module")
@@ -68,6 +69,21 @@ def test_scoring_does_not_shuffle(model, split, spark, capsys):
     assert "Exchange" not in capsys.readouterr().out
 
 
+def test_condition_on_inputs_reaches_the_scan(model, spark, capsys):
+    rows = spark.read.parquet(f"{FOLDER}/events.parquet").withColumn("packet_rate", F.col("value") * 8)
+    model.score(rows, where="event_id = 5").explain("formatted")
+    assert "EqualTo(event_id,5)" in capsys.readouterr().out
+    made = model.score(rows, where="event_id < 5")
+    assert made.count() == 5 and set(rows.columns) <= set(made.columns)
+
+
+def test_unreadable_model_is_no_missing_model(spark, tmp_path):
+    (tmp_path / "model" / "model").mkdir(parents=True)
+    with pytest.raises(Exception) as e:
+        FlowModel.load(spark, str(tmp_path / "model"))
+    assert not isinstance(e.value, FileNotFoundError)
+
+
 def test_detect_carries_map_and_forecast(model, split):
     made = model.detect(split[1], HOST, ORDER)
     row = made.orderBy(F.desc("ts")).first()

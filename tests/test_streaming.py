@@ -6,7 +6,7 @@ from flowrisk.operators.rolling import sessions
 from flowrisk.plans.queries_trend import _OBSERVED
 from flowrisk.plans.registry import scored
 from flowrisk.streaming import live
-from flowrisk.streaming.source import drain, each_batch, file_stream
+from flowrisk.streaming.source import dataset_stream, drain, each_batch, file_stream
 from flowrisk.streaming.trend import TrendBatches, forecast_stream
 
 HOST, ORDER = ["host_id"], ["ts", "flow_id"]
@@ -89,6 +89,19 @@ def test_micro_batches_hold_one_file(spark, observed, files, tmp_path):
     assert len(seen) == 5 and sum(seen) == observed.count()
 
 
+@pytest.mark.parametrize("parts", [1, 4])
+def test_dataset_as_a_stream(spark, observed, tmp_path, parts):
+    path = str(tmp_path / "events.parquet")
+    observed.repartition(parts).write.parquet(path)
+    whole = drain(dataset_stream(spark, path, observed.schema))
+    same(whole, observed)
+    lone = next(p for p in (tmp_path / "events.parquet").iterdir() if p.name.startswith("part-"))
+    assert drain(dataset_stream(spark, str(lone), observed.schema)).count() == spark.read.parquet(str(lone)).count()
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(FileNotFoundError):
+        dataset_stream(spark, str(tmp_path / "empty"), observed.schema)
+
+
 def test_buckets_close_behind_the_watermark(spark, observed, files):
     rows = live.event_time(stream(spark, observed, files), late="0 seconds")
     made = drain(live.bucket_risk(rows, "1 hour"))
