@@ -10,9 +10,10 @@ m / (n1 + n2 - m). At 0.8 a pick agrees with probability 0.8 ** 4, so all twenty
 such a pair about three times in 100,000.
 
 Equal texts (as words) first collapse to their smallest id. Members of a bucket are then
-aligned with its smallest id only, and components of the links found are built; what is
-left are pairs of a bucket in different components, and only those are aligned next. So
-a large group of true near copies costs one alignment per member and bucket, and no link
+aligned with one head of it, drawn at random, and components of the links found are
+built; so three times, with the members outside the head's component. What is left are
+pairs of a bucket in different components, and all of those are aligned at last. So a
+large group of near copies costs a few alignments per member and bucket, and no link
 between components is lost. A bucket whose members agree on four ordered shingles and
 still are mostly dissimilar remains quadratic in its size; its pairs are spread by
 Spark's join and cut by length first.
@@ -41,6 +42,7 @@ WORDS = 5
 SIMILARITY = 0.8
 SKETCHES = 20
 KMERS = 4
+HEADS = 3   # turns with a head for each bucket, before pairs are taken singly
 
 
 def _occurrences(keys: np.ndarray) -> np.ndarray:
@@ -157,6 +159,29 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb").mapInPandas(check, "a bigint, b bigint")
 
 
+def _with_heads(placed: DataFrame, turn: int, least: float) -> DataFrame:
+    """Pairs of a bucket's head, drawn anew each turn, and its members in other components."""
+    draw = F.xxhash64("rep", "key", F.lit(turn))
+    heads = placed.groupBy("key").agg(
+        F.min_by("rep", draw).alias("a"), F.min_by("root", draw).alias("_root"), F.min_by("n", draw).alias("_n"),
+        F.min("root").alias("_low"), F.max("root").alias("_high")).filter("_low < _high")
+    return (
+        placed.join(heads, "key").filter(F.col("root") != F.col("_root"))
+        .filter(F.least("n", "_n") >= F.greatest("n", "_n") * least).select("a", F.col("rep").alias("b")).distinct()
+    )
+
+
+def _open_pairs(placed: DataFrame, least: float) -> DataFrame:
+    """All pairs of a bucket that still lie in different components and whose lengths allow a link."""
+    mixed = placed.groupBy("key").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).filter("_low < _high")
+    open_ = placed.join(mixed.select("key"), "key", "left_semi")
+    one, other = open_.alias("x"), open_.alias("y")
+    pairs = one.join(other, (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep"))
+                     & (F.col("x.root") != F.col("y.root"))
+                     & (F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * least))
+    return pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY, sketches: int = SKETCHES, kmers: int = KMERS) -> DataFrame:
     """Per row of ``docs``: doc_id, class_id (smallest id reachable by links) and kept."""
     rows = written(sketched(docs, sketches, kmers), "near-sketches")
@@ -166,26 +191,22 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, sketches: int =
         rows.join(copies, ["t1", "t2"]).filter(F.col("doc_id") == F.col("rep"))
         .select("rep", "n", F.explode("keys").alias("key"))
     )
-    heads = buckets.groupBy("key").agg(F.min("rep").alias("head"), F.max("rep").alias("_last")).filter("head < _last").drop("_last")
-    shared = written(buckets.join(heads, "key"), "near-buckets")
+    crowded = buckets.groupBy("key").agg(F.min("rep").alias("_a"), F.max("rep").alias("_b")).filter("_a < _b").select("key")
+    shared = written(buckets.join(crowded, "key", "left_semi"), "near-buckets")
     texts = written(docs.select("doc_id", "text").join(
         shared.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), "near-texts")
 
-    stars = shared.filter("rep <> head").select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct()
-    links = written(_verified(stars, texts, least), "near-links")
-    roots = components(links)
-    root_of = lambda: F.coalesce("root", "rep").alias("root")
-    placed = shared.join(roots, F.col("rep") == F.col("node"), "left").select("key", "rep", "n", "head", root_of())
-    mixed = placed.groupBy("key").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).filter("_a < _b").select("key")
-    open_ = placed.filter("rep <> head").join(mixed, "key", "left_semi")
-    one, other = open_.alias("x"), open_.alias("y")
-    pairs = one.join(other, (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep"))
-                     & (F.col("x.root") != F.col("y.root"))
-                     & (F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * least))
-    pairs = pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-    more = written(_verified(pairs, texts, least), "near-links")
-    if not more.isEmpty():
-        roots = components(links.unionByName(more))
+    links, roots = None, None
+    for turn in range(HEADS + 1):
+        if roots is None:
+            placed = shared.withColumn("root", F.col("rep"))
+        else:
+            placed = shared.join(roots, F.col("rep") == F.col("node"), "left").select(
+                "key", "rep", "n", F.coalesce("root", "rep").alias("root"))
+        pairs = _with_heads(placed, turn, least) if turn < HEADS else _open_pairs(placed, least)
+        more = written(_verified(pairs, texts, least), "near-links")
+        links = more if links is None else links.unionByName(more)
+        roots = components(links)
     found = with_table(members, roots.withColumnRenamed("node", "rep"), ["rep"], "left")
     class_id = F.coalesce("root", "rep")
     return found.select("doc_id", class_id.alias("class_id"), (F.col("doc_id") == class_id).alias("kept"))
