@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from flowrisk.llm.common import with_table
-from flowrisk.session import shared_path
+from flowrisk.session import shared_path, written
 
 # Payloads shorter than this are always stored, as a revisit record would save nothing.
 LEAST_REVISIT = 1000
@@ -179,6 +179,8 @@ def assemble(records: DataFrame) -> DataFrame:
         .dropDuplicates(["record_id"]).join(metadata.select("_to", F.col("page_id").alias("_page")), F.col("record_id") == F.col("_to"))
         .select(F.col("record_id").alias("_stored"), "_n", "_digest", "_page")
     )
+    # Written, as Spark splits a hot response's revisits only where both sides are plain tables.
+    stored = written(stored, "warc-stored")
     uri = F.col("target_uri")
     return whole.join(stored, whole["refers_to"] == stored["_stored"], "left").select(
         "page_id", F.url_decode(uri.substr(F.lit(2), F.length(uri) - 2)).alias("target_uri"), "request",
@@ -195,4 +197,5 @@ def round_trip(pages: DataFrame, path: str | None = None, least: int = LEAST_REV
     spark = pages.sparkSession
     path = path or shared_path(spark, "warc")
     write_archives(pages, path, least)
-    return assemble(read_records(spark, path, with_payload))
+    records = read_records(spark, path, with_payload)
+    return assemble(records if with_payload else written(records, "warc-records"))
