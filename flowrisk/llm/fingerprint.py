@@ -16,6 +16,8 @@ empty table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from flowrisk.llm.common import partitions
@@ -90,10 +92,10 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return rows.withColumn("bins", packed_bins(F.col("text")))
 
 
-def with_next(docs: DataFrame, add: list[str]) -> DataFrame:
+def with_next(docs: DataFrame, add: list[str], prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
     """``docs`` with the columns ``add`` of the next row in descending doc_id order, as next_<name>.
 
-    The row after the last is the first. Rows are dealt into ranges of ids with about as
+    ``prepare`` may add columns to rows before they are ordered; it sees every row once. The row after the last is the first. Rows are dealt into ranges of ids with about as
     many rows each; every range also gets the first row of the range after it. The cut
     points and these rows are as many as the ranges, a fixed multiple of the partitions.
     """
@@ -116,13 +118,14 @@ def with_next(docs: DataFrame, add: list[str]) -> DataFrame:
     )
     order = Window.partitionBy("_range").orderBy("_extra", F.col("doc_id").desc_nulls_last(), "text")
     following = [F.lead(c).over(order).alias(f"next_{c}") for c in add]
-    return rows.unionByName(extra).select("*", *following).filter(~F.col("_extra")).drop("_range", "_extra")
+    return prepare(rows.unionByName(extra)).select("*", *following).filter(~F.col("_extra")).drop("_range", "_extra")
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """Per row: fingerprints of its text and of the text whose second half is the start of the next
     document, and the likeness of its fingerprint to that and to the next document's."""
-    rows = with_next(fingerprints(docs), ["text", "bins"])
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = with_next(texts, ["text", "bins"], lambda rows: rows.withColumn("bins", packed_bins(F.col("text"))))
     n = F.length("text").cast("long")
     half = F.floor(n / 2).cast("int")
     text, following = F.col("text"), F.col("next_text")
