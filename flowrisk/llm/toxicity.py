@@ -6,13 +6,13 @@ looks like, a repeated letter may be noise, a separator may be noise or end a wo
 Viterbi path under a character trigram model and the channel's costs is the restored
 text. Stretches without such signs have one path and stay as they are.
 
-Restored words are scored by their features, the word and its first three to seven
-letters. A feature is either telling, that is found in toxic texts almost only, or says
+Restored words are scored by their features, the word and, where it is common to several
+words, its beginning of three to seven letters. A feature is either telling, that is found in toxic texts almost only, or says
 nothing; labelled training texts give the odds for it, starting from ``TELLING``. A
 text's score is that of its most telling feature.
 
 Defined cases: null and empty texts have no feature and the score of one that says
-nothing; equal texts get equal scores; equal labelled texts count once; labels that are
+nothing; equal texts get equal scores; equal toxic texts count once; labels that are
 null, or of unknown ids, count for nothing, and without toxic labels no feature tells; an
 empty table gives an empty result; further columns are ignored.
 """
@@ -26,6 +26,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from flowrisk.session import written
@@ -42,7 +43,7 @@ SWAP, WILD, ODD, REPEAT, JOIN, SPLIT = 1.0, 3.5, 4.0, 0.7, 0.3, 3.0
 
 SYMBOLS = 64          # characters the language model tells apart; it has their cube at most
 TELLING = 1e-4        # share of features that tell, before any is seen
-PURE = 0.98           # share of toxic texts among those with a telling feature
+PURE = 0.995          # share of toxic texts among those with a telling feature
 PREFIXES = range(3, 8)
 TOXIC_FROM = 0.7
 START, END, OTHER = "\x02", "\x03", "\x01"
@@ -147,10 +148,10 @@ def _held_out(doc_id="doc_id"):
 
 
 def training_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Distinct (text, toxic) of the labelled documents that may be learned from."""
+    """(text, toxic) of the labelled documents that may be learned from."""
     told = labels.filter(F.col("toxic").isNotNull()).select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic"))
     texts = docs.filter(~_held_out() & F.col("text").isNotNull()).select("doc_id", "text")
-    return texts.join(told, F.col("doc_id") == F.col("_id")).select("text", "toxic").distinct()
+    return texts.join(told, F.col("doc_id") == F.col("_id")).select("text", "toxic")
 
 
 def character_model(texts: DataFrame) -> CharacterModel:
@@ -186,6 +187,12 @@ def _features(word: str) -> list[str]:
     return ["=" + word, *["^" + word[:k] for k in PREFIXES if k < len(word)]]
 
 
+def _mark(text: str) -> int:
+    """The smallest hash of the pairs of neighbouring words, which near copies of a text often share."""
+    words = text.lower().split()
+    return min((xxhash.xxh3_64_intdigest(f"{a} {b}") >> 1 for a, b in zip(words, words[1:])), default=0)
+
+
 def telling_features(texts: DataFrame, model: CharacterModel) -> tuple[dict[str, float], float]:
     """Features with the chance that a text that has them is toxic, and that of any other text.
 
@@ -195,29 +202,36 @@ def telling_features(texts: DataFrame, model: CharacterModel) -> tuple[dict[str,
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         restorer = Restorer(model)
         for batch in batches:
-            seen: dict[str, list[int]] = {}
-            for text, toxic in zip(batch["text"], batch["toxic"]):
-                for w in restorer.words(text):
-                    seen.setdefault(w[:40], [0, 0])[int(toxic == 1)] += 1
-            yield pd.DataFrame({"word": list(seen), "clean": [v[0] for v in seen.values()], "toxic": [v[1] for v in seen.values()]})
+            clean: Counter = Counter()
+            toxic = set()
+            for text, label in zip(batch["text"], batch["toxic"]):
+                words = {w[:40] for w in restorer.words(text)}
+                if label == 1:
+                    mark = _mark(text)
+                    toxic.update((w, mark) for w in words)
+                else:
+                    clean.update(words)
+            yield pd.DataFrame({"word": list(clean), "mark": pd.array([None] * len(clean), "Int64"), "clean": list(clean.values())})
+            yield pd.DataFrame({"word": [w for w, _ in toxic], "mark": pd.array([m for _, m in toxic], "Int64"), "clean": 0})
 
     totals = texts.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum((F.col("toxic") == 1).cast("int")), F.lit(0)).alias("t")).collect()[0]
     rate = (totals["t"] + 0.5) / (totals["n"] + 1.0)
-    words = (
-        texts.mapInPandas(count, "word string, clean bigint, toxic bigint")
-        .groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    )
+    words = texts.mapInPandas(count, "word string, mark bigint, clean bigint").groupBy("word", "mark").agg(F.sum("clean").alias("clean"))
+    words = written(words, "toxic-words")
     prefixes = [F.when(F.length("word") > k, F.concat(F.lit("^"), F.substring("word", 1, k))) for k in PREFIXES]
-    features = (
-        words.select(F.explode(F.array(F.concat(F.lit("="), "word"), *prefixes)).alias("feature"), "clean", "toxic")
-        .filter("feature is not null").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    )
-    least = max(3, math.ceil(totals["t"] / 2000))
+    listed = F.explode(F.array(F.concat(F.lit("="), "word"), *prefixes)).alias("feature")
+    pairs = words.filter("mark is not null").select(listed, "word", "mark").filter("feature is not null")
+    told = pairs.select("feature", "mark").distinct().groupBy("feature").agg(F.count(F.lit(1)).alias("toxic"))
+    # A beginning that owes most to one word says no more than that word.
+    most = pairs.groupBy("feature", "word").agg(F.count(F.lit(1)).alias("n")).groupBy("feature").agg(F.max("n").alias("most"))
+    told = told.join(most, "feature").filter(F.col("feature").startswith("=") | (F.col("most") <= F.col("toxic") / 2))
+    clean = words.filter("mark is null").select(listed, "clean").filter("feature is not null").groupBy("feature").agg(F.sum("clean").alias("clean"))
     odds = (math.log(TELLING) + F.col("toxic") * math.log(PURE / rate)
-            + F.col("clean") * math.log((1 - PURE) / (1 - rate)))
-    chosen = features.filter(F.col("toxic") >= least).withColumn("odds", odds).filter(F.col("odds") > -4.0)
+            + F.coalesce("clean", F.lit(0)) * math.log((1 - PURE) / (1 - rate)))
+    likely = told.filter(F.col("toxic") >= max(3, math.ceil(totals["t"] / 2000)))
+    likely = likely.join(clean, "feature", "left").select("feature", odds.alias("odds")).filter("odds > -4.0")
     chance = {}
-    for r in chosen.select("feature", "odds").collect():
+    for r in likely.collect():
         telling = 1 / (1 + math.exp(-min(r["odds"], 30.0)))
         chance[r["feature"]] = telling * PURE + (1 - telling) * rate
     return chance, rate
