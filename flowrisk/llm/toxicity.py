@@ -39,7 +39,7 @@ LOOKS_LIKE = {
 }
 SEPARATORS = " .-_,~'·"
 # Costs of the channel, as negative logarithms of its probabilities.
-SWAP, WILD, ODD, REPEAT, JOIN, SPLIT = 1.0, 3.5, 4.0, 0.7, 0.3, 3.0
+SWAP, WILD, ODD, REPEAT, JOIN, SPLIT = 1.0, 3.5, 4.0, 0.7, 0.3, 1.5
 
 SYMBOLS = 64          # characters the language model tells apart; it has their cube at most
 TELLING = 1e-4        # share of features that tell, before any is seen
@@ -110,10 +110,14 @@ def decode(noisy: str, model: CharacterModel, beam: int = 60) -> str:
 
 
 def spaced(text: str, model: CharacterModel) -> Iterator[list[str]]:
-    """Words of the stretches of single characters in a lower-case text, decoded in parts of bounded length."""
+    """Words of the stretches of single characters in a lower-case text, decoded in parts of bounded length.
+
+    Where one word ends there is often left open; so the ends of a decoded word go along.
+    """
     for m in _SPACED.finditer(text):
         for at in range(m.start(), m.end(), 400):
-            yield _LETTERS.findall(decode(text[at:min(at + 400, m.end())], model))
+            words = _LETTERS.findall(decode(text[at:min(at + 400, m.end())], model))
+            yield [w[i:] for w in words for i in range(max(1, min(len(w) - 3, 30)))]
 
 
 class Restorer:
