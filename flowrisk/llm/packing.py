@@ -91,23 +91,35 @@ class _WordIds:
             out += [ids[a:b].tobytes() for a, b in zip([0, *ends[:-1]], ends)]
         return out
 
-    def of(self, words: list[bytes]) -> bytes:
-        known = self.words.new
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            pass
-        out = {w: self.words.get(w) for w in dict.fromkeys(words)}
-        parts = {w: _plain(w.decode()) for w, ids in out.items() if ids is None}
+    def learn(self, words: set[bytes]) -> None:
+        """Make the ids of all ``words`` known, new ones in one go."""
+        missing = words.difference(self.words.new)
+        parts = {}
+        for w in missing:
+            ids = self.words.old.get(w)
+            if ids is None:
+                parts[w] = _plain(w.decode())
+            else:
+                self.words.put(w, ids)
         plain = {p: self.plain.get(p) for ps in parts.values() for p in ps}
         new = [p for p, ids in plain.items() if ids is None]
-        for p, ids in zip(new, self._encoded(new) if new else []):
+        for p, ids in zip(new, self._encoded(new)):
             plain[p] = ids
             self.plain.put(p, ids)
         for w, ps in parts.items():
-            out[w] = b"".join([plain[p] for p in ps])
-            self.words.put(w, out[w])
-        return b"".join([out[w] for w in words])
+            self.words.put(w, plain[ps[0]] if len(ps) == 1 else b"".join([plain[p] for p in ps]))
+
+    def of(self, words: list[bytes]) -> bytes:
+        known = self.words.new
+        try:
+            return b"".join([known[w] for w in words])
+        except KeyError:  # the map turned over while it learned
+            return b"".join([self._one(w) for w in words])
+
+    def _one(self, word: bytes) -> bytes:
+        ids = self.words.new.get(word)
+        ids = self.words.old.get(word) if ids is None else ids
+        return b"".join(self._encoded(list(_plain(word.decode())))) if ids is None else ids
 
 
 def _plain(word: str) -> tuple[str, ...]:
@@ -126,10 +138,19 @@ def _word_ids(path: str) -> _WordIds:
     return _WordIds(path)
 
 
-def _token_bytes(text: str | None, known: _WordIds, end_id: int) -> bytes:
-    words = (text or "").encode().split()  # bytes split at ASCII white space alone
-    parts = [known.of(words[at:at + 50_000]) for at in range(0, len(words), 50_000)]
-    return b"".join([*parts, np.array([end_id], "<u4").tobytes()])
+def _token_bytes(texts: list[str | None], known: _WordIds, end_id: int) -> Iterator[bytes]:
+    """The ids of each text and the end id."""
+    end = np.array([end_id], "<u4").tobytes()
+    at = 0
+    while at < len(texts):
+        lists, held = [], 0
+        while at < len(texts) and held < 100_000:  # words learned together
+            lists.append((texts[at] or "").encode().split())  # bytes split at ASCII white space alone
+            held += len(lists[-1])
+            at += 1
+        known.learn(set().union(*lists))
+        for words in lists:
+            yield known.of(words) + end
 
 
 def tokenized_pieces(docs: DataFrame, path: str, tokens: int = 4096, end_id: int = 1,
@@ -145,9 +166,8 @@ def tokenized_pieces(docs: DataFrame, path: str, tokens: int = 4096, end_id: int
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = _word_ids(path)
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"].astype(object), batch["text"]):
-                ids = _token_bytes(text, known, end_id)
+            rows, texts = [], [t if isinstance(t, str) else None for t in batch["text"]]
+            for doc_id, ids in zip(batch["doc_id"].astype(object), _token_bytes(texts, known, end_id)):
                 for k, at in enumerate(range(0, len(ids), 4 * tokens)):
                     part = ids[at:at + 4 * tokens]
                     row = [None if pd.isna(doc_id) else int(doc_id), k, at // 4, len(part) // 4, zlib.crc32(part)]

@@ -111,7 +111,17 @@ def test_word_by_word_ids_equal_whole_text(text):
     whole = Tokenizer.from_file(queries.tokenizer_path()).encode(text, add_special_tokens=False).ids
     known = packing._word_ids(queries.tokenizer_path())
     for _ in range(2):
-        assert np.frombuffer(packing._token_bytes(text, known, 1), "<u4").tolist() == [*whole, 1]
+        assert [np.frombuffer(b, "<u4").tolist() for b in packing._token_bytes([text, None], known, 1)] == [[*whole, 1], [1]]
+
+
+def test_a_small_cache_changes_nothing(monkeypatch):
+    rng, texts = random.Random(1), []
+    for _ in range(60):
+        texts.append(" ".join("".join(rng.choices("abcdef", k=rng.randrange(1, 6))) + rng.choice(["", ".", "'s", "é"]) for _ in range(50)))
+    want = list(packing._token_bytes(texts, packing._WordIds(queries.tokenizer_path()), 1))
+    monkeypatch.setattr(packing, "CACHE", 7)
+    known = packing._WordIds(queries.tokenizer_path())
+    assert [b for t in texts for b in packing._token_bytes([t], known, 1)] == want
 
 
 @pytest.mark.parametrize("rule", ["norm", "dot"])
