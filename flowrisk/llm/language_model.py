@@ -14,7 +14,7 @@ text, not once per byte. Texts are scored against that table in slices of at mos
 cost more passes, not other results.
 
 A base score of single words with add-one smoothing goes along. Words too rare for a
-table of ``SLICE`` words are joined by Spark instead.
+table of ``WORDS`` words are joined by Spark instead.
 
 Texts are taken in lower case (A to Z only). Defined cases: null and empty texts have no
 byte and one token, the end; a null id is trained on like the empty id; rows are scored
@@ -35,7 +35,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from flowrisk.session import written
 
 ORDER = 5
-SLICE = 1_000_000
+SLICE = 3_000_000
+WORDS = 500_000
 _BITS = 9               # of a symbol: a byte, the end or the start of a text
 _END, _START = 256, 257
 _SYMBOLS = 257          # what can follow a context
@@ -153,19 +154,30 @@ def chances(grams: DataFrame) -> DataFrame:
 
 
 def _word_hash(words: list[bytes]) -> np.ndarray:
-    return np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
+    """The hash that Spark's xxhash64 gives."""
+    return np.array([xxhash.xxh64_intdigest(w, 42) for w in words], np.uint64).view(np.int64)
 
 
-def _scored(docs: DataFrame, low: int | None, high: int | None, table: pd.DataFrame, words: pd.DataFrame | None) -> DataFrame:
-    """Per row the sum of the chances of one slice and, with ``words``, its tokens and its rare words."""
-    order = np.argsort(table["code"].to_numpy())
-    sent = {"code": table["code"].to_numpy()[order], "logp": table["logp"].to_numpy()[order]}
+def _sorted_arrays(table: DataFrame, key: str, value: str) -> tuple[np.ndarray, np.ndarray]:
+    rows = table.select(key, value).toArrow()
+    keys, values = rows.column(key).to_numpy(), rows.column(value).to_numpy()
+    del rows
+    order = np.argsort(keys)
+    return keys[order], values[order]
+
+
+def _scored(docs: DataFrame, low: int | None, high: int | None, table: DataFrame, words: DataFrame | None) -> DataFrame:
+    """Per row the sum of the chances of one slice and, with ``words``, its tokens and its rare words.
+
+    ``table`` and ``words`` come to the driver; `scores` cuts them to about ``SLICE`` and at most ``WORDS`` rows.
+    """
+    sent = dict(zip(("code", "logp"), _sorted_arrays(table, "code", "logp")))
     if words is not None:
-        hashes = _word_hash([bytes(w) for w in words["word"]])
-        order = np.argsort(hashes)
-        sent |= {"hash": hashes[order], "count": words["n"].to_numpy()[order]}
+        hashed = words.select(F.xxhash64("word").alias("hash"), "n")
+        sent |= dict(zip(("hash", "count"), _sorted_arrays(hashed, "hash", "n")))
     shared = docs.sparkSession.sparkContext.broadcast(sent)
     with_words = words is not None
+    del sent
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         t = shared.value
@@ -210,7 +222,7 @@ def _tokens(texts: list[bytes], t: dict) -> dict[str, list]:
             "rare": [[{"word": w, "times": k} for w, k in of.items()] for of in rare]}
 
 
-def scores(docs: DataFrame, train: Column | None = None, slice_rows: int = SLICE) -> DataFrame:
+def scores(docs: DataFrame, train: Column | None = None, slice_rows: int = SLICE, word_rows: int = WORDS) -> DataFrame:
     """Per row of ``docs``: doc_id, n_tokens, n_known, train_tokens, base_score and score.
 
     ``train`` tells which rows to learn from; by default those the contract names.
@@ -225,7 +237,7 @@ def scores(docs: DataFrame, train: Column | None = None, slice_rows: int = SLICE
 
     logs = written(chances(table.filter("word is null")), "ppm-chances")
     n_grams = logs.count()
-    slices = max(1, -(-n_grams // (4 * slice_rows)))
+    slices = max(1, -(-n_grams // slice_rows))
     rows = docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
     rows = written(rows, "ppm-texts") if slices > 1 else rows
     cuts = sorted({int(c) for c in logs.approxQuantile("code", [k / slices for k in range(1, slices)], 0.05 / slices)}) if slices > 1 else []
@@ -234,7 +246,7 @@ def scores(docs: DataFrame, train: Column | None = None, slice_rows: int = SLICE
     fits, floor = 0, None
     for r in words.groupBy("n").count().orderBy(F.desc("n")).toLocalIterator():
         fits += r["count"]
-        if fits > slice_rows:
+        if fits > word_rows:
             break
         floor = r["n"]
     common = words.filter(F.col("n") >= floor) if floor is not None else words.limit(0)
@@ -242,7 +254,7 @@ def scores(docs: DataFrame, train: Column | None = None, slice_rows: int = SLICE
     parts = []
     for low, high in zip([None, *cuts], [*cuts, None]):
         inside = logs.filter((F.lit(True) if low is None else F.col("code") >= low) & (F.lit(True) if high is None else F.col("code") < high))
-        parts.append(written(_scored(rows, low, high, inside.toPandas(), None if parts else common.toPandas()), "ppm-scores"))
+        parts.append(written(_scored(rows, low, high, inside, None if parts else common), "ppm-scores"))
     scored = parts[0]
     if len(parts) > 1:
         more = parts[1].select("row", "score")

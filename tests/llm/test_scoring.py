@@ -55,8 +55,8 @@ def plain_base(train, texts):
              len(t.split()) + 1, sum(counts[w] > 0 for w in [*t.split(), None])) for t in texts]
 
 
-@pytest.mark.parametrize("slice_rows", [language_model.SLICE, 40])
-def test_language_model_equals_recursion(spark, slice_rows):
+@pytest.mark.parametrize("slice_rows, word_rows", [(language_model.SLICE, language_model.WORDS), (100, 2)])
+def test_language_model_equals_recursion(spark, slice_rows, word_rows):
     rng = random.Random(6)
     rows = [(i, " ".join(rng.choice(["Ab", "abra", "cadabra", "é", "x"]) for _ in range(rng.randrange(0, 9)))) for i in range(30)]
     rows += [(30, None), (31, ""), (None, "abra"), (30, "abra abra")]
@@ -64,7 +64,7 @@ def test_language_model_equals_recursion(spark, slice_rows):
     texts = [(t or "").encode().lower() for _, t in rows]
     train = [t for t, ok in zip(texts, learned) if ok]
     docs = spark.createDataFrame([(*r, None, None, 0) for r in rows], DOCS)
-    got = language_model.scores(docs, slice_rows=slice_rows).collect()
+    got = language_model.scores(docs, slice_rows=slice_rows, word_rows=word_rows).collect()
     want = sorted((round(s, 6), round(b, 6), n, k) for s, (b, n, k) in zip(plain_ppm(train, texts), plain_base(train, texts)))
     assert sorted((round(r.score, 6), round(r.base_score, 6), r.n_tokens, r.n_known) for r in got) == want
     assert {r.train_tokens for r in got} == {sum(len(t.split()) + 1 for t in train)}
