@@ -54,6 +54,7 @@ _ONE = rf"(?:[^\W\d_]|[{_SYMBOL}])"
 _SPACED = re.compile(rf"(?<![^\s.,;:!?()]){_ONE}(?:[ .\-_,~'·]{{1,2}}{_ONE}){{3,}}(?![^\s.,;:!?()])")
 _TWISTED = re.compile(rf"[^\W\d_][{_SYMBOL}.\-_~'·]+[^\W\d_]|[{_SYMBOL}][^\W\d_]|(.)\1\1")
 _EDGE = " \t\n\r\x0b\x0c.,;:?\"'()[]{}<>"
+_RUNS = re.compile(r"^[\W_]{2,}|[\W_]{2,}$")  # of signs before or after a word, which hide nothing
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -130,7 +131,7 @@ class Restorer:
         if token not in self.known:
             if len(self.known) > 300_000:
                 self.known.clear()
-            core = token.strip(_EDGE)
+            core = _RUNS.sub("", token.strip(_EDGE))
             if _TWISTED.search(core) and len(core) <= 60:
                 core = decode(core.rstrip("!"), self.model)
             self.known[token] = tuple(_LETTERS.findall(core))
