@@ -40,7 +40,7 @@ WORDS = 500_000
 _BITS = 9               # of a symbol: a byte, the end or the start of a text
 _END, _START = 256, 257
 _SYMBOLS = 257          # what can follow a context
-_CHUNK = 2_000_000
+_CHUNK = 1_000_000
 
 
 def training(doc_id: str = "doc_id") -> Column:
@@ -184,10 +184,12 @@ def _scored(docs: DataFrame, low: int | None, high: int | None, table: DataFrame
         for batch in batches:
             for rows, texts in _chunks(batch):
                 code, first = _grams(texts)
-                at = np.minimum(np.searchsorted(t["code"], code), len(t["code"]) - 1)
+                distinct, place = np.unique(code, return_inverse=True)  # each is looked up once, in order
+                at = np.minimum(np.searchsorted(t["code"], distinct), len(t["code"]) - 1)
                 logp = t["logp"][at]
                 if low is not None or high is not None:
-                    logp = np.where(t["code"][at] == code, logp, 0.0)
+                    logp = np.where(t["code"][at] == distinct, logp, 0.0)
+                logp = logp[place]
                 out = pd.DataFrame({"row": rows["row"], "doc_id": rows["doc_id"].astype("Int64"),
                                     "score": np.add.reduceat(logp, first) if len(first) else []})
                 if with_words:
