@@ -30,7 +30,7 @@ HEX = r"[0-9a-f]{16,}"
 KINDS = ("assign", "access", "hex", "markov")
 ASSIGN_VALUE = 12
 RUN = r"[A-Za-z0-9+/_=-]{16,}"
-LEAST_RATIO = 15.0   # nats: the odds of a false find are those of a rare event
+LEAST_RATIO = 10.0   # nats: the odds of a false find are those of a rare event
 
 # Bounds of the samples the models are fitted on.
 RANDOM_SAMPLES = 20_000
