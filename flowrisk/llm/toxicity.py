@@ -52,9 +52,10 @@ _SYMBOL = "".join(re.escape(c) for c in LOOKS_LIKE)
 _ONE = rf"(?:[^\W\d_]|[{_SYMBOL}])"
 # At least four single characters, each set apart from the next.
 _SPACED = re.compile(rf"(?<![^\s.,;:!?()]){_ONE}(?:[ .\-_,~'·]{{1,2}}{_ONE}){{3,}}(?![^\s.,;:!?()])")
-_TWISTED = re.compile(rf"[^\W\d_][{_SYMBOL}.\-_~'·]+[^\W\d_]|[{_SYMBOL}][^\W\d_]|(.)\1\1")
-_EDGE = " \t\n\r\x0b\x0c.,;:?\"'()[]{}<>"
-_RUNS = re.compile(r"^[\W_]{2,}|[\W_]{2,}$")  # of signs before or after a word, which hide nothing
+_TWISTED = re.compile(rf"[^\W\d_][.\-_~'·]*[{_SYMBOL}]|[{_SYMBOL}][.\-_~'·]*[^\W\d_]|[^\W\d_][.\-_~'·]+[^\W\d_]|(.)\1\1")
+_SIGNS = re.compile(rf"(?=[\d*]*[^\d*])[{_SYMBOL}]{{3,}}")  # a word may hide in signs alone, but not in a number
+_EDGE = " \t\n\r\x0b\x0c.,;:?\"')[]{}>"  # nothing that stands for a letter
+_INNER = re.compile(r"[^\W_](?:.*[^\W_])?", re.S)
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -121,6 +122,23 @@ def spaced(text: str, model: CharacterModel) -> Iterator[list[str]]:
             yield [w[i:] for w in words for i in range(max(1, min(len(w) - 3, 30)))]
 
 
+def _borders(run: str) -> list[int]:
+    """How many signs of a run beside a word may belong to it: none, or whole groups of a sign that stands for a letter."""
+    reach = next((k for k, c in enumerate(run) if c not in LOOKS_LIKE and c not in SEPARATORS), len(run))
+    return [0, *[k for k in range(1, reach + 1) if run[k - 1] in LOOKS_LIKE and run[k - 1:k] != run[k:k + 1]]]
+
+
+def readings(token: str) -> list[str]:
+    """The stretches of a token that may be a disguised word: signs at its ends hide letters, or are none of the word."""
+    token = token.strip(_EDGE)
+    inner = _INNER.search(token)
+    if inner is None:
+        return [token]
+    low, high = inner.span()
+    ends = [high + k for k in _borders(token[high:])]
+    return [token[low - k:end] for k in _borders(token[:low][::-1]) for end in ends]
+
+
 class Restorer:
     """Words of texts, restored; remembers words it has seen, up to a bound."""
 
@@ -131,10 +149,12 @@ class Restorer:
         if token not in self.known:
             if len(self.known) > 300_000:
                 self.known.clear()
-            core = _RUNS.sub("", token.strip(_EDGE))
-            if _TWISTED.search(core) and len(core) <= 60:
-                core = decode(core.rstrip("!"), self.model)
-            self.known[token] = tuple(_LETTERS.findall(core))
+            words = {}
+            for core in readings(token):
+                if (_TWISTED.search(core) or _SIGNS.fullmatch(core)) and len(core) <= 60:
+                    core = decode(core, self.model)
+                words.update(dict.fromkeys(_LETTERS.findall(core)))
+            self.known[token] = tuple(words)
         return self.known[token]
 
     def words(self, text: str) -> set[str]:

@@ -109,6 +109,19 @@ def test_toxicity_on_held_out_and_hidden_words(spark):
     assert all(s < toxicity.TOXIC_FROM for s in scores[len(hidden):]), scores
 
 
+def test_words_disguised_at_their_ends(spark):
+    docs, labels, _ = labelled(spark, random.Random(1))
+    model = toxicity.fit(docs, labels)
+    hidden = ["an $tupid one", "@$tupid", "stup!d!!!", "1di07", "idio7", "$$cum!!", "(um $(um", "<um s<um", "you 5tup1d***", "worthle$$", "worthle55",
+              "worthle$$!!!", "$(um", "scu*"]
+    clear = ["house!!!", "**garden**", "(winter) letter###", "room$$$ 100!", "$100 *** !!! @@", "sister'' story!"]
+    texts = spark.createDataFrame(list(enumerate([*hidden, *clear])), "doc_id long, text string")
+    scores = [r.score for r in toxicity.score_texts(texts, model).orderBy("doc_id").collect()]
+    assert all(s >= toxicity.TOXIC_FROM for s in scores[:len(hidden)]), list(zip(hidden, scores))
+    assert all(s < toxicity.TOXIC_FROM for s in scores[len(hidden):]), list(zip(clear, scores[len(hidden):]))
+    assert toxicity.readings("$#!t!?") == ["t", "t!", "!t", "!t!", "#!t", "#!t!", "$#!t", "$#!t!"]
+
+
 def test_toxicity_of_odd_rows(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(1, 1, 1), (1, 1, None), (None, 0, 1), (9, None, 0), (77, 1, 1)], "doc_id long, quality int, toxic int")
     got = toxicity.scored(odd_docs, labels).collect()
