@@ -6,8 +6,11 @@ occurrence, so that repeats count. One of ``SKETCHES`` hash functions picks the
 texts that agree on such an ordered pick share the shingles and their order, which ties
 the chance to edit similarity. Texts that agree on one pick are candidates, and a banded
 alignment of the shingle sequences decides: with m aligned shingles, similarity is
-m / (n1 + n2 - m). At 0.8 a pick agrees with probability 0.8 ** 4, so all twenty miss
-such a pair about three times in 100,000.
+m / (n1 + n2 - m). At 0.8 a pick of a long text agrees with probability 0.8 ** 4, so all
+twenty miss such a pair about three times in 100,000. Picks are without replacement, so
+the fewer shingles, the less often they agree: one time in five for four of five
+shingles. Texts of up to ``SHORT`` shingles therefore have ``MORE`` further picks; at most
+seven in 100,000 pairs at 0.8 are missed at any length, where edits keep the order.
 
 Equal texts (as words) first collapse to their smallest id. Members of a bucket are then
 aligned with one head of it, drawn at random, and components of the links found are
@@ -42,6 +45,9 @@ WORDS = 5
 SIMILARITY = 0.8
 SKETCHES = 20
 KMERS = 4
+SHORT = 25   # shingles up to which a text has MORE picks
+MORE = 28
+ROUNDING = 1e-9
 HEADS = 3   # turns with a head for each bucket, before pairs are taken singly
 
 
@@ -55,9 +61,9 @@ def _occurrences(keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def order_sketch(labelled: np.ndarray, sketches: int = SKETCHES, kmers: int = KMERS) -> np.ndarray:
+def order_sketch(labelled: np.ndarray, sketches: int = SKETCHES, kmers: int = KMERS, skip: int = 0) -> np.ndarray:
     """One key per hash function: its smallest ``kmers`` of the labelled shingles, in text order."""
-    odd, offset = _functions(sketches)
+    odd, offset = _functions(sketches, skip)
     values = (labelled[None, :] ^ offset[:, None]) * odd[:, None]
     if len(labelled) > kmers:
         at = np.sort(np.argpartition(values, kmers - 1, axis=1)[:, :kmers], axis=1)
@@ -70,11 +76,19 @@ def order_sketch(labelled: np.ndarray, sketches: int = SKETCHES, kmers: int = KM
 
 
 @lru_cache(maxsize=8)
-def _functions(n: int) -> tuple[np.ndarray, np.ndarray]:
-    seeds = mix(np.arange(1, 2 * n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+def _functions(n: int, skip: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    seeds = mix(np.arange(2 * skip + 1, 2 * (skip + n) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     return seeds[:n] | np.uint64(1), seeds[n:]
 
 
+def picks(labelled: np.ndarray, sketches: int = SKETCHES, kmers: int = KMERS) -> np.ndarray:
+    """The sketch of a text, longer for a text of few shingles."""
+    keys = order_sketch(labelled, sketches, kmers)
+    if len(labelled) <= SHORT:
+        keys = np.concatenate([keys, order_sketch(labelled, MORE, kmers, sketches)])
+    return keys
+
+
 def sketched(docs: DataFrame, sketches: int = SKETCHES, kmers: int = KMERS) -> DataFrame:
     """Per row: doc_id, the 128-bit hash of its words, its number of shingles and its sketch."""
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -86,7 +100,7 @@ def sketched(docs: DataFrame, sketches: int = SKETCHES, kmers: int = KMERS) -> D
             shingles = t.span(at, np.minimum(at + WORDS, high[doc]))
             nth = _occurrences(mix(shingles + mix(doc.astype(np.uint64))))
             labelled = mix(shingles + nth.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-            keys = [order_sketch(part, sketches, kmers).view(np.int64) if len(part) else []
+            keys = [picks(part, sketches, kmers).view(np.int64) if len(part) else []
                     for part in np.split(labelled, np.cumsum(count)[:-1])]
             yield pd.DataFrame({
                 "doc_id": t.rows["doc_id"].astype("Int64"), "t1": t.span(low, high).view(np.int64),
@@ -126,7 +140,8 @@ def similarity(a: Sequence, b: Sequence, least: float) -> float:
     """Aligned share of two shingle sequences, or 0 as soon as it can't reach ``least``."""
     if not a or not b:
         return float(not a and not b)
-    need = least / (1 + least) * (len(a) + len(b))
+    # A whole number at the threshold itself, which must not come out a hair above it.
+    need = least / (1 + least) * (len(a) + len(b)) - ROUNDING
     common = min(len(a), len(b))
     if common >= need:
         left = Counter(a)
@@ -167,7 +182,7 @@ def _with_heads(placed: DataFrame, turn: int, least: float) -> DataFrame:
         F.min("root").alias("_low"), F.max("root").alias("_high")).filter("_low < _high")
     return (
         placed.join(heads, "key").filter(F.col("root") != F.col("_root"))
-        .filter(F.least("n", "_n") >= F.greatest("n", "_n") * least).select("a", F.col("rep").alias("b")).distinct()
+        .filter(F.least("n", "_n") >= F.greatest("n", "_n") * least - ROUNDING).select("a", F.col("rep").alias("b")).distinct()
     )
 
 
@@ -178,7 +193,7 @@ def _open_pairs(placed: DataFrame, least: float) -> DataFrame:
     one, other = open_.alias("x"), open_.alias("y")
     pairs = one.join(other, (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep"))
                      & (F.col("x.root") != F.col("y.root"))
-                     & (F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * least))
+                     & (F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * least - ROUNDING))
     return pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
 
 

@@ -124,6 +124,30 @@ def test_alignment_equals_dynamic_programming():
         assert near_text.aligned(a, b, 60) == lcs(a, b)
 
 
+def test_pairs_at_the_threshold_are_linked(spark):
+    rng, rows, want = random.Random(12), [], {}
+    for k in [*range(1, 41)] * 3:  # texts of 5k and 4k shingles, the shorter one the beginning or the end of the longer
+        ws = words(rng, 5 * k + 4)
+        part = ws[:4 * k + 4] if k % 2 else ws[k:]
+        a, b = (near_text.shingles_of(" ".join(x)) for x in (ws, part))
+        m = lcs(a, b)
+        assert 5 * m == 4 * (len(a) + len(b) - m) and near_text.similarity(a, b, 0.8) == 0.8
+        want |= {len(rows): len(rows), len(rows) + 1: len(rows)}
+        rows += [(len(rows), " ".join(ws)), (len(rows) + 1, " ".join(part))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in near_text.near_duplicates(docs).collect()} == want
+    for n in range(5, 3001, 5):  # m aligned of n, and one fewer
+        a = list(range(n))
+        assert near_text.similarity(a, a[:n * 4 // 5], 0.8) == 0.8 > near_text.similarity(a, a[:n * 4 // 5 - 1], 0.8)
+
+
+def test_short_texts_share_a_pick():
+    rng = np.random.default_rng(3)
+    labels = rng.integers(0, 2 ** 63, (20_000, 5), dtype=np.uint64)
+    shared = sum(bool(np.intersect1d(near_text.picks(t), near_text.picks(t[:4])).size) for t in labels)
+    assert len(labels) - shared <= 4  # a fifth of the picks agree; 20 of them would miss about 230 pairs
+
+
 def test_order_matters_to_a_sketch():
     labels = near_text.mix(np.arange(1, 200, dtype=np.uint64))
     a, b = near_text.order_sketch(labels), near_text.order_sketch(labels[::-1].copy())
