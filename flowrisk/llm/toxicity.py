@@ -25,6 +25,7 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
@@ -46,6 +47,8 @@ TELLING = 1e-4        # share of features that tell, before any is seen
 PURE = 0.995          # share of toxic texts among those with a telling feature
 PREFIXES = range(3, 8)
 TOXIC_FROM = 0.7
+WINDOW, OVERLAP = 400, 200  # signs decoded together, and those shared by neighbouring windows
+WILD_AT = {c: i for i, c in enumerate(LOOKS_LIKE["*"])}
 START, END, OTHER = "\x02", "\x03", "\x01"
 
 _SYMBOL = "".join(re.escape(c) for c in LOOKS_LIKE)
@@ -66,6 +69,7 @@ class CharacterModel:
     counts: dict[str, float]
     alphabet: frozenset[str]
     _known: dict[str, float] = field(default_factory=dict)
+    _cube: np.ndarray | None = None
 
     def cost(self, before: str, c: str) -> float:
         """Negative log probability of ``c`` after the two characters ``before``."""
@@ -80,46 +84,83 @@ class CharacterModel:
             self._known[key] = -math.log(p)
         return self._known[key]
 
+    def cube(self) -> np.ndarray:
+        """The cost of each letter a wild sign may stand for after each two of them."""
+        if self._cube is None:
+            letters = LOOKS_LIKE["*"]
+            self._cube = np.array([[[self.cost(a + b, c) for c in letters] for b in letters] for a in letters])
+        return self._cube
 
-def decode(noisy: str, model: CharacterModel, beam: int = 60) -> str:
-    """The likeliest clear text of a lower-case stretch."""
-    paths = {START + START: (0.0, "")}
+
+def decode(noisy: str, model: CharacterModel) -> str:
+    """The likeliest clear text of a lower-case stretch. All states are kept, at most the square of the letters at a place."""
+    places = [{START + START: (0.0, "", "")}]  # of each state: cost, the state before and what was added
     for o in noisy:
-        step: dict[str, tuple[float, str]] = {}
+        paths = places[-1]
+        step: dict[str, tuple[float, str, str]] = {}
 
-        def offer(state: str, cost: float, out: str) -> None:
+        def offer(state: str, cost: float, before: str, out: str) -> None:
             if state not in step or cost < step[state][0]:
-                step[state] = (cost, out)
+                step[state] = (cost, before, out)
 
         likes = LOOKS_LIKE.get(o, "")
-        for state, (cost, out) in paths.items():
+        dense = len(likes) > 2 and len(paths) > 100
+        if dense:
+            _any_letter(paths, model, step)
+        for state, (cost, *_) in paths.items():
             last = state[1]
             if o in SEPARATORS:
-                offer(state, cost + JOIN, out)
+                offer(state, cost + JOIN, state, "")
                 if last != START:
-                    offer(START + START, cost + SPLIT + model.cost(state, END), out + " ")
+                    offer(START + START, cost + SPLIT + model.cost(state, END), state, " ")
                 continue
             if o.isalpha():
-                offer(last + o, cost + model.cost(state, o), out + o)
+                offer(last + o, cost + model.cost(state, o), state, o)
             else:
-                offer(last + o, cost + ODD + model.cost(state, o), out + o)
-            for c in likes:
-                offer(last + c, cost + (WILD if len(likes) > 2 else SWAP) + model.cost(state, c), out + c)
+                offer(last + o, cost + ODD + model.cost(state, o), state, o)
+            if not (dense and state[0] in WILD_AT and last in WILD_AT):
+                for c in likes:
+                    offer(last + c, cost + (WILD if len(likes) > 2 else SWAP) + model.cost(state, c), state, c)
             if last == o or last in likes and len(likes) <= 2:
-                offer(state, cost + REPEAT, out)
-        paths = dict(sorted(step.items(), key=lambda s: (s[1][0], s[0]))[:beam])
-    return min((cost + model.cost(state, END), out) for state, (cost, out) in paths.items())[1]
+                offer(state, cost + REPEAT, state, "")
+        places.append(step)
+    state = min((cost + model.cost(state, END), state) for state, (cost, *_) in places[-1].items())[1]
+    out = []
+    for step in reversed(places):
+        _, state, added = step[state] if state in step else (0.0, state, "")
+        out.append(added)
+    return "".join(reversed(out))
+
+
+def _any_letter(paths: dict, model: CharacterModel, step: dict) -> None:
+    """Offers any letter after the states of two letters, by arrays: there are up to 676 states."""
+    n, letters = len(WILD_AT), LOOKS_LIKE["*"]
+    costs = np.full((n, n), np.inf)
+    for state, (cost, *_) in paths.items():
+        if state[0] in WILD_AT and state[1] in WILD_AT:
+            costs[WILD_AT[state[0]], WILD_AT[state[1]]] = cost
+    whole = costs[:, :, None] + model.cube()
+    first, best = whole.argmin(axis=0).tolist(), (whole.min(axis=0) + WILD).tolist()
+    for i, b in enumerate(letters):
+        for j, c in enumerate(letters):
+            if best[i][j] < math.inf:
+                step[b + c] = (best[i][j], letters[first[i][j]] + b, c)
+
+
+def decoded(text: str, model: CharacterModel) -> Iterator[list[str]]:
+    """Words of a decoded stretch, window by window: each word of up to ``OVERLAP`` signs is whole in one of them."""
+    for at in range(0, max(len(text) - OVERLAP, 1), WINDOW - OVERLAP):
+        yield _LETTERS.findall(decode(text[at:at + WINDOW], model))
 
 
 def spaced(text: str, model: CharacterModel) -> Iterator[list[str]]:
-    """Words of the stretches of single characters in a lower-case text, decoded in parts of bounded length.
+    """Words of the stretches of single characters in a lower-case text.
 
-    Where one word ends there is often left open; so the ends of a decoded word go along.
+    Where one word ends there is often left open; so all ends of a decoded word go along.
     """
     for m in _SPACED.finditer(text):
-        for at in range(m.start(), m.end(), 400):
-            words = _LETTERS.findall(decode(text[at:min(at + 400, m.end())], model))
-            yield [w[i:] for w in words for i in range(max(1, min(len(w) - 3, 30)))]
+        for words in decoded(m.group(), model):
+            yield [w[i:] for w in words for i in range(max(1, len(w) - 3))]
 
 
 def _borders(run: str) -> list[int]:
@@ -151,9 +192,11 @@ class Restorer:
                 self.known.clear()
             words = {}
             for core in readings(token):
-                if (_TWISTED.search(core) or _SIGNS.fullmatch(core)) and len(core) <= 60:
-                    core = decode(core, self.model)
-                words.update(dict.fromkeys(_LETTERS.findall(core)))
+                if _TWISTED.search(core) or _SIGNS.fullmatch(core):
+                    for part in decoded(core, self.model):
+                        words.update(dict.fromkeys(part))
+                else:
+                    words.update(dict.fromkeys(_LETTERS.findall(core)))
             self.known[token] = tuple(words)
         return self.known[token]
 
@@ -188,7 +231,7 @@ def character_model(texts: DataFrame) -> CharacterModel:
                 words.update(set(_LETTERS.findall(text.lower())))
             grams: Counter = Counter()
             for w, n in words.items():
-                padded = START + START + w[:40] + END
+                padded = START + START + w + END
                 for i in range(2, len(padded)):
                     grams[padded[i - 2:i + 1]] += n
             yield pd.DataFrame({"gram": list(grams), "n": list(grams.values())})
@@ -230,7 +273,7 @@ def telling_features(texts: DataFrame, model: CharacterModel) -> tuple[dict[str,
             clean: Counter = Counter()
             toxic = set()
             for text, label in zip(batch["text"], batch["toxic"]):
-                words = {w[:40] for w in restorer.words(text)}
+                words = restorer.words(text)
                 if label == 1:
                     mark = _mark(text)
                     toxic.update((w, mark) for w in words)
@@ -286,7 +329,7 @@ def score_texts(docs: DataFrame, model: ToxicityModel) -> DataFrame:
         restorer, tells, known = Restorer(model.characters), model.features, {}
 
         def of_words(words) -> float:
-            return max([tells[f] for w in words for f in _features(w[:40]) if f in tells], default=model.rate)
+            return max([tells[f] for w in words for f in _features(w) if f in tells], default=model.rate)
 
         for batch in batches:
             scores = []

@@ -122,6 +122,51 @@ def test_words_disguised_at_their_ends(spark):
     assert toxicity.readings("$#!t!?") == ["t", "t!", "!t", "!t!", "#!t", "#!t!", "$#!t", "$#!t!"]
 
 
+def plain_cost(noisy, model):
+    """Cost of the likeliest clear text, over all pairs of letters at every place."""
+    start, paths = toxicity.START, {(toxicity.START, toxicity.START): 0.0}
+    for o in noisy:
+        step = {}
+        likes = toxicity.LOOKS_LIKE.get(o, "")
+        for (a, b), cost in paths.items():
+            to = []
+            if o in toxicity.SEPARATORS:
+                to.append(((a, b), toxicity.JOIN))
+                if b != start:
+                    to.append(((start, start), toxicity.SPLIT + model.cost(a + b, toxicity.END)))
+            else:
+                to.append(((b, o), (0 if o.isalpha() else toxicity.ODD) + model.cost(a + b, o)))
+                to += [((b, c), (toxicity.WILD if o == "*" else toxicity.SWAP) + model.cost(a + b, c)) for c in likes]
+                if b == o or b in likes and o != "*":
+                    to.append(((a, b), toxicity.REPEAT))
+            for state, more in to:
+                step[state] = min(step.get(state, math.inf), cost + more)
+        paths = step
+    return min(cost + model.cost(a + b, toxicity.END) for (a, b), cost in paths.items())
+
+
+def test_decoding_is_exact_and_cuts_nothing(spark):
+    rng = random.Random(2)
+    common = ["".join(rng.choice("bcdghlmnprstvw") + rng.choice("aeiou") for _ in range(rng.randrange(1, 5))) for _ in range(300)]
+    rare = "flyck"  # dear until its last letters are seen
+    model = toxicity.character_model(spark.createDataFrame([(" ".join([*common, *[rare, "yck", "lyck"]]),)] * 3, "text string"))
+    assert toxicity.decode("", model) == ""
+    for noisy in ["f**ck", "f***k", "fl**k", "*****", "f* *k!!", "sh.1.t***er", "ccc**yyk", "b4d**dog***"]:
+        clear = toxicity.decode(noisy, model)
+        if not set(clear) & set(" !") and len(clear) == len(noisy) and "." not in noisy:
+            swaps = [(o, c) for o, c in zip(noisy, clear) if o != c]
+            cost = sum(toxicity.WILD if o == "*" else toxicity.SWAP for o, _ in swaps)
+            padded = toxicity.START * 2 + clear + toxicity.END
+            cost += sum(model.cost(padded[i - 2:i], padded[i]) for i in range(2, len(padded)))
+            assert cost == pytest.approx(plain_cost(noisy, model))
+    docs, labels, _ = labelled(spark, rng)
+    model = toxicity.fit(docs, labels)
+    hidden = ["id10t-" + "house." * 30, " ".join("house" * 60 + "idiot" + "garden" * 40), " ".join("winterhouse" * 9 + "idiot")]
+    hidden += [" ".join("house" * n + "worthless") for n in range(37, 42)]  # words across the end of a window
+    scores = [r.score for r in toxicity.score_texts(spark.createDataFrame(list(enumerate(hidden)), "doc_id long, text string"), model).orderBy("doc_id").collect()]
+    assert all(s >= toxicity.TOXIC_FROM for s in scores), scores
+
+
 def test_toxicity_of_odd_rows(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(1, 1, 1), (1, 1, None), (None, 0, 1), (9, None, 0), (77, 1, 1)], "doc_id long, quality int, toxic int")
     got = toxicity.scored(odd_docs, labels).collect()
