@@ -12,7 +12,7 @@ nothing; labelled training texts give the odds for it, starting from ``TELLING``
 text's score is that of its most telling feature.
 
 Defined cases: null and empty texts have no feature and the score of one that says
-nothing; equal texts get equal scores; equal toxic texts count once; labels that are
+nothing; equal texts get equal scores; equal texts of one label count once; labels that are
 null, or of unknown ids, count for nothing, and without toxic labels no feature tells; an
 empty table gives an empty result; further columns are ignored.
 """
@@ -46,6 +46,8 @@ SYMBOLS = 64          # characters the language model tells apart; it has their
 TELLING = 1e-4        # share of features that tell, before any is seen
 PURE = 0.995          # share of toxic texts among those with a telling feature
 PREFIXES = range(3, 8)
+SUPPORT = 3           # different toxic texts a telling feature occurs in
+BROADCAST = 300_000   # features sent to every worker; more are joined
 TOXIC_FROM = 0.7
 WINDOW, OVERLAP = 400, 200  # signs decoded together, and those shared by neighbouring windows
 WILD_AT = {c: i for i, c in enumerate(LOOKS_LIKE["*"])}
@@ -216,10 +218,20 @@ def _held_out(doc_id="doc_id"):
 
 
 def training_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, toxic) of the labelled documents that may be learned from."""
-    told = labels.filter(F.col("toxic").isNotNull()).select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic"))
-    texts = docs.filter(~_held_out() & F.col("text").isNotNull()).select("doc_id", "text")
-    return texts.join(told, F.col("doc_id") == F.col("_id")).select("text", "toxic")
+    """(text, toxic, weight) of the labelled documents that may be learned from.
+
+    Of equal texts with one label only those of the smallest id are listed, and the weights
+    of repeated rows of that id make one. Texts move once; copies are found by their hashes.
+    """
+    told = labels.filter(F.col("toxic").isNotNull()).select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic")).distinct()
+    texts = docs.filter(~_held_out() & F.col("text").isNotNull()).select("doc_id", "text", F.xxhash64("text").alias("_hash"))
+    first = (
+        texts.select("doc_id", "_hash").join(told, F.col("doc_id") == F.col("_id"))
+        .groupBy("_hash", "toxic", "doc_id").agg(F.count(F.lit(1)).alias("rows"))
+        .groupBy("_hash", "toxic").agg(F.min(F.struct("doc_id", "rows")).alias("first"))
+        .select(F.col("_hash").alias("_same"), "toxic", F.col("first.doc_id").alias("_id"), (1 / F.col("first.rows")).alias("weight"))
+    )
+    return texts.join(first, (F.col("doc_id") == F.col("_id")) & (F.col("_hash") == F.col("_same"))).select("text", "toxic", "weight")
 
 
 def character_model(texts: DataFrame) -> CharacterModel:
@@ -255,36 +267,33 @@ def _features(word: str) -> list[str]:
     return ["=" + word, *["^" + word[:k] for k in PREFIXES if k < len(word)]]
 
 
-def _mark(text: str) -> int:
-    """The smallest hash of the pairs of neighbouring words, which near copies of a text often share."""
-    words = text.lower().split()
-    return min((xxhash.xxh3_64_intdigest(f"{a} {b}") >> 1 for a, b in zip(words, words[1:])), default=0)
-
+def telling_features(texts: DataFrame, model: CharacterModel) -> tuple[DataFrame, float]:
+    """(feature, chance): features and the chance that a text with one is toxic; and that of any other text.
 
-def telling_features(texts: DataFrame, model: CharacterModel) -> tuple[dict[str, float], float]:
-    """Features with the chance that a text that has them is toxic, and that of any other text.
-
-    A feature must occur in a two-thousandth of the toxic texts, and in three; so there are
-    at most 2,000 times as many as an average toxic text has, however many texts there are.
+    A feature must occur in ``SUPPORT`` different toxic texts, however many there are.
     """
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         restorer = Restorer(model)
         for batch in batches:
             clean: Counter = Counter()
             toxic = set()
-            for text, label in zip(batch["text"], batch["toxic"]):
+            for text, label, weight in zip(batch["text"], batch["toxic"], batch["weight"]):
                 words = restorer.words(text)
                 if label == 1:
-                    mark = _mark(text)
+                    mark = xxhash.xxh3_64_intdigest(text) >> 1
                     toxic.update((w, mark) for w in words)
-                else:
+                elif weight == 1.0:
                     clean.update(words)
-            yield pd.DataFrame({"word": list(clean), "mark": pd.array([None] * len(clean), "Int64"), "clean": list(clean.values())})
-            yield pd.DataFrame({"word": [w for w, _ in toxic], "mark": pd.array([m for _, m in toxic], "Int64"), "clean": 0})
+                else:
+                    for w in words:
+                        clean[w] += weight
+            yield pd.DataFrame({"word": list(clean), "mark": pd.array([None] * len(clean), "Int64"), "clean": pd.Series(clean.values(), dtype="float64")})
+            yield pd.DataFrame({"word": [w for w, _ in toxic], "mark": pd.array([m for _, m in toxic], "Int64"), "clean": 0.0})
 
-    totals = texts.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum((F.col("toxic") == 1).cast("int")), F.lit(0)).alias("t")).collect()[0]
+    totals = texts.agg(*[F.coalesce(F.round(F.sum(x), 3), F.lit(0.0)).alias(n) for n, x in (
+        ("n", F.col("weight")), ("t", F.when(F.col("toxic") == 1, F.col("weight"))))]).collect()[0]
     rate = (totals["t"] + 0.5) / (totals["n"] + 1.0)
-    words = texts.mapInPandas(count, "word string, mark bigint, clean bigint").groupBy("word", "mark").agg(F.sum("clean").alias("clean"))
+    words = texts.mapInPandas(count, "word string, mark bigint, clean double").groupBy("word", "mark").agg(F.sum("clean").alias("clean"))
     words = written(words, "toxic-words")
     prefixes = [F.when(F.length("word") > k, F.concat(F.lit("^"), F.substring("word", 1, k))) for k in PREFIXES]
     listed = F.explode(F.array(F.concat(F.lit("="), "word"), *prefixes)).alias("feature")
@@ -293,35 +302,36 @@ def telling_features(texts: DataFrame, model: CharacterModel) -> tuple[dict[str,
     # A beginning that owes most to one word says no more than that word.
     most = pairs.groupBy("feature", "word").agg(F.count(F.lit(1)).alias("n")).groupBy("feature").agg(F.max("n").alias("most"))
     told = told.join(most, "feature").filter(F.col("feature").startswith("=") | (F.col("most") <= F.col("toxic") / 2))
-    clean = words.filter("mark is null").select(listed, "clean").filter("feature is not null").groupBy("feature").agg(F.sum("clean").alias("clean"))
+    clean = words.filter("mark is null").select(listed, "clean").filter("feature is not null").groupBy("feature").agg(F.round(F.sum("clean"), 3).alias("clean"))
     odds = (math.log(TELLING) + F.col("toxic") * math.log(PURE / rate)
             + F.coalesce("clean", F.lit(0)) * math.log((1 - PURE) / (1 - rate)))
-    likely = told.filter(F.col("toxic") >= max(3, math.ceil(totals["t"] / 2000)))
+    likely = told.filter(F.col("toxic") >= SUPPORT)
     likely = likely.join(clean, "feature", "left").select("feature", odds.alias("odds")).filter("odds > -4.0")
-    chance = {}
-    for r in likely.collect():
-        telling = 1 / (1 + math.exp(-min(r["odds"], 30.0)))
-        chance[r["feature"]] = telling * PURE + (1 - telling) * rate
-    return chance, rate
+    telling = 1 / (1 + F.exp(-F.least("odds", F.lit(30.0))))
+    return written(likely.select("feature", (telling * PURE + (1 - telling) * rate).alias("chance")), "toxic-features"), rate
 
 
 @dataclass
 class ToxicityModel:
     characters: CharacterModel
-    features: dict[str, float]
+    features: dict[str, float] | None  # None: there are more than ``BROADCAST``, all of them in ``table``
     rate: float
+    table: DataFrame | None = None
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     texts = written(training_texts(docs, labels), "toxic-texts")
     characters = character_model(texts)
-    features, rate = telling_features(texts, characters)
-    return ToxicityModel(characters, features, rate)
+    table, rate = telling_features(texts, characters)
+    few = table.count() <= BROADCAST
+    return ToxicityModel(characters, {r["feature"]: r["chance"] for r in table.collect()} if few else None, rate, table)
 
 
 def score_texts(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """``docs``, which must not have a column of that name, with score, that of the most telling feature of its restored words."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    if model.features is None:
+        return _scored_by_join(docs, model)
+    shared = docs.sparkSession.sparkContext.broadcast(ToxicityModel(model.characters, model.features, model.rate))
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -350,6 +360,25 @@ def score_texts(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     return docs.withColumn("score", score(F.col("text")))
 
 
+def _scored_by_join(docs: DataFrame, model: ToxicityModel) -> DataFrame:
+    """As ``score_texts``, with the table of features joined to the words of the texts instead of broadcast."""
+    shared = docs.sparkSession.sparkContext.broadcast(model.characters)
+
+    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        restorer = Restorer(shared.value)
+        for batch in batches:
+            for row, text in zip(batch["_at"], batch["text"]):
+                words = restorer.words(text) if isinstance(text, str) else ()
+                features = list({f for w in words for f in _features(w)})
+                yield pd.DataFrame({"_row": row, "feature": pd.Series(features, dtype=object)})
+
+    rows = written(docs.withColumn("_at", F.monotonically_increasing_id()), "toxic-rows")
+    found = rows.select("_at", "text").mapInPandas(listed, "_row bigint, feature string").join(model.table, "feature")
+    best = found.groupBy("_row").agg(F.max("chance").alias("_best"))
+    score = F.greatest(F.coalesce("_best", F.lit(model.rate)), F.lit(model.rate))
+    return rows.join(best, F.col("_at") == F.col("_row"), "left").select(*docs.columns, score.alias("score"))
+
+
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, text, held_out, score and predicted per row of ``docs``."""
     rows = score_texts(docs.select("doc_id", "text"), fit(docs, labels))

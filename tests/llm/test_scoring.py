@@ -167,6 +167,28 @@ def test_decoding_is_exact_and_cuts_nothing(spark):
     assert all(s >= toxicity.TOXIC_FROM for s in scores), scores
 
 
+def test_copies_don_t_raise_the_bar(spark, monkeypatch):
+    docs, labels, rows = labelled(spark, random.Random(1))
+    held = [zlib.crc32(str(i).encode()) % 3 == 1 for i in range(20_000)]
+    copies = [i for i in range(1000, 20_000) if not held[i]]
+    rare = [i for i in range(600, 1000) if not held[i]][:7]
+    more = [(i, "bastard garden " + "house " * k) for k, i in enumerate(rare[:4])]  # begin alike, each a text of its own
+    more += [(i, "moron") for i in rare[4:]] + [(i, "scum house story") for i in copies]
+    more_docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in more], DOCS).unionByName(docs)
+    more_labels = spark.createDataFrame([(i, 1, 1) for i, _ in more], "doc_id long, quality int, toxic int").unionByName(labels)
+    texts = toxicity.training_texts(more_docs, more_labels)
+    toxic = {t for i, t, y in rows if y and not held[i]} | {t.strip() for _, t in more}
+    assert round(texts.filter("toxic = 1").agg(F.sum("weight")).first()[0]) == len(toxic)
+    model = toxicity.fit(more_docs.unionByName(docs), more_labels)  # rows repeated, too
+    assert "=bastard" in model.features and "=moron" not in model.features
+    asked = more_docs.filter("doc_id < 1000").withColumn("_id", F.lit("clash"))
+    want = {r.doc_id: r.score for r in toxicity.score_texts(asked, model).collect()}
+    monkeypatch.setattr(toxicity, "BROADCAST", 0)
+    joined = toxicity.fit(more_docs, more_labels)
+    assert joined.features is None
+    assert {r.doc_id: r.score for r in toxicity.score_texts(asked, joined).collect()} == pytest.approx(want)
+
+
 def test_toxicity_of_odd_rows(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(1, 1, 1), (1, 1, None), (None, 0, 1), (9, None, 0), (77, 1, 1)], "doc_id long, quality int, toxic int")
     got = toxicity.scored(odd_docs, labels).collect()
