@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 from flowrisk.operators.evaluate import class_scores, fold_f1_summary
 from flowrisk.operators.splits import random_split, stratified_folds
 from flowrisk.plans.model import FlowModel, ForestParams
+from flowrisk.plans import queries_learn
 from flowrisk.plans.queries_learn import KEYS
 from flowrisk.plans.registry import HOST, ORDER, dirty_flows, flows
 from flowrisk.plans.scoring import RESULT_COLUMNS
-from flowrisk.plans.training import cross_validate, train_baseline, train_encoded, training_metadata, TrainingRun
+from flowrisk.plans.training import cross_validate, score_files, train_baseline, train_encoded, training_metadata, TrainingRun
 from flowrisk.schema import CLASSES, MODEL_FEATURES
 from flowrisk.sources.sinks import export_json, export_predictions, export_split
 
@@ -77,6 +78,25 @@ def test_condition_on_inputs_reaches_the_scan(model, spark, capsys):
     assert made.count() == 5 and set(rows.columns) <= set(made.columns)
 
 
+def test_files_are_scored_whole(model, spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(queries_learn, "_model", lambda *_: model)
+    monkeypatch.setattr(queries_learn, "shared_path", lambda _, purpose: str(tmp_path / purpose))
+    folder = "/root/testdata/sf0.001"
+    queries_learn.score_file(spark, folder)
+    back = spark.read.option("header", "true").csv(str(tmp_path / "scored"))
+    want = flows(spark, folder).select(F.col("flow_id").cast("string"))
+    assert back.count() == want.count() and want.exceptAll(back.select("flow_id")).count() == 0
+    assert back.filter("risk_score is null or cast(risk_score as double) < 0").count() == 0
+
+
+def test_files_are_scored_under_a_condition(model, spark, tmp_path):
+    flows(spark, FOLDER).filter("flow_id < 50").write.option("header", "true").csv(str(tmp_path / "in"))
+    score_files(model, str(tmp_path / "in"), str(tmp_path / "out"), where="flow_id % 4 = 0")
+    back = spark.read.option("header", "true").csv(str(tmp_path / "out"))
+    want = flows(spark, FOLDER).filter("flow_id < 50 and flow_id % 4 = 0").select(F.col("flow_id").cast("string"))
+    assert sorted(back.select("flow_id").collect()) == sorted(want.collect())
+
+
 def test_unreadable_model_is_no_missing_model(spark, tmp_path):
     (tmp_path / "model" / "model").mkdir(parents=True)
     with pytest.raises(Exception) as e:
