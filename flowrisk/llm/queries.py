@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowrisk.llm import fingerprint, language_model, mixing, near_text, near_vectors, packing, secrets, substring, toxicity, warc
+from flowrisk.llm import collocations, decontaminate, fingerprint, hard_negatives, language_model, mixing, near_text, near_vectors, packing, secrets, substring, toxicity, warc
 from flowrisk.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -71,7 +71,25 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(pieces, capacity)
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_ppm_scoring, op3_source_mixing, op4_toxicity, op5_vector_dedup, op6_order_minhash, op7_fingerprints, op8_secrets, op9_warc, op10_best_fit_packing)}
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+def op12_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"))
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, folder, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_substring_dedup, op2_ppm_scoring, op3_source_mixing, op4_toxicity, op5_vector_dedup, op6_order_minhash, op7_fingerprints,
+    op8_secrets, op9_warc, op10_best_fit_packing, op11_collocations, op12_decontamination, op13_hard_negatives)}
 
 CHECKS = {
     "op1_substring_dedup": r"""
@@ -91,4 +109,53 @@ CHECKS = {
         CASE WHEN n >= 1000 AND m <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
         CASE WHEN n >= 1000 AND m <> page_id THEN m END AS refers_to
       FROM g""",
+    "op11_collocations": r"""
+      WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+      words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+      grams AS (SELECT lang, k, ws[i:i + k - 1] AS p FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i
+                FROM words, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(ws) >= k)),
+      f AS (SELECT lang, k, p, count(*) AS a FROM grams GROUP BY ALL),
+      n AS (SELECT lang, sum(a) AS n FROM f WHERE k = 1 GROUP BY 1),
+      c AS (SELECT * FROM f WHERE k > 1 AND a >= 30),
+      cuts AS (SELECT c.lang, c.k, c.p, c.a, j, x.a AS l, y.a AS r, CAST(c.a AS HUGEINT) * 2000000 // (x.a + y.a) AS score
+               FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c JOIN f x ON x.lang = c.lang AND x.p = c.p[1:j]
+                 JOIN f y ON y.lang = c.lang AND y.p = c.p[j + 1:c.k]),
+      best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, p ORDER BY score, j) AS o FROM cuts) WHERE o = 1),
+      inside AS (SELECT lang, p[i:i + m - 1] AS p, max(a) AS longer FROM (SELECT lang, p, a, k, m, unnest(range(1, k - m + 2)) AS i
+                 FROM c, (SELECT unnest([2, 3]) AS m) WHERE m < k) GROUP BY ALL),
+      kept AS (SELECT best.* FROM best LEFT JOIN inside USING (lang, p) WHERE longer IS NULL OR 100 * longer < 80 * best.a),
+      ranked AS (SELECT *, array_to_string(p, ' ') AS phrase, row_number() OVER (PARTITION BY lang
+                 ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank FROM kept)
+      SELECT lang, rank, phrase, a, l, r, CAST(n.n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+      FROM ranked JOIN n USING (lang) WHERE rank <= 2000""",
+    "op12_decontamination": r"""
+      WITH d AS (SELECT doc_id, row_number() OVER () AS o, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+          'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+      b AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+      bw AS (SELECT DISTINCT item_id, m, ws[i:i + m - 1] AS w FROM (SELECT *, least(len(ws), 10) AS m, unnest(range(1, greatest(len(ws) - 8, 2))) AS i
+             FROM b WHERE len(ws) > 0)),
+      dw AS (SELECT o, i, m, ws[i:i + m - 1] AS w FROM (SELECT o, ws, m, unnest(range(1, len(ws) - m + 2)) AS i
+             FROM d, (SELECT DISTINCT m FROM bw) WHERE len(ws) >= m)),
+      hits AS (SELECT o, i, dw.m, item_id FROM dw JOIN bw USING (m, w)),
+      covered AS (SELECT o, count(DISTINCT wi) AS n_hit FROM (SELECT o, unnest(range(i, i + m)) AS wi FROM hits) GROUP BY 1),
+      found AS (SELECT o, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+                FROM (SELECT DISTINCT o, coalesce(CAST(item_id AS VARCHAR), '') AS item FROM hits) GROUP BY 1)
+      SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+      FROM d LEFT JOIN covered USING (o) LEFT JOIN found USING (o)""",
+    "op13_hard_negatives": """
+      WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+          list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS x
+        FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+      s AS (SELECT a.vec_id AS anchor_id, o.vec_id AS vec_id, a.label = o.label AS same, CAST(list_inner_product(a.x, o.x) AS BIGINT) AS score
+            FROM v a JOIN v o ON a.vec_id % 100 = 0 AND a.vec_id <> o.vec_id),
+      p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS o FROM s WHERE same) WHERE o <= 5),
+      n AS (SELECT p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+              row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS rank
+            FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+              AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+      SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5""",
 }
