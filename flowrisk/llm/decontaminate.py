@@ -191,14 +191,14 @@ def contamination(docs: DataFrame, items: DataFrame, with_text: bool = False, sl
     n_slices = max(-(-n_chars // slice_chars), 1)
     spans = F.arrays_zip(F.col("starts").alias("start"), F.col("ends").alias("end"))
     if n_slices == 1:
-        few = asked.toPandas()
+        few = asked.toArrow().to_pandas()
         found = _searched(docs, Windows.of(list(few["item_id"]), list(few["text"])), with_text)
         return found.withColumn("spans", spans).withColumn("doc_id", F.col("doc_id").cast(kind)).drop("starts", "ends")
     if with_text:
         raise ValueError("kept_text needs a test set of one slice")
     rows, parts = written(docs.withColumn("_row", F.monotonically_increasing_id()), "decontaminate"), None
     for s in range(n_slices):
-        few = asked.filter(F.pmod(F.xxhash64("item_id"), F.lit(n_slices)) == s).toPandas()
+        few = asked.filter(F.pmod(F.xxhash64("item_id"), F.lit(n_slices)) == s).toArrow().to_pandas()
         part = _searched(rows, Windows.of(list(few["item_id"]), list(few["text"])), False)
         parts = part if parts is None else parts.unionByName(part)
     # One row per text and slice.

@@ -246,11 +246,11 @@ def hard_negatives(vectors: DataFrame, every: int = 100, positives: int = K, neg
     n_blocks = -(-asked.count() // block)
     found = []
     for b in range(n_blocks):
-        anchors = asked.filter(F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)) == b).toPandas()
+        anchors = asked.filter(F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)) == b).toArrow().to_pandas()
         if anchors.empty:
             continue
         n = len(anchors)
-        near = _searched(rows, anchors, Windows(np.arange(n), np.full(n, -np.inf), np.full(n, np.inf), True), positives).toPandas()
+        near = _searched(rows, anchors, Windows(np.arange(n), np.full(n, -np.inf), np.full(n, np.inf), True), positives).toArrow().to_pandas()
         if near.empty:
             continue
         near = near.sort_values(["window", "rank"], ignore_index=True)

@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
@@ -88,7 +89,7 @@ def test_collocations_of_odd_rows(odd_docs):
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 12), min_size=1, max_size=4).map(tuple), max_size=40, unique=True), st.lists(st.integers(0, 13), max_size=60))
 def test_double_array_counts(phrases, line):
-    trie = DoubleArray([np.array(p) for p in phrases])
+    trie = DoubleArray(pa.array([list(p) for p in phrases], pa.list_(pa.int64())))
     counts = np.zeros(len(trie.check), np.int64)
     for states in trie.levels(np.array(line, np.int64)):
         counts += np.bincount(states, minlength=len(counts))
@@ -100,7 +101,7 @@ def test_double_array_counts(phrases, line):
 def test_double_array_of_crowded_states():
     rng = random.Random(1)
     phrases = list({(rng.choice([5, 6, 10 ** 15]), rng.randrange(3000), rng.randrange(3)) for _ in range(9000)})
-    trie = DoubleArray([np.array(p) for p in phrases])
+    trie = DoubleArray(pa.array([list(p) for p in phrases], pa.list_(pa.int64())))
     for p in rng.sample(phrases, 300):
         *_, last = trie.levels(np.array(p))
         assert trie.state[phrases.index(p)] in last
