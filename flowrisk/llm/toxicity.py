@@ -246,7 +246,7 @@ def character_model(texts: DataFrame) -> CharacterModel:
                 padded = START + START + w + END
                 for i in range(2, len(padded)):
                     grams[padded[i - 2:i + 1]] += n
-            yield pd.DataFrame({"gram": list(grams), "n": list(grams.values())})
+            yield pd.DataFrame({"gram": pd.Series(list(grams), dtype=object), "n": pd.Series(list(grams.values()), dtype="int64")})
 
     grams = written(texts.select("text").mapInPandas(count, "gram string, n bigint").groupBy("gram").agg(F.sum("n").alias("n")), "characters")
     common = grams.groupBy(F.substring("gram", 3, 1).alias("c")).agg(F.sum("n").alias("n"))
@@ -287,8 +287,10 @@ def telling_features(texts: DataFrame, model: CharacterModel) -> tuple[DataFrame
                 else:
                     for w in words:
                         clean[w] += weight
-            yield pd.DataFrame({"word": list(clean), "mark": pd.array([None] * len(clean), "Int64"), "clean": pd.Series(clean.values(), dtype="float64")})
-            yield pd.DataFrame({"word": [w for w, _ in toxic], "mark": pd.array([m for _, m in toxic], "Int64"), "clean": 0.0})
+            yield pd.DataFrame({"word": pd.Series(list(clean), dtype=object), "mark": pd.array([None] * len(clean), "Int64"),
+                                "clean": pd.Series(list(clean.values()), dtype="float64")})
+            yield pd.DataFrame({"word": pd.Series([w for w, _ in toxic], dtype=object), "mark": pd.array([m for _, m in toxic], "Int64"),
+                                "clean": pd.Series(0.0, index=range(len(toxic)), dtype="float64")})
 
     totals = texts.agg(*[F.coalesce(F.round(F.sum(x), 3), F.lit(0.0)).alias(n) for n, x in (
         ("n", F.col("weight")), ("t", F.when(F.col("toxic") == 1, F.col("weight"))))]).collect()[0]
