@@ -6,14 +6,36 @@ from collections.abc import Iterable, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from flowrisk.functions.numeric import finite, named, number
 from flowrisk.schema import ATTACK_CATEGORIES, BASELINE_LEAK_COLUMNS, LEAK_COLUMNS
 
 
+# All characters that count as white space at the ends of a text.
+WHITE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+
+
+def stripped(text: Column) -> Column:
+    return F.btrim(text, F.lit(WHITE))
+
+
+def distinct_names(names: Iterable[str]) -> list[str]:
+    """The names, a repeated one with ``.1``, ``.2``, ... behind it."""
+    names = list(names)
+    taken, out = set(names), []
+    for i, name in enumerate(names):
+        n = 0
+        while (name in names[:i]) if n == 0 else (f"{name}.{n}" in taken):
+            n += 1
+        out.append(f"{name}.{n}" if n else name)
+        taken.add(out[-1])
+    return out
+
+
 def trim_names(df: DataFrame) -> DataFrame:
-    return df.toDF(*[c.strip() for c in df.columns])
+    """Names without white space at their ends; names that become equal are numbered."""
+    return df.toDF(*distinct_names(c.strip() for c in df.columns))
 
 
 def find_target(df: DataFrame, target: str = "label") -> str | None:
@@ -22,7 +44,7 @@ def find_target(df: DataFrame, target: str = "label") -> str | None:
 
 
 def trim_label(df: DataFrame, label: str) -> DataFrame:
-    return df.withColumn(label, F.trim(named(label).cast("string")))
+    return df.withColumn(label, stripped(named(label).cast("string")))
 
 
 def non_finite_to_null(df: DataFrame) -> DataFrame:
@@ -132,7 +154,7 @@ def attack_category(df: DataFrame, name: str, out: str = "attack_category",
                     categories: dict[str, str] = ATTACK_CATEGORIES) -> DataFrame:
     """Category of a raw attack name by an exact lower-case match, else ``Other``."""
     items = [F.lit(x) for pair in categories.items() for x in pair]
-    found = F.try_element_at(F.create_map(*items), F.lower(F.trim(F.col(name))))
+    found = F.try_element_at(F.create_map(*items), F.lower(stripped(F.col(name))))
     return df.withColumn(out, F.coalesce(found, F.lit("Other")))
 
 

@@ -63,7 +63,7 @@ def _trend(df: DataFrame, back: Callable[[Column, int], Column], window: int) ->
         "*",
         F.when(F.col("_n") >= 2, slope).alias("_slope"),
         momentum.alias("_momentum"),
-        F.col(ATTACK).alias("_newest"),
+        F.coalesce(F.col(ATTACK), zero).alias("_newest"),
     ).drop(*helpers, "_a", "_ia", "_r", "_ir")
 
 
@@ -92,11 +92,37 @@ def _outputs(window: int) -> dict[str, Column]:
         "forecast_risk_level": risk_level(score),  # on the unrounded score
         "forecast_confidence": F.when(warm, half_up(n / float(window), 3)).otherwise(0.0),
         "windows_observed": n,
+        "trend_slope": settled(slope),
+        "trend_current": settled(F.col("_newest")),
+        "trend_momentum": momentum,
+        "trend_flagged": F.col("_suspicious"),
         "reason_codes": codes,
-        "forecast_reason": F.array_join(F.transform(codes, lambda c: F.lower(F.replace(c, F.lit("_"), F.lit(" ")))), "; "),
+        "forecast_reason": _sentence(codes, settled(slope), settled(F.col("_newest")), momentum),
     }
 
 
+# What is said for each reason; numbers are rounded before they are written, half away from zero.
+_RISES = {"SHARP_RISE": "sharply", "STEADY_RISE": "steadily", "SLIGHT_RISE": "slightly"}
+_PRESSURES = {"HIGH_RISK": "high", "ELEVATED_RISK": "elevated"}
+
+
+def _sentence(codes: Column, slope: Column, current: Column, momentum: Column) -> Column:
+    """The reason in words and numbers."""
+    n = F.col("_n")
+    rise = F.format_string("attacks grow %s likelier (%+.3f a detection, now %.0f%%)", F.coalesce(
+        *[F.when(F.array_contains(codes, c), word) for c, word in _RISES.items()]), half_up(slope, 3), half_up(current * 100.0, 0))
+    pressure = F.format_string("risk is %s (%.0f of 100, newest counting most)", F.coalesce(
+        *[F.when(F.array_contains(codes, c), word) for c, word in _PRESSURES.items()]), half_up(momentum, 0))
+    any_of = lambda names: F.arrays_overlap(codes, F.array(*map(F.lit, names)))
+    return (
+        F.when(F.array_contains(codes, "TOO_SHORT"), F.format_string("%d detection, too few for a trend", n))
+        .when(F.array_contains(codes, "STABLE"), F.format_string("steady over %d detections", n))
+        .otherwise(F.concat_ws(
+            "; ", F.when(any_of(_RISES), rise), F.when(any_of(_PRESSURES), pressure),
+            F.when(F.array_contains(codes, "FLAGGED"), F.format_string("%d of %d detections flagged", F.col("_suspicious"), n))))
+    )
+
+
 def _check(window: int) -> None:
     if window < 2:
         raise ValueError("a trend needs a window of at least 2 detections")

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from flowrisk.plans.queries_trend import _OBSERVED, _RESULT, _RESULT_SQL, GAP, QUIET_SQL
+from flowrisk.plans.queries_trend import _OBSERVED, _REASON_SQL, _RESULT, _RESULT_SQL, _SENTENCE_SQL, GAP, QUIET_SQL, _reason
 from flowrisk.plans.registry import HOST, ORDER, query, r6, sql6
 from flowrisk.plans.scoring import RESULT_COLUMNS
 from flowrisk.session import shared_path
@@ -63,10 +63,10 @@ def stream_flow_counts(spark, folder):
     return drain(live.flow_counts(_stream(spark, folder), HOST), "complete")
 
 
-@query(f"SELECT flow_id, host_id, {_RESULT_SQL} FROM forecasts", "forecasts")
+@query(f"SELECT flow_id, host_id, {_RESULT_SQL}, {_REASON_SQL}, {_SENTENCE_SQL} FROM forecasts", "forecasts")
 def stream_forecast(spark, folder):
     observed = _stream(spark, folder).select(*_OBSERVED)
-    return drain(forecast_stream(observed, HOST, ORDER).select("flow_id", "host_id", *_RESULT))
+    return drain(forecast_stream(observed, HOST, ORDER).select("flow_id", "host_id", *_RESULT, *_reason(), "forecast_reason"))
 
 
 @query(f"SELECT flow_id, host_id, {_RESULT_SQL} FROM forecasts", "forecasts")

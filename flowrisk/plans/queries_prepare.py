@@ -1,6 +1,6 @@
 """Queries on intake, cleaning, features, preprocessing and splits."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from flowrisk.functions.numeric import half_up
 from flowrisk.operators import clean, explore, prep, splits
@@ -211,8 +211,13 @@ def csv_union(spark, folder):
     even.write.option("header", "true").csv(f"{target}/even")
     odd.write.option("header", "true").csv(f"{target}/deep/odd")
     line = F.concat_ws(",", i, F.concat(F.lit('"say ""'), i, F.lit('"", ok"')), "label", "duration", "src_bytes")
-    lines = rows.filter(i % 50 == 7).select(F.explode(F.array(F.lit(" "), F.lit("flow_id,note,label,duration,src_bytes"), line)))
-    lines.write.text(f"{target}/deep/noted")
+    # Eight files, each a blank line, the header and its rows.
+    share = F.pmod(F.xxhash64(i), F.lit(8))
+    first = F.row_number().over(Window.partitionBy("share").orderBy("flow_id")) == 1
+    head = F.when(first, F.array(F.lit(" "), F.lit("flow_id,note,label,duration,src_bytes"))).otherwise(F.array().cast("array<string>"))
+    noted = rows.filter(i % 50 == 7).withColumn("share", share).select("share", "flow_id", F.concat(head, F.array(line)).alias("lines"))
+    noted = noted.repartition("share").sortWithinPartitions("share", "flow_id").select("share", F.explode("lines").alias("value"))
+    noted.write.partitionBy("share").text(f"{target}/deep/noted")
     return read_csv_folder(spark, target, pattern="part-*")
 
 

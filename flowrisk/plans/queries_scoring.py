@@ -7,13 +7,14 @@ from flowrisk.operators import clean, report
 from flowrisk.operators.rolling import latest_rows
 from flowrisk.plans.registry import HOST, ORDER, flows, query, r6, scored, sql6
 from flowrisk.plans.scoring import RESULT_COLUMNS, add_risk_from_map, class_columns, probability_map
-from flowrisk.schema import CLASSES, PLAYBOOK, SEVERITY
+from flowrisk.schema import CLASSES, SEVERITY
 from flowrisk.sources.event_flows import classified
 
-_ADVICE = " ".join(f"WHEN '{c}' THEN '{t}'" for c, t in PLAYBOOK.items())
+_ADVICE = """CASE predicted_label WHEN 'Normal' THEN 'log' WHEN 'PortScan' THEN 'log, watch' WHEN 'BruteForce' THEN 'log, watch, contain'
+    WHEN 'DoS' THEN 'log, watch, contain, escalate' WHEN 'DDoS' THEN 'log, watch, contain, escalate'
+    WHEN 'U2R' THEN 'log, watch, contain, escalate' ELSE 'log, watch' END AS recommendation"""
 _RESULTS = f"""predicted_label, is_attack, confidence, attack_probability, risk_score, risk_level,
-  is_attack OR risk_score >= 35 AS alert_triggered,
-  CASE predicted_label {_ADVICE} ELSE '{PLAYBOOK["Other"]}' END AS recommendation"""
+  is_attack OR risk_score >= 35 AS alert_triggered, {_ADVICE}"""
 
 
 @query("SELECT predicted_label, risk_level, count(*) AS flows FROM scored GROUP BY 1, 2", "scored")
@@ -56,7 +57,7 @@ _SEVERITIES = " ".join(f"WHEN '{c}' THEN {v}e0" for c, v in SEVERITY.items())
   SELECT flow_id, predicted_label, floor(attack * 1e4 + 0.5e0) / 1e4 AS attack_probability, confidence, risk_score,
     CASE WHEN risk_score >= 80 THEN 'CRITICAL' WHEN risk_score >= 50 THEN 'HIGH'
          WHEN risk_score >= 25 THEN 'MEDIUM' ELSE 'LOW' END AS risk_level,
-    predicted_label <> 'Normal' OR risk_score >= 35 AS alert_triggered
+    predicted_label <> 'Normal' OR risk_score >= 35 AS alert_triggered, {_ADVICE}
   FROM (SELECT *, floor(CASE predicted_label WHEN 'Normal' THEN greatest(0e0, (1e0 - coalesce(pn, 0e0)) * 30e0)
       ELSE least(100e0, greatest(0e0, CASE predicted_label {_SEVERITIES} ELSE 0.7e0 END * 70e0
         + coalesce(pl, attack) * 30e0)) END * 1e2 + 0.5e0) / 1e2 AS risk_score
@@ -75,7 +76,8 @@ _SEVERITIES = " ".join(f"WHEN '{c}' THEN {v}e0" for c, v in SEVERITY.items())
                 WHEN 4 THEN 'Other' ELSE 'Worm' END END AS predicted_label) FROM classified)))))""", "classified")
 def risk_map_lookup(spark, folder):
     return add_risk_from_map(_odd_maps(spark, folder)).select(
-        "flow_id", "predicted_label", "attack_probability", "confidence", "risk_score", "risk_level", "alert_triggered")
+        "flow_id", "predicted_label", "attack_probability", "confidence", "risk_score", "risk_level", "alert_triggered",
+        "recommendation")
 
 
 @query("""SELECT flow_id, floor(p_b * 1e4 + 0.5e0) / 1e4 AS brute_force, floor(p_d * 1e4 + 0.5e0) / 1e4 AS dos,

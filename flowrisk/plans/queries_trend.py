@@ -77,14 +77,37 @@ def forecast_global(spark, folder):
         "flow_id", "forecast_risk_score", "forecast_risk_level")
 
 
-@query("""SELECT flow_id, CASE WHEN n < 2 THEN 'TOO_SHORT' ELSE coalesce(nullif(concat_ws('+',
+# The numbers behind a reason, and the sentence made of them.
+_REASON = ["slope", "current", "momentum", "flagged"]
+
+
+def _reason():
+    return [*[half_up(F.col(f"trend_{c}"), 6).alias(c) for c in _REASON[:3]], F.col("trend_flagged").alias("flagged")]
+
+
+_REASON_SQL = f"""CASE WHEN n >= 2 THEN {sql6("floor(slope * 1e9 + 0.5e0) / 1e9")} END AS slope,
+            {sql6("floor(forecast_attack_prob * 1e9 + 0.5e0) / 1e9")} AS current,
+            {sql6("momentum")} AS momentum, CAST(suspicious AS INTEGER) AS flagged"""
+_SENTENCE_SQL = """CASE WHEN n < 2 THEN format('{} detection, too few for a trend', n)
+              WHEN slope_signal <= 5 AND momentum < 35 AND suspicious = 0 THEN format('steady over {} detections', n)
+              ELSE concat_ws('; ',
+                CASE WHEN slope_signal > 5 THEN format('attacks grow {} likelier ({:+.3f} a detection, now {:.0f}%)',
+                  CASE WHEN slope_signal >= 40 THEN 'sharply' WHEN slope_signal >= 15 THEN 'steadily' ELSE 'slightly' END,
+                  floor(floor(slope * 1e9 + 0.5e0) / 1e9 * 1e3 + 0.5e0) / 1e3,
+                  floor(floor(forecast_attack_prob * 1e9 + 0.5e0) / 1e9 * 100e0 + 0.5e0)) END,
+                CASE WHEN momentum >= 35 THEN format('risk is {} ({:.0f} of 100, newest counting most)',
+                  CASE WHEN momentum >= 70 THEN 'high' ELSE 'elevated' END, floor(momentum + 0.5e0)) END,
+                CASE WHEN suspicious > 0 THEN format('{} of {} detections flagged', CAST(suspicious AS BIGINT), n) END) END AS forecast_reason"""
+
+
+@query(f"""SELECT flow_id, {_REASON_SQL}, {_SENTENCE_SQL}, CASE WHEN n < 2 THEN 'TOO_SHORT' ELSE coalesce(nullif(concat_ws('+',
             CASE WHEN slope_signal >= 40 THEN 'SHARP_RISE' WHEN slope_signal >= 15 THEN 'STEADY_RISE'
               WHEN slope_signal > 5 THEN 'SLIGHT_RISE' END,
             CASE WHEN momentum >= 70 THEN 'HIGH_RISK' WHEN momentum >= 35 THEN 'ELEVATED_RISK' END,
             CASE WHEN suspicious > 0 THEN 'FLAGGED' END), ''), 'STABLE') END AS reasons FROM trend""", "trend")
 def forecast_reason_codes(spark, folder):
     made = trend.forecast(_observed(spark, folder), HOST, ORDER)
-    return made.select("flow_id", F.array_join("reason_codes", "+").alias("reasons"))
+    return made.select("flow_id", *_reason(), "forecast_reason", F.array_join("reason_codes", "+").alias("reasons"))
 
 
 @query(f"SELECT flow_id, host_id, {_RESULT_SQL} FROM forecasts WHERE forecast_risk_level IN ('HIGH', 'CRITICAL')",

@@ -79,5 +79,5 @@ def with_forecast(scored: DataFrame, keys: Sequence[str], order: Sequence[str],
     df = forecast(df, keys, order, window, hot_rows)
     return df.withColumns({
         "probabilities": probability_map(classes),
-        "forecast": F.struct(*FORECAST_COLUMNS),
+        "forecast": F.struct(*[F.col(c).alias(c.removeprefix("trend_")) for c in FORECAST_COLUMNS]),
     }).drop("forecast_attack_prob", *FORECAST_COLUMNS)

@@ -5,12 +5,12 @@ from __future__ import annotations
 import csv
 from collections.abc import Mapping
 from functools import reduce
-from operator import and_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from flowrisk.functions.numeric import number
+from flowrisk.operators.clean import distinct_names, stripped
 
 # Texts that stand for a missing value.
 MISSING_TEXTS = [
@@ -42,17 +42,6 @@ def _listed(spark: SparkSession, folder: str, pattern: str) -> DataFrame | None:
         raise
 
 
-def _distinct_names(line: str) -> tuple[str, ...]:
-    """Column names of a header line; a repeated name gets ``.1``, ``.2``, ..."""
-    seen: dict[str, int] = {}
-    out = []
-    for name in next(csv.reader([line])):
-        n = seen.get(name, 0)
-        seen[name] = n + 1
-        out.append(f"{name}.{n}" if n else name)
-    return tuple(out)
-
-
 def csv_headers(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
     """Files by header: ``header`` (the first line that is not blank), ``paths`` and ``n_files``.
 
@@ -68,7 +57,7 @@ def csv_headers(spark: SparkSession, folder: str, pattern: str = "*.csv") -> Dat
         .withColumn("value", F.regexp_replace("value", "^\ufeff|\r$", ""))
     )
     # Ids rise within a file's block; the first block with a line that is not blank holds the header.
-    place = F.when(F.trim("value") != "", F.struct("block", "line", "value"))
+    place = F.when(stripped(F.col("value")) != "", F.struct("block", "line", "value"))
     first = lines.groupBy("path").agg(F.min(place).alias("first"))
     return first.groupBy(F.col("first.value").alias("header")).agg(
         F.sort_array(F.collect_list("path")).alias("paths"), F.count(F.lit(1)).alias("n_files"))
@@ -83,7 +72,7 @@ def read_csv_folder(spark: SparkSession, folder: str,
     distinct header and united by name. ``types`` maps trimmed names to the type they
     are read as, with unparsable text as NULL; without it, columns where every value
     is a number become DOUBLE or BIGINT. Quotes inside quoted text are doubled, blank
-    lines and repetitions of the header line count for nothing, and ``multi_line`` allows line ends inside quoted text (a
+    lines count for nothing, a row that repeats the header is a row, and ``multi_line`` allows line ends inside quoted text (a
     file is then read by one task). A file without any line that is not blank is an error.
     """
     groups = csv_headers(spark, folder, pattern).collect() if _has_files(spark, folder, pattern) else []  # a row per header
@@ -93,17 +82,15 @@ def read_csv_folder(spark: SparkSession, folder: str,
     for group in sorted(groups, key=lambda g: (g["header"] is None, g["paths"])):
         if group["header"] is None:
             raise ValueError(f"no header in {group['paths'][0]} and {group['n_files'] - 1} more files")
-        header = _distinct_names(group["header"])
+        header = distinct_names(next(csv.reader([group["header"]])))
         schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
         part = (
             spark.read.schema(schema).option("escape", '"').option("multiLine", multi_line)
-            .option("enforceSchema", "true").csv(group["paths"])
+            # Of each file the first line that is not blank is taken off, and no other.
+            .option("header", "true").option("enforceSchema", "true").csv(group["paths"])
         )
-        # The header is a row like any other here, wherever blank lines have put it.
-        part = part.filter(~reduce(and_, [part[f"`{c}`"].eqNullSafe(F.lit(name or None)) for c, name
-                                          in zip(header, next(csv.reader([group["header"]])))]))
         parts.append(part.select(*[
-            F.when(~F.trim(part[f"`{c}`"]).isin(MISSING_TEXTS), part[f"`{c}`"]).alias(c) for c in header
+            F.when(~stripped(part[f"`{c}`"]).isin(MISSING_TEXTS), part[f"`{c}`"]).alias(c) for c in header
         ]))
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     if types is None:

@@ -52,7 +52,7 @@ def dirty(flows: DataFrame) -> DataFrame:
         "duration": F.when(i % 29 == 0, "inf").otherwise(F.col("duration").cast("string")),
         "protocol_type": F.when(i % 37 != 0, F.col("protocol_type")),
         "label": F.when(i % 41 == 0, None)
-        .when(i % 3 == 0, F.concat(F.lit("  "), F.col("label"), F.lit(" "))).otherwise(F.col("label")),
+        .when(i % 3 == 0, F.concat(F.lit(" \t"), F.col("label"), F.lit(" \u00a0\r"))).otherwise(F.col("label")),
     })
 
 

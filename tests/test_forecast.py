@@ -55,6 +55,11 @@ def test_scenarios(spark):
     assert got[0, 0]["reason_codes"] == ["TOO_SHORT"]
     assert got[1, 7]["reason_codes"] == ["SHARP_RISE", "ELEVATED_RISK", "FLAGGED"]
     assert got[0, 7]["reason_codes"] == ["STABLE"]
+    assert got[0, 7]["forecast_reason"] == "steady over 8 detections"
+    assert got[1, 0]["forecast_reason"] == "1 detection, too few for a trend" and got[1, 0]["trend_slope"] is None
+    parts = got[1, 7]["forecast_reason"].split("; ")
+    assert parts[0].startswith("attacks grow sharply likelier (+") and parts[1].startswith("risk is elevated (") and len(parts) == 3
+    assert parts[2] == f"{got[1, 7]['trend_flagged']} of 8 detections flagged"
 
 
 series = st.lists(st.tuples(st.sampled_from([N, "DoS"]), st.floats(0, 1), st.floats(0, 100)), min_size=1, max_size=30)

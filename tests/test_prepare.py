@@ -81,6 +81,20 @@ def test_csv_blank_lines_quotes_and_line_ends(spark, tmp_path):
         read_csv_folder(spark, str(tmp_path))
 
 
+def test_a_row_like_the_header_is_a_row(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("\n\t\nx,y\nx,y\n1,2\n")
+    got = sorted(map(tuple, read_csv_folder(spark, str(tmp_path)).collect()))
+    assert got == [("1", "2"), ("x", "y")]
+
+
+def test_white_space_around_names_and_labels(spark):
+    df = spark.createDataFrame([("DoS\t", 1.0, 2.0), ("\u00a0DoS\r\n", 1.0, 2.0)], "`label\t` string, `rate ` double, ` rate` double")
+    made = clean.clean_flows(df, training=True)
+    assert made.columns == ["label", "rate", "rate.1"]
+    assert [r["label"] for r in made.collect()] == ["DoS", "DoS"]
+    assert clean.distinct_names(["a", "a", "a.1", "a", ""]) == ["a", "a.2", "a.1", "a.3", ""]
+
+
 def test_headers_come_from_one_job(spark, tmp_path):
     for i in range(30):
         (tmp_path / f"{i}.csv").write_text(f"x,{'y' if i % 2 else 'z'}\n1,2\n")
