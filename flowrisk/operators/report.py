@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from flowrisk.functions.risk import risk_level
 from flowrisk.schema import BENIGN
@@ -51,10 +51,16 @@ def posture(scored: DataFrame, by: Sequence = ()) -> DataFrame:
     )
 
 
-def risk_by_time(scored: DataFrame, bucket: str, ts: str = "ts", keys: Sequence[str] = ()) -> DataFrame:
+def _bucket_verdict() -> list[Column]:
+    return [risk_level(F.col("risk_score")).alias("risk_level"),
+            F.when(F.col("threats") > 0, "Attack").otherwise(BENIGN).alias("predicted_label")]
+
+
+def risk_by_time(scored: DataFrame, bucket: str, ts: str = "ts", keys: Sequence[str] = (), timed: bool = False) -> DataFrame:
     """Risk per key and time bucket: the observation of a bucket-wise forecast.
 
-    The bucket counts as benign only if all its flows are.
+    The bucket counts as benign only if all its flows are. ``timed`` adds ``bucket_time``,
+    the time by which a stream's next operator knows the bucket.
     """
     spans = scored.groupBy(*keys, F.window(ts, bucket).alias("span")).agg(
         F.count(F.lit(1)).alias("flows"),
@@ -65,10 +71,34 @@ def risk_by_time(scored: DataFrame, bucket: str, ts: str = "ts", keys: Sequence[
     )
     return spans.select(
         *keys, F.col("span.start").alias("bucket_start"), "flows", "threats",
-        "forecast_attack_prob", "mean_risk", "risk_score",
-        risk_level(F.col("risk_score")).alias("risk_level"),
-        F.when(F.col("threats") > 0, "Attack").otherwise(BENIGN).alias("predicted_label"),
+        "forecast_attack_prob", "mean_risk", "risk_score", *_bucket_verdict(),
+        *([F.window_time("span").alias("bucket_time")] if timed else []),
+    )
+
+
+def sliding_risk(scored: DataFrame, size: str, slide: str, ts: str = "ts", keys: Sequence[str] = ()) -> DataFrame:
+    """Risk per key and overlapping time window of ``size``, one beginning every ``slide``.
+
+    Flows are summed once, into panes of length ``slide``; windows merge the sums of their
+    panes, so the cost per flow does not grow with the overlap. On a stream with a watermark
+    on ``ts`` both steps keep state, and a window is final once the watermark has passed it.
+    ``size`` must be a multiple of ``slide``.
+    """
+    panes = scored.groupBy(*keys, F.window(ts, slide).alias("pane")).agg(
+        F.count(F.lit(1)).alias("flows"),
+        F.count_if(F.col("predicted_label") != BENIGN).alias("threats"),
+        F.count("forecast_attack_prob").alias("_probabilities"), F.sum("forecast_attack_prob").alias("_probability"),
+        F.count("risk_score").alias("_risks"), F.sum("risk_score").alias("_risk"),
+        F.max("risk_score").alias("risk_score"),
+    )
+    spans = panes.groupBy(*keys, F.window(F.window_time("pane"), size, slide).alias("span")).agg(
+        F.sum("flows").alias("flows"), F.sum("threats").alias("threats"),
+        (F.sum("_probability") / F.sum("_probabilities")).alias("forecast_attack_prob"),
+        (F.sum("_risk") / F.sum("_risks")).alias("mean_risk"), F.max("risk_score").alias("risk_score"),
     )
+    return spans.select(
+        *keys, F.col("span.start").alias("window_start"), F.col("span.end").alias("window_end"), "flows", "threats",
+        "forecast_attack_prob", "mean_risk", "risk_score", *_bucket_verdict())
 
 
 def latest_threats(scored: DataFrame, order: Sequence[str], n: int = 15) -> DataFrame:

@@ -199,7 +199,25 @@ def time_bucket_risk(spark, folder):
     return made.withColumns({c: r6(c) for c in ("forecast_attack_prob", "mean_risk")})
 
 
-@query(f"""SELECT host_id, bucket_start, floor(raw * 1e2 + 0.5e0) / 1e2 AS forecast_risk_score,
+SLIDING_SQL = f"""
+  SELECT *, CASE WHEN risk_score >= 80 THEN 'CRITICAL' WHEN risk_score >= 50 THEN 'HIGH'
+      WHEN risk_score >= 25 THEN 'MEDIUM' ELSE 'LOW' END AS risk_level,
+    CASE WHEN threats > 0 THEN 'Attack' ELSE 'Normal' END AS predicted_label
+  FROM (SELECT host_id, window_start, window_start + INTERVAL 3 DAY AS window_end, count(*) AS flows,
+      count(*) FILTER (is_attack) AS threats, {sql6("avg(forecast_attack_prob)")} AS forecast_attack_prob,
+      {sql6("avg(risk_score)")} AS mean_risk, max(risk_score) AS risk_score
+    FROM (SELECT *, date_trunc('day', ts) - back * INTERVAL 1 DAY AS window_start FROM scored, (VALUES (0), (1), (2)) AS v(back))
+    GROUP BY 1, 2, 3)"""
+
+
+@query(SLIDING_SQL, "scored")
+def sliding_risk(spark, folder):
+    """Three-day windows, one beginning every day."""
+    made = report.sliding_risk(_observed(spark, folder), "3 days", "1 day", keys=HOST)
+    return made.withColumns({c: r6(c) for c in ("forecast_attack_prob", "mean_risk")})
+
+
+BUCKET_FORECAST_SQL = f"""SELECT host_id, bucket_start, floor(raw * 1e2 + 0.5e0) / 1e2 AS forecast_risk_score,
     CAST(n AS INTEGER) AS windows_observed
   FROM (SELECT host_id, bucket_start, n, CASE WHEN n < 2 THEN 0e0 ELSE floor(greatest(0e0, least(100e0,
       0.45e0 * floor(greatest(0e0, least(100e0, slope * 1000e0)) * 1e9 + 0.5e0) / 1e9
@@ -210,8 +228,10 @@ def time_bucket_risk(spark, folder):
         sum(risk_score * rn) OVER w - (min(rn) OVER w - 1) * sum(risk_score) OVER w AS momentum,
         sum(CASE WHEN threats > 0 THEN 1 ELSE 0 END) OVER w AS suspicious
       FROM (SELECT *, row_number() OVER (PARTITION BY host_id ORDER BY bucket_start) AS rn FROM ({BUCKETS_SQL}))
-      WINDOW w AS (PARTITION BY host_id ORDER BY bucket_start ROWS BETWEEN 7 PRECEDING AND CURRENT ROW)))""",
-       "scored")
+      WINDOW w AS (PARTITION BY host_id ORDER BY bucket_start ROWS BETWEEN 7 PRECEDING AND CURRENT ROW)))"""
+
+
+@query(BUCKET_FORECAST_SQL, "scored")
 def time_bucket_forecast(spark, folder):
     buckets = report.risk_by_time(_observed(spark, folder), "1 day", keys=HOST)
     buckets = buckets.withColumn("forecast_attack_prob", half_up(F.col("forecast_attack_prob"), 6))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -51,6 +52,20 @@ def replayed(df: DataFrame, ts: str, parts: int = 5, files: int = 1) -> tuple[st
     return path, file_stream(spark, path, df.schema, files_per_batch=files)
 
 
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in RocksDB; the setting is put back afterwards."""
+    before = spark.conf.get(_STORE, None)
+    spark.conf.set(_STORE, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(_STORE, before) if before else spark.conf.unset(_STORE)
+
+
 def append_to(stream: DataFrame, path: str, checkpoint: str):
     """Start writing an append stream to parquet, taking what is there and then stopping."""
     return (

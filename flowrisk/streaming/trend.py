@@ -1,9 +1,11 @@
 """The forecast on a stream of detections.
 
 `forecast_stream` keeps each key's last detections in keyed state: only the keys of
-a micro-batch are touched. `TrendBatches` runs the batch forecast on every micro-batch
-together with a table of the keys' last rows: a key that sends most of the rows is
-cut into slices like in a batch.
+a micro-batch are touched. It counts them as they arrive or, with ``hold``, keeps rows back
+until the watermark has passed them and counts them in event order, whatever order they
+arrive in. `TrendBatches` runs the batch forecast on every micro-batch together with
+the last rows of its keys: a key that sends most of the rows is cut into slices like in a
+batch. `bucket_forecast_stream` forecasts over time buckets that the same stream fills.
 """
 
 from __future__ import annotations
@@ -12,17 +14,22 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+import pyarrow as pa
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from flowrisk.functions.numeric import half_up
 from flowrisk.operators.forecast import (
     ATTACK, FORECAST_COLUMNS, LABEL, RISK, _TREND, _check, _outputs, forecast,
 )
 from flowrisk.operators.ordered import HOT_ROWS
+from flowrisk.operators.report import risk_by_time
 from flowrisk.operators.rolling import latest_rows, sessions
 from flowrisk.schema import BENIGN, TREND_WINDOW
 
-_STATE = "flags array<int>, attack array<double>, risk array<double>, last bigint"
+_STATE = "flags array<int>, attack array<double>, risk array<double>, last bigint, waiting binary"
 
 
 def _back(values: np.ndarray, steps: int) -> np.ndarray:
@@ -50,87 +57,221 @@ def _trend_rows(flags, attack, risk, age, window: int) -> pd.DataFrame:
     })
 
 
+def _advance(rows: pd.DataFrame, old: tuple, window: int, times: np.ndarray | None = None,
+             pause: int | None = None) -> tuple[pd.DataFrame, tuple]:
+    """Trend columns of a key's next rows, in order, and its state after them.
+
+    A pause of more than ``pause`` microseconds between ``times`` restarts the trend.
+    """
+    kept = len(old[0])
+    flags = np.concatenate([old[0], (rows[LABEL] != BENIGN).to_numpy("float64")])
+    attack = np.concatenate([old[1], rows[ATTACK].fillna(0.0).to_numpy("float64")])
+    risk = np.concatenate([old[2], rows[RISK].fillna(0.0).to_numpy("float64")])
+    at = np.arange(len(flags))
+    start = np.zeros(len(flags), dtype="int64")
+    last = old[3]
+    if pause is not None:
+        before = np.concatenate([[times[0] if last is None else last], times[:-1]])
+        restarts = kept + np.flatnonzero(times - before > pause)
+        start[restarts] = restarts
+        start = np.maximum.accumulate(start)
+        last = int(times[-1])
+    trend = _trend_rows(flags, attack, risk, at - start, window).iloc[kept:]
+    keep = slice(max(start[-1], len(flags) - window + 1), None)
+    return trend.reset_index(drop=True), (flags[keep].astype("int32").tolist(), attack[keep].tolist(), risk[keep].tolist(), last)
+
+
+_NOTHING = ([], [], [], None)
+_TREND_FIELDS = [
+    T.StructField("_n", T.IntegerType()), T.StructField("_slope", T.DoubleType()),
+    T.StructField("_momentum", T.DoubleType()), T.StructField("_suspicious", T.IntegerType()),
+    T.StructField("_newest", T.DoubleType()),
+]
+
+
+def _with_outputs(trend: DataFrame, window: int) -> DataFrame:
+    # NaN from pandas is the missing slope of a first row.
+    trend = trend.withColumn("_slope", F.nanvl("_slope", F.lit(None).cast("double")))
+    return trend.withColumns(_outputs(window)).drop(*_TREND)
+
+
+def _stored(rows: pd.DataFrame) -> bytes | None:
+    if rows.empty:
+        return None
+    sink = pa.BufferOutputStream()
+    table = pa.Table.from_pandas(rows, preserve_index=False)
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _waiting(stored: bytes | None) -> list[pd.DataFrame]:
+    return [pa.ipc.open_stream(stored).read_all().to_pandas()] if stored else []
+
+
 def forecast_stream(detections: DataFrame, keys: Sequence[str], order: Sequence[str],
                     window: int = TREND_WINDOW, ts: str | None = None,
-                    quiet: str | None = None) -> DataFrame:
+                    quiet: str | None = None, hold: bool = False) -> DataFrame:
     """Forecast after every detection; append mode.
 
     Micro-batches count in arrival order, the rows inside one by ``order``. With ``ts``
     and ``quiet`` (such as ``30 minutes``) a longer pause of a key restarts its trend,
     and a watermark set on ``ts`` frees the state of keys that fell silent.
+
+    With ``hold`` rows wait in their key's state until the watermark on ``ts`` has passed
+    them, and count by ``order``, which must begin with ``ts``: the result is that of the
+    batch, however rows were shuffled on their way, as long as none is later than the
+    watermark allows. Rows without a time don't wait. An event-time timeout releases rows
+    of keys that send nothing more.
     """
     _check(window)
     names = detections.columns
     order = list(order)
+    if hold and (ts is None or order[0] != ts):
+        raise ValueError("rows held back need a time, and an order that begins with it")
     pause = pd.Timedelta(quiet).value // 1000 if quiet else None
+    timed = hold or pause is not None
 
     def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
+        old = state.get if state.exists else (*_NOTHING, None)
+        passed = state.getCurrentWatermarkMs() if timed else 0
+        parts = _waiting(old[4]) + ([] if state.hasTimedOut else list(batches))
+        rows = pd.concat(parts, ignore_index=True) if parts else None
+        later = None
+        if hold and rows is not None:
+            due = ~(rows["_at"] > passed * 1000)
+            rows, later = rows[due], rows[~due]
+        new = old[:4]
+        if rows is not None and len(rows):
+            rows = rows.sort_values(order, ignore_index=True, na_position="first")
+            trend, new = _advance(rows, new, window, rows["_at"].to_numpy("int64") if pause is not None else None, pause)
+            yield pd.concat([rows[names], trend], axis=1)
+        waits = later is not None and len(later) > 0
+        if not waits and pause is not None and new[3] is not None and state.hasTimedOut and (new[3] + pause) // 1000 < passed:
             state.remove()
             return
-        rows = pd.concat(list(batches), ignore_index=True).sort_values(order, ignore_index=True)
-        old = state.get if state.exists else ([], [], [], None)
-        kept = len(old[0])
-        flags = np.concatenate([old[0], (rows[LABEL] != BENIGN).to_numpy("float64")])
-        attack = np.concatenate([old[1], rows[ATTACK].fillna(0.0).to_numpy("float64")])
-        risk = np.concatenate([old[2], rows[RISK].fillna(0.0).to_numpy("float64")])
-        at = np.arange(len(flags))
-        start = np.zeros(len(flags), dtype="int64")
-        last = None
-        if pause is not None:
-            times = rows[ts].to_numpy("datetime64[us]").astype("int64")
-            before = np.concatenate([[times[0] if old[3] is None else old[3]], times[:-1]])
-            restarts = kept + np.flatnonzero(times - before > pause)
-            start[restarts] = restarts
-            start = np.maximum.accumulate(start)
-            last = int(times[-1])
-        trend = _trend_rows(flags, attack, risk, at - start, window).iloc[kept:]
-        keep = slice(max(start[-1], len(flags) - window + 1), None)
-        state.update((flags[keep].astype("int32").tolist(), attack[keep].tolist(), risk[keep].tolist(), last))
-        if pause is not None:
-            state.setTimeoutTimestamp(max((last + pause) // 1000, state.getCurrentWatermarkMs() + 1))
-        yield pd.concat([rows[names], trend.reset_index(drop=True)], axis=1)
-
-    timeout = GroupStateTimeout.EventTimeTimeout if pause is not None else GroupStateTimeout.NoTimeout
-    schema = T.StructType(detections.schema.fields + [
-        T.StructField("_n", T.IntegerType()), T.StructField("_slope", T.DoubleType()),
-        T.StructField("_momentum", T.DoubleType()), T.StructField("_suspicious", T.IntegerType()),
-        T.StructField("_newest", T.DoubleType()),
-    ])
-    trend = detections.groupBy(*keys).applyInPandasWithState(step, schema, _STATE, "append", timeout)
-    # NaN from pandas is the missing slope of a first row.
-    trend = trend.withColumn("_slope", F.nanvl("_slope", F.lit(None).cast("double")))
-    return trend.withColumns(_outputs(window)).drop(*_TREND)
+        if not waits and new[:3] == _NOTHING[:3] and new[3] is None:
+            if state.exists:
+                state.remove()
+            return
+        state.update((*new, _stored(later) if waits else None))
+        wake = [int(later["_at"].min()) // 1000] if waits else []
+        if pause is not None and new[3] is not None:
+            wake.append((new[3] + pause) // 1000)
+        if wake:
+            state.setTimeoutTimestamp(max(min(wake), passed + 1))
+
+    timeout = GroupStateTimeout.EventTimeTimeout if timed else GroupStateTimeout.NoTimeout
+    rows = detections.withColumn("_at", F.unix_micros(F.col(ts).cast("timestamp"))) if timed else detections
+    schema = T.StructType(detections.schema.fields + _TREND_FIELDS)
+    trend = rows.groupBy(*keys).applyInPandasWithState(step, schema, _STATE, "append", timeout)
+    return _with_outputs(trend, window)
+
+
+class _BucketTrend(StatefulProcessor):
+    """Trend columns of a key's closed buckets; the last ones stay as its state."""
+
+    def __init__(self, names: Sequence[str], bucket: str, window: int):
+        self.names, self.bucket, self.window = list(names), bucket, window
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.tail = handle.getValueState("tail", "flags array<int>, attack array<double>, risk array<double>")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        found = pd.concat(list(rows), ignore_index=True).sort_values(self.bucket, ignore_index=True)
+        old = tuple(self.tail.get()) if self.tail.exists() else _NOTHING[:3]
+        trend, new = _advance(found, (*old, None), self.window)
+        self.tail.update(new[:3])
+        yield pd.concat([found[self.names], trend], axis=1)
+
+    def close(self) -> None:
+        pass
+
+
+def bucket_forecast_stream(scored: DataFrame, bucket: str, keys: Sequence[str], ts: str = "ts",
+                           window: int = TREND_WINDOW) -> DataFrame:
+    """Forecast per key after every time bucket, on a stream with a watermark on ``ts``; append mode.
+
+    Two stateful operators in a row: the first closes a bucket when the watermark has passed
+    it, the second takes closed buckets, which come in order, and keeps the last of each
+    key. Needs the RocksDB state store.
+    """
+    _check(window)
+    buckets = risk_by_time(scored, bucket, ts, keys, timed=True)
+    buckets = buckets.withColumn(ATTACK, half_up(F.col(ATTACK), 6))
+    names = [c for c in buckets.columns if c != "bucket_time"]
+    schema = T.StructType([buckets.schema[c] for c in names] + _TREND_FIELDS)
+    trend = buckets.groupBy(*keys).transformWithStateInPandas(
+        _BucketTrend(names, "bucket_start", window), schema, "append", "None")
+    return _with_outputs(trend, window)
+
+
+BUCKETS = 1024  # parts of the state of `TrendBatches`
 
 
 class TrendBatches:
     """A ``foreachBatch`` writer: forecasts of batch n in ``out/batch=n``.
 
-    ``state/batch=n`` holds the last rows of every key after batch n. A repeated batch
-    reads the state before it and overwrites its own output.
+    The last rows of the keys lie in ``state/rows/batch=n/state_bucket=b``, a bucket by the
+    hash of the key. A batch reads and rewrites the buckets of its own keys only. What it
+    wrote counts once ``state/commits/batch=n`` is there, a single file that names the
+    newest files of every bucket; a batch that has it changes nothing when it is repeated,
+    and one that was cut short before it is written anew from the files before. Files of
+    older batches stay until the folder's retention takes them.
+
+    Keys of more than ``hot_rows`` rows in a batch are cut into slices, each with the rows
+    before it, so one key may send most of a batch; of every task's rows only the last few
+    of a key go into the state.
     """
 
     def __init__(self, out: str, state: str, keys: Sequence[str], order: Sequence[str],
-                 window: int = TREND_WINDOW, quiet: str | None = None, hot_rows: int = HOT_ROWS):
+                 window: int = TREND_WINDOW, quiet: str | None = None, hot_rows: int = HOT_ROWS, buckets: int = BUCKETS):
         _check(window)
         self.out, self.state = out.rstrip("/"), state.rstrip("/")
         self.keys, self.order, self.window = list(keys), list(order), window
-        self.quiet, self.hot_rows = quiet, hot_rows
+        self.quiet, self.hot_rows, self.buckets = quiet, hot_rows, buckets
+
+    def newest(self, spark: SparkSession, batch_id: int) -> dict[int, int] | None:
+        """The batch that wrote each bucket last, as of a batch; None if that has no commit. At most ``buckets`` rows."""
+        try:
+            rows = spark.read.schema("bucket int, batch bigint").parquet(f"{self.state}/commits/batch={batch_id}").collect()
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+        # A marker always has a row, that of bucket -1; a write that was cut short has none.
+        return {r["bucket"]: r["batch"] for r in rows if r["bucket"] >= 0} if rows else None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = batch.withColumn("_batch", F.lit(batch_id).cast("bigint"))
-        if batch_id > 0:
-            past = spark.read.schema(rows.schema).parquet(f"{self.state}/batch={batch_id - 1}")
-            rows = past.unionByName(rows)
-        order = ["_batch", *self.order]  # arrival first
-        keys = self.keys
-        series = rows
-        if self.quiet:
-            series = sessions(rows, keys, self.order[0], order, self.quiet, "_session", self.hot_rows)
-            keys = [*keys, "_session"]
-        made = forecast(series, keys, order, self.window, self.hot_rows)
-        made.filter(F.col("_batch") == batch_id).select(*batch.columns, *FORECAST_COLUMNS).write.mode(
-            "overwrite").parquet(f"{self.out}/batch={batch_id}")
-        latest_rows(rows, self.keys, order, self.window - 1).write.mode("overwrite").parquet(
-            f"{self.state}/batch={batch_id}")
+        if self.newest(spark, batch_id) is not None:
+            return
+        before = self.newest(spark, batch_id - 1) if batch_id > 0 else {}
+        if before is None:
+            raise RuntimeError(f"batch {batch_id - 1} has left no commit in {self.state}")
+        batch = batch.persist()  # it is read for its keys, its forecasts and its state
+        try:
+            bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+            rows = batch.withColumn("_batch", F.lit(batch_id).cast("bigint"))
+            touched = sorted(r["b"] for r in batch.select(bucket.alias("b")).distinct().collect())
+            paths = [f"{self.state}/rows/batch={before[b]}/state_bucket={b}" for b in touched if b in before]
+            if paths:
+                rows = spark.read.schema(rows.schema).parquet(*paths).unionByName(rows)
+            order = ["_batch", *self.order]  # arrival first
+            keys = self.keys
+            series = rows
+            if self.quiet:
+                series = sessions(rows, keys, self.order[0], order, self.quiet, "_session", self.hot_rows)
+                keys = [*keys, "_session"]
+            made = forecast(series, keys, order, self.window, self.hot_rows)
+            made.filter(F.col("_batch") == batch_id).select(*batch.columns, *FORECAST_COLUMNS).write.mode(
+                "overwrite").parquet(f"{self.out}/batch={batch_id}")
+            if touched:
+                last = latest_rows(rows, self.keys, order, self.window - 1).withColumn("state_bucket", bucket)
+                last.repartition("state_bucket").write.partitionBy("state_bucket").mode("overwrite").parquet(
+                    f"{self.state}/rows/batch={batch_id}")
+        finally:
+            batch.unpersist()
+        commit = [(-1, batch_id), *sorted((before | dict.fromkeys(touched, batch_id)).items())]
+        spark.createDataFrame(commit, "bucket int, batch bigint").coalesce(1).write.mode("overwrite").parquet(
+            f"{self.state}/commits/batch={batch_id}")

@@ -6,8 +6,8 @@ from flowrisk.operators.rolling import sessions
 from flowrisk.plans.queries_trend import _OBSERVED
 from flowrisk.plans.registry import scored
 from flowrisk.streaming import live
-from flowrisk.streaming.source import dataset_stream, drain, each_batch, file_stream
-from flowrisk.streaming.trend import TrendBatches, forecast_stream
+from flowrisk.streaming.source import append_to, dataset_stream, drain, each_batch, file_stream, rocksdb_state
+from flowrisk.streaming.trend import TrendBatches, bucket_forecast_stream, forecast_stream
 
 HOST, ORDER = ["host_id"], ["ts", "flow_id"]
 RESULT = ["flow_id", "forecast_risk_score", "forecast_risk_level", "windows_observed", "reason_codes"]
@@ -121,3 +121,104 @@ def test_forecast_columns_of_the_stream(spark, observed, files):
     made = forecast_stream(stream(spark, observed, files), HOST, ORDER)
     assert made.columns == [*observed.columns, *FORECAST_COLUMNS]
     assert made.isStreaming
+
+
+def shuffled(spark, observed, tmp_path):
+    """Each file has rows of the whole time; a last row, much later, lets the watermark pass all others."""
+    path = str(tmp_path / "shuffled")
+    for i in range(5):
+        observed.filter(F.pmod(F.xxhash64("flow_id"), F.lit(5)) == i).coalesce(1).write.mode("append").parquet(path)
+    late = observed.agg(F.max("ts").alias("ts")).select(
+        F.lit(-1).cast("long").alias("flow_id"), F.lit(None).cast("long").alias("host_id"),
+        (F.col("ts") + F.expr("INTERVAL 900 DAYS")).alias("ts"), F.lit("Normal").alias("predicted_label"),
+        F.lit(0.0).alias("forecast_attack_prob"), F.lit(0.0).alias("risk_score"))
+    late.coalesce(1).write.mode("append").parquet(path)
+    return live.event_time(stream(spark, observed, path), late="400 days")
+
+
+@pytest.mark.parametrize("quiet", [None, QUIET])
+def test_rows_out_of_order_are_held_back(spark, observed, tmp_path, quiet):
+    made = forecast_stream(shuffled(spark, observed, tmp_path), HOST, ORDER, ts="ts", hold=True, quiet=quiet)
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "check")
+    append_to(made, out, checkpoint).awaitTermination()
+    same(spark.read.parquet(out).select(RESULT), quiet_batch(observed) if quiet else forecast(observed, HOST, ORDER).select(RESULT))
+    # Only the last row still waits; with quiet periods the others' trends have gone as well.
+    left = spark.read.format("statestore").load(checkpoint).select("key", "value.groupState.*")
+    assert left.filter("waiting is not null").count() == 1
+    assert left.count() == (1 if quiet else 1 + observed.select("host_id").distinct().count())
+
+
+def test_rows_held_back_need_a_time(observed):
+    with pytest.raises(ValueError):
+        forecast_stream(observed, HOST, ["flow_id"], ts="ts", hold=True)
+    with pytest.raises(ValueError):
+        forecast_stream(observed, HOST, ORDER, hold=True)
+
+
+def written_buckets(tmp_path, batch):
+    return {int(p.name.split("=")[1]) for p in (tmp_path / "state" / "rows" / f"batch={batch}").glob("state_bucket=*")}
+
+
+def test_a_batch_rewrites_the_buckets_of_its_keys(spark, observed, tmp_path):
+    writer = TrendBatches(str(tmp_path / "out"), str(tmp_path / "state"), HOST, ORDER, buckets=64)
+    bucket = F.pmod(F.xxhash64("host_id"), F.lit(64))
+    half, few = observed.filter("flow_id < 500"), observed.filter("flow_id >= 500 and host_id in (1, 2, 3)")
+    writer(half, 0)
+    writer(few, 1)
+    touched = {r[0] for r in few.select(bucket).distinct().collect()}
+    assert written_buckets(tmp_path, 1) == touched < written_buckets(tmp_path, 0)
+    assert writer.newest(spark, 1) == {b: 1 if b in touched else 0 for b in written_buckets(tmp_path, 0) | touched}
+    rest = observed.filter("flow_id >= 500 and host_id not in (1, 2, 3)")
+    writer(rest, 2)
+    same(spark.read.parquet(str(tmp_path / "out" / "batch=*")).select(RESULT), forecast(observed, HOST, ORDER).select(RESULT))
+
+
+def test_a_repeated_batch_changes_nothing(spark, observed, tmp_path):
+    writer = TrendBatches(str(tmp_path / "out"), str(tmp_path / "state"), HOST, ORDER)
+    writer(observed.filter("flow_id < 500"), 0)
+    writer(observed.filter("flow_id >= 500"), 1)
+    files = lambda: {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")}
+    before = files()
+    writer(observed.filter("flow_id >= 500"), 1)
+    assert files() == before
+    # Without its commit the batch is made anew, from the state before it.
+    for p in (tmp_path / "state" / "commits" / "batch=1").iterdir():
+        p.unlink()
+    writer(observed.filter("flow_id >= 500"), 1)
+    same(spark.read.parquet(str(tmp_path / "out" / "batch=*")).select(RESULT), forecast(observed, HOST, ORDER).select(RESULT))
+    with pytest.raises(RuntimeError):
+        writer(observed, 7)
+
+
+def test_a_key_of_most_rows_is_no_single_task(spark, observed, tmp_path):
+    rows = observed.withColumn("host_id", F.when(F.col("flow_id") % 10 < 9, -1).otherwise(F.col("host_id")))
+    writer = TrendBatches(str(tmp_path / "out"), str(tmp_path / "state"), HOST, ORDER, hot_rows=60)
+    for i in range(4):
+        writer(rows.filter((F.col("flow_id") >= 250 * i) & (F.col("flow_id") < 250 * i + 250)), i)
+    same(spark.read.parquet(str(tmp_path / "out" / "batch=*")).select(RESULT), forecast(rows, HOST, ORDER).select(RESULT))
+    # The state of the hot key is cut to its last rows before rows are shuffled.
+    from flowrisk.operators.rolling import latest_rows
+    plan = latest_rows(rows, HOST, ORDER, 7)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+    cut = forecast(rows, HOST, ORDER, hot_rows=60)._jdf.queryExecution().executedPlan().toString()
+    assert "_hot" in cut and "_slice" in cut
+
+
+def test_sliding_windows_count_each_row_once_per_pane(spark, observed):
+    from flowrisk.operators.report import sliding_risk
+    made = sliding_risk(observed, "3 hours", "1 hour", keys=HOST)
+    plain = observed.groupBy("host_id", F.window("ts", "3 hours", "1 hour")).agg(F.count(F.lit(1)).alias("flows"), F.max("risk_score").alias("risk_score"))
+    same(made.select("host_id", "window_start", "flows", "risk_score"), plain.select("host_id", "window.start", "flows", "risk_score"))
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Expand") == 1 and plan.index("Aggregate") < plan.index("Expand")  # windows multiply panes, not rows
+
+
+def test_bucket_forecast_runs_two_stateful_operators(spark, observed, files):
+    rows = live.event_time(stream(spark, observed, files), late="0 seconds")
+    with rocksdb_state(spark):
+        made = drain(bucket_forecast_stream(rows, "1 day", HOST))
+    batch = forecast(live.bucket_risk(observed, "1 day", keys=HOST).withColumn(
+        "forecast_attack_prob", F.round("forecast_attack_prob", 6)), HOST, ["bucket_start"])
+    columns = ["host_id", "bucket_start", "windows_observed", "trend_flagged"]
+    assert 0 < made.count() <= batch.count()
+    assert made.select(columns).exceptAll(batch.select(columns)).count() == 0
