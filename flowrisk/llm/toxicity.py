@@ -11,6 +11,12 @@ words, its beginning of three to seven letters. A feature is either telling, tha
 nothing; labelled training texts give the odds for it, starting from ``TELLING``. A
 text's score is that of its most telling feature.
 
+Decoding is exact but dear, so it is done where it can matter. Toxic training texts are
+decoded in full. Their features are counted first in the clean texts' words as they stand;
+most cannot tell any more. A pattern of the others (`admitting`) says whether a lattice can
+spell one of them at all; in clean training texts and in scoring only such stretches are
+decoded. This changes no result: words with no feature in the table have no say.
+
 Defined cases: null and empty texts have no feature and the score of one that says
 nothing; equal texts get equal scores; equal texts of one label count once; labels that are
 null, or of unknown ids, count for nothing, and without toxic labels no feature tells; an
@@ -48,6 +54,8 @@ PURE = 0.995          # share of toxic texts among those with a telling feature
 PREFIXES = range(3, 8)
 SUPPORT = 3           # different toxic texts a telling feature occurs in
 BROADCAST = 300_000   # features sent to every worker; more are joined
+PATTERN = 5_000       # features that are made a pattern; with more of them all stretches are decoded
+BORDERS = 3           # groups of signs at each end of a word that are tried as letters, besides all of them
 TOXIC_FROM = 0.7
 WINDOW, OVERLAP = 400, 200  # signs decoded together, and those shared by neighbouring windows
 WILD_AT = {c: i for i, c in enumerate(LOOKS_LIKE["*"])}
@@ -60,6 +68,7 @@ _SPACED = re.compile(rf"(?<![^\s.,;:!?()]){_ONE}(?:[ .\-_,~'·]{{1,2}}{_ONE}){{3
 _TWISTED = re.compile(rf"[^\W\d_][.\-_~'·]*[{_SYMBOL}]|[{_SYMBOL}][.\-_~'·]*[^\W\d_]|[^\W\d_][.\-_~'·]+[^\W\d_]|(.)\1\1")
 _SIGNS = re.compile(rf"(?=[\d*]*[^\d*])[{_SYMBOL}]{{3,}}")  # a word may hide in signs alone, but not in a number
 _EDGE = " \t\n\r\x0b\x0c.,;:?\"')[]{}>"  # nothing that stands for a letter
+_SEPARATOR_SIGNS = "".join(re.escape(c) for c in SEPARATORS)
 _INNER = re.compile(r"[^\W_](?:.*[^\W_])?", re.S)
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -155,12 +164,14 @@ def decoded(text: str, model: CharacterModel) -> Iterator[list[str]]:
         yield _LETTERS.findall(decode(text[at:at + WINDOW], model))
 
 
-def spaced(text: str, model: CharacterModel) -> Iterator[list[str]]:
-    """Words of the stretches of single characters in a lower-case text.
+def spaced(text: str, model: CharacterModel, admits: re.Pattern | None = None) -> Iterator[list[str]]:
+    """Words of the stretches of single characters in a lower-case text, of those that ``admits`` finds.
 
     Where one word ends there is often left open; so all ends of a decoded word go along.
     """
     for m in _SPACED.finditer(text):
+        if admits is not None and not admits.search(m.group()):
+            continue
         for words in decoded(m.group(), model):
             yield [w[i:] for w in words for i in range(max(1, len(w) - 3))]
 
@@ -168,7 +179,39 @@ def spaced(text: str, model: CharacterModel) -> Iterator[list[str]]:
 def _borders(run: str) -> list[int]:
     """How many signs of a run beside a word may belong to it: none, or whole groups of a sign that stands for a letter."""
     reach = next((k for k, c in enumerate(run) if c not in LOOKS_LIKE and c not in SEPARATORS), len(run))
-    return [0, *[k for k in range(1, reach + 1) if run[k - 1] in LOOKS_LIKE and run[k - 1:k] != run[k:k + 1]]]
+    ends = [k for k in range(1, reach + 1) if run[k - 1] in LOOKS_LIKE and run[k - 1:k] != run[k:k + 1]]
+    return [0, *ends[:BORDERS], *ends[BORDERS:][-1:]]
+
+
+def admitting(features: Iterable[str]) -> re.Pattern:
+    """A pattern found in every lower-case stretch whose lattice can spell a word with one of the features.
+
+    Between the letters of a word a lattice drops separators, and signs that stand for the
+    letter before; so each letter is one or more signs for it, with separators among them.
+    """
+    trie: dict = {}
+    for letters in sorted({f[1:] for f in features}, key=len):
+        node = trie
+        for c in letters:
+            if "" in node:  # a beginning of it is enough
+                break
+            node = node.setdefault(c, {})
+        else:
+            node.clear()
+            node[""] = {}
+    stands = {}
+    for sign, letters in LOOKS_LIKE.items():
+        for c in letters:
+            stands.setdefault(c, set()).add(sign)
+
+    def written_out(node: dict) -> str:
+        branches = []
+        for c, below in node.items():
+            signs = "".join(re.escape(x) for x in sorted({c, *stands.get(c, ())}))
+            branches.append(f"[{signs}]" + ("" if "" in below else f"[{signs}{_SEPARATOR_SIGNS}]*" + written_out(below)))
+        return branches[0] if len(branches) == 1 else "(?:" + "|".join(branches) + ")"
+
+    return re.compile(written_out(trie) if trie else r"(?!)")
 
 
 def readings(token: str) -> list[str]:
@@ -183,10 +226,13 @@ def readings(token: str) -> list[str]:
 
 
 class Restorer:
-    """Words of texts, restored; remembers words it has seen, up to a bound."""
+    """Words of texts, restored; remembers words it has seen, up to a bound.
+
+    With ``admits`` stretches in which it finds nothing are not decoded.
+    """
 
-    def __init__(self, model: CharacterModel):
-        self.model, self.known = model, {}
+    def __init__(self, model: CharacterModel, admits: re.Pattern | None = None):
+        self.model, self.admits, self.known = model, admits, {}
 
     def of_token(self, token: str) -> tuple[str, ...]:
         if token not in self.known:
@@ -195,8 +241,9 @@ class Restorer:
             words = {}
             for core in readings(token):
                 if _TWISTED.search(core) or _SIGNS.fullmatch(core):
-                    for part in decoded(core, self.model):
-                        words.update(dict.fromkeys(part))
+                    if self.admits is None or self.admits.search(core):
+                        for part in decoded(core, self.model):
+                            words.update(dict.fromkeys(part))
                 else:
                     words.update(dict.fromkeys(_LETTERS.findall(core)))
             self.known[token] = tuple(words)
@@ -206,7 +253,7 @@ class Restorer:
         """Distinct restored words of a text, in lower case."""
         text = text.lower()
         found = set()
-        for words in spaced(text, self.model):
+        for words in spaced(text, self.model, self.admits):
             found.update(words)
         for token in set(text.split()):
             found.update(self.of_token(token))
@@ -267,50 +314,74 @@ def _features(word: str) -> list[str]:
     return ["=" + word, *["^" + word[:k] for k in PREFIXES if k < len(word)]]
 
 
-def telling_features(texts: DataFrame, model: CharacterModel) -> tuple[DataFrame, float]:
-    """(feature, chance): features and the chance that a text with one is toxic; and that of any other text.
+def _toxic_words(texts: DataFrame, model: CharacterModel) -> DataFrame:
+    """(word, mark): restored words of the toxic texts, a mark for each text."""
+    def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        restorer = Restorer(model)
+        for batch in batches:
+            found = list({(w, xxhash.xxh3_64_intdigest(t) >> 1) for t in batch["text"] for w in restorer.words(t)})
+            yield pd.DataFrame({"word": pd.Series([w for w, _ in found], dtype=object), "mark": pd.Series([m for _, m in found], dtype="int64")})
 
-    A feature must occur in ``SUPPORT`` different toxic texts, however many there are.
+    return texts.filter("toxic = 1").mapInPandas(words, "word string, mark bigint").distinct()
+
+
+def _clean_words(texts: DataFrame, model: CharacterModel, wanted: list[str] | None, plain: bool = False) -> DataFrame:
+    """(word, clean): the weight of the clean texts that have a word.
+
+    Of words as they stand with ``plain``; else of restored words that have a feature of
+    ``wanted`` (None: of all words).
     """
+    admits = admitting([]) if plain else admitting(wanted) if wanted is not None else None
+    listed = None if wanted is None else frozenset(wanted)
+
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        restorer = Restorer(model)
+        restorer, has = Restorer(model, admits), {}
         for batch in batches:
             clean: Counter = Counter()
-            toxic = set()
-            for text, label, weight in zip(batch["text"], batch["toxic"], batch["weight"]):
-                words = restorer.words(text)
-                if label == 1:
-                    mark = xxhash.xxh3_64_intdigest(text) >> 1
-                    toxic.update((w, mark) for w in words)
-                elif weight == 1.0:
-                    clean.update(words)
-                else:
-                    for w in words:
-                        clean[w] += weight
-            yield pd.DataFrame({"word": pd.Series(list(clean), dtype=object), "mark": pd.array([None] * len(clean), "Int64"),
-                                "clean": pd.Series(list(clean.values()), dtype="float64")})
-            yield pd.DataFrame({"word": pd.Series([w for w, _ in toxic], dtype=object), "mark": pd.array([m for _, m in toxic], "Int64"),
-                                "clean": pd.Series(0.0, index=range(len(toxic)), dtype="float64")})
+            for text, weight in zip(batch["text"], batch["weight"]):
+                for w in restorer.words(text):
+                    if listed is not None:
+                        if w not in has:
+                            has[w] = any(f in listed for f in _features(w))
+                        if not has[w]:
+                            continue
+                    clean[w] += weight
+            if len(has) > 1_000_000:
+                has.clear()
+            yield pd.DataFrame({"word": pd.Series(list(clean), dtype=object), "clean": pd.Series(list(clean.values()), dtype="float64")})
+
+    return texts.filter("toxic = 0").mapInPandas(count, "word string, clean double").groupBy("word").agg(F.sum("clean").alias("clean"))
 
+
+def telling_features(texts: DataFrame, model: CharacterModel) -> tuple[DataFrame, float]:
+    """(feature, chance): features and the chance that a text with one is toxic; and that of any other text.
+
+    A feature must occur in ``SUPPORT`` different toxic texts, however many there are.
+    """
     totals = texts.agg(*[F.coalesce(F.round(F.sum(x), 3), F.lit(0.0)).alias(n) for n, x in (
         ("n", F.col("weight")), ("t", F.when(F.col("toxic") == 1, F.col("weight"))))]).collect()[0]
     rate = (totals["t"] + 0.5) / (totals["n"] + 1.0)
-    words = texts.mapInPandas(count, "word string, mark bigint, clean double").groupBy("word", "mark").agg(F.sum("clean").alias("clean"))
-    words = written(words, "toxic-words")
     prefixes = [F.when(F.length("word") > k, F.concat(F.lit("^"), F.substring("word", 1, k))) for k in PREFIXES]
     listed = F.explode(F.array(F.concat(F.lit("="), "word"), *prefixes)).alias("feature")
-    pairs = words.filter("mark is not null").select(listed, "word", "mark").filter("feature is not null")
+    pairs = written(_toxic_words(texts, model), "toxic-words").select(listed, "word", "mark").filter("feature is not null")
     told = pairs.select("feature", "mark").distinct().groupBy("feature").agg(F.count(F.lit(1)).alias("toxic"))
     # A beginning that owes most to one word says no more than that word.
     most = pairs.groupBy("feature", "word").agg(F.count(F.lit(1)).alias("n")).groupBy("feature").agg(F.max("n").alias("most"))
     told = told.join(most, "feature").filter(F.col("feature").startswith("=") | (F.col("most") <= F.col("toxic") / 2))
-    clean = words.filter("mark is null").select(listed, "clean").filter("feature is not null").groupBy("feature").agg(F.round(F.sum("clean"), 3).alias("clean"))
-    odds = (math.log(TELLING) + F.col("toxic") * math.log(PURE / rate)
-            + F.coalesce("clean", F.lit(0)) * math.log((1 - PURE) / (1 - rate)))
-    likely = told.filter(F.col("toxic") >= SUPPORT)
-    likely = likely.join(clean, "feature", "left").select("feature", odds.alias("odds")).filter("odds > -4.0")
+    told = told.filter(F.col("toxic") >= SUPPORT).select("feature", "toxic")
+
+    def likely(clean_words: DataFrame, told: DataFrame) -> DataFrame:
+        clean = clean_words.select(listed, "clean").filter("feature is not null").groupBy("feature").agg(F.round(F.sum("clean"), 3).alias("clean"))
+        odds = (math.log(TELLING) + F.col("toxic") * math.log(PURE / rate)
+                + F.coalesce("clean", F.lit(0)) * math.log((1 - PURE) / (1 - rate)))
+        return told.join(clean, "feature", "left").withColumn("odds", odds).filter("odds > -4.0")
+
+    # Words as they stand are a part of the restored ones: what cannot tell now, cannot at last.
+    open_ = written(likely(_clean_words(texts, model, None, plain=True), told).select("feature", "toxic"), "toxic-candidates")
+    wanted = [r["feature"] for r in open_.collect()] if open_.count() <= PATTERN else None
+    found = likely(_clean_words(texts, model, wanted), open_)
     telling = 1 / (1 + F.exp(-F.least("odds", F.lit(30.0))))
-    return written(likely.select("feature", (telling * PURE + (1 - telling) * rate).alias("chance")), "toxic-features"), rate
+    return written(found.select("feature", (telling * PURE + (1 - telling) * rate).alias("chance")), "toxic-features"), rate
 
 
 @dataclass
@@ -338,7 +409,9 @@ def score_texts(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = shared.value
-        restorer, tells, known = Restorer(model.characters), model.features, {}
+        tells, known = model.features, {}
+        admits = admitting(tells) if len(tells) <= PATTERN else None
+        restorer = Restorer(model.characters, admits)
 
         def of_words(words) -> float:
             return max([tells[f] for w in words for f in _features(w) if f in tells], default=model.rate)
@@ -349,7 +422,7 @@ def score_texts(docs: DataFrame, model: ToxicityModel) -> DataFrame:
                 if len(known) > 300_000:
                     known.clear()
                 text = text.lower() if isinstance(text, str) else ""
-                best = max([model.rate, *[of_words(words) for words in spaced(text, model.characters)]])
+                best = max([model.rate, *[of_words(words) for words in spaced(text, model.characters, admits)]])
                 for token in set(text.split()):
                     p = known.get(token)
                     if p is None:
