@@ -66,6 +66,7 @@ _ONE = rf"(?:[^\W\d_]|[{_SYMBOL}])"
 # At least four single characters, each set apart from the next.
 _SPACED = re.compile(rf"(?<![^\s.,;:!?()]){_ONE}(?:[ .\-_,~'·]{{1,2}}{_ONE}){{3,}}(?![^\s.,;:!?()])")
 _TWISTED = re.compile(rf"[^\W\d_][.\-_~'·]*[{_SYMBOL}]|[{_SYMBOL}][.\-_~'·]*[^\W\d_]|[^\W\d_][.\-_~'·]+[^\W\d_]|(.)\1\1")
+_TRIPLE = re.compile(r"(.)\1\1")
 _SIGNS = re.compile(rf"(?=[\d*]*[^\d*])[{_SYMBOL}]{{3,}}")  # a word may hide in signs alone, but not in a number
 _EDGE = " \t\n\r\x0b\x0c.,;:?\"')[]{}>"  # nothing that stands for a letter
 _SEPARATOR_SIGNS = "".join(re.escape(c) for c in SEPARATORS)
@@ -164,13 +165,13 @@ def decoded(text: str, model: CharacterModel) -> Iterator[list[str]]:
         yield _LETTERS.findall(decode(text[at:at + WINDOW], model))
 
 
-def spaced(text: str, model: CharacterModel, admits: re.Pattern | None = None) -> Iterator[list[str]]:
-    """Words of the stretches of single characters in a lower-case text, of those that ``admits`` finds.
+def spaced(text: str, model: CharacterModel, admits: tuple[re.Pattern, re.Pattern] | None = None) -> Iterator[list[str]]:
+    """Words of the stretches of single characters in a lower-case text, of those that ``admits`` lets pass.
 
     Where one word ends there is often left open; so all ends of a decoded word go along.
     """
     for m in _SPACED.finditer(text):
-        if admits is not None and not admits.search(m.group()):
+        if admits is not None and not admits[1].search(m.group()):
             continue
         for words in decoded(m.group(), model):
             yield [w[i:] for w in words for i in range(max(1, len(w) - 3))]
@@ -183,11 +184,13 @@ def _borders(run: str) -> list[int]:
     return [0, *ends[:BORDERS], *ends[BORDERS:][-1:]]
 
 
-def admitting(features: Iterable[str]) -> re.Pattern:
-    """A pattern found in every lower-case stretch whose lattice can spell a word with one of the features.
+def admitting(features: Iterable[str]) -> tuple[re.Pattern, re.Pattern]:
+    """Patterns found in every lower-case stretch whose lattice can spell a word with one of the features:
+    one for words as they are decoded, one for their ends as well.
 
     Between the letters of a word a lattice drops separators, and signs that stand for the
     letter before; so each letter is one or more signs for it, with separators among them.
+    A letter is never dropped but for its repetition, so a word begins behind no letter.
     """
     trie: dict = {}
     for letters in sorted({f[1:] for f in features}, key=len):
@@ -211,7 +214,8 @@ def admitting(features: Iterable[str]) -> re.Pattern:
             branches.append(f"[{signs}]" + ("" if "" in below else f"[{signs}{_SEPARATOR_SIGNS}]*" + written_out(below)))
         return branches[0] if len(branches) == 1 else "(?:" + "|".join(branches) + ")"
 
-    return re.compile(written_out(trie) if trie else r"(?!)")
+    found = written_out(trie) if trie else r"(?!)"
+    return re.compile(rf"(?<![^\W\d_]){found}"), re.compile(found)
 
 
 def readings(token: str) -> list[str]:
@@ -228,20 +232,24 @@ def readings(token: str) -> list[str]:
 class Restorer:
     """Words of texts, restored; remembers words it has seen, up to a bound.
 
-    With ``admits`` stretches in which it finds nothing are not decoded.
+    With ``admits``, patterns of `admitting`, stretches in which they find nothing are not decoded.
     """
 
-    def __init__(self, model: CharacterModel, admits: re.Pattern | None = None):
+    def __init__(self, model: CharacterModel, admits: tuple[re.Pattern, re.Pattern] | None = None):
         self.model, self.admits, self.known = model, admits, {}
 
     def of_token(self, token: str) -> tuple[str, ...]:
         if token not in self.known:
             if len(self.known) > 300_000:
                 self.known.clear()
+            plain = token.strip(_EDGE)
+            if plain.isalpha() and not _TRIPLE.search(plain):
+                self.known[token] = (plain,)
+                return self.known[token]
             words = {}
             for core in readings(token):
                 if _TWISTED.search(core) or _SIGNS.fullmatch(core):
-                    if self.admits is None or self.admits.search(core):
+                    if self.admits is None or self.admits[0].search(core):
                         for part in decoded(core, self.model):
                             words.update(dict.fromkeys(part))
                 else:
