@@ -17,9 +17,13 @@ aligned with one head of it, drawn at random, and components of the links found
 built; so three times, with the members outside the head's component. What is left are
 pairs of a bucket in different components, and all of those are aligned at last. So a
 large group of near copies costs a few alignments per member and bucket, and no link
-between components is lost. A bucket whose members agree on four ordered shingles and
-still are mostly dissimilar remains quadratic in its size; its pairs are spread by
-Spark's join and cut by length first.
+between components is lost. Pairs of a bucket of up to ``CROWD`` members are listed by a
+join. Members of a larger one are dealt to blocks of bounded size, and two blocks at a
+time meet in a task, so a text moves once per block and not once per pair. There a pair
+is judged in the first of its common buckets only, by the number of shingles it shares,
+counted for all pairs of a text at once, and by alignment where that number suffices.
+So a bucket whose members agree on four ordered shingles and still are mostly dissimilar
+costs a count for each pair, which stays quadratic in its size, but no row.
 
 Defined cases: empty and null texts are equal texts; texts under five words are one
 shingle; null ids take the class of an equal text with an id, else null; rows with equal
@@ -38,7 +42,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from flowrisk.llm.common import with_table, words_of
 from flowrisk.llm.graph import components
-from flowrisk.llm.rolling import hashed, mix
+from flowrisk.llm.rolling import Texts, hashed, mix
 from flowrisk.session import written
 
 WORDS = 5
@@ -49,6 +53,9 @@ SHORT = 25   # shingles up to which a text has MORE picks
 MORE = 28
 ROUNDING = 1e-9
 HEADS = 3   # turns with a head for each bucket, before pairs are taken singly
+CROWD = 64  # members up to which the pairs of a bucket are listed
+BLOCK = 512   # members of a block, about
+BLOCK_SHINGLES = 500_000   # and their shingles, longer texts aside
 
 
 def _occurrences(keys: np.ndarray) -> np.ndarray:
@@ -89,22 +96,28 @@ def picks(labelled: np.ndarray, sketches: int = SKETCHES, kmers: int = KMERS) ->
     return keys
 
 
+def _labelled(t: Texts) -> list[np.ndarray]:
+    """The labelled shingles of each text, in order."""
+    low, high = t.first[:-1], t.first[1:]
+    count = np.where(high > low, np.maximum(high - low - WORDS + 1, 1), 0)
+    doc = np.repeat(np.arange(len(count)), count)
+    at = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count) + low[doc]
+    shingles = t.span(at, np.minimum(at + WORDS, high[doc]))
+    nth = _occurrences(mix(shingles + mix(doc.astype(np.uint64))))
+    labelled = mix(shingles + nth.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    return np.split(labelled, np.cumsum(count)[:-1])
+
+
 def sketched(docs: DataFrame, sketches: int = SKETCHES, kmers: int = KMERS) -> DataFrame:
     """Per row: doc_id, the 128-bit hash of its words, its number of shingles and its sketch."""
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for t in hashed(batches):
             low, high = t.first[:-1], t.first[1:]
-            count = np.where(high > low, np.maximum(high - low - WORDS + 1, 1), 0)
-            doc = np.repeat(np.arange(len(count)), count)
-            at = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count) + low[doc]
-            shingles = t.span(at, np.minimum(at + WORDS, high[doc]))
-            nth = _occurrences(mix(shingles + mix(doc.astype(np.uint64))))
-            labelled = mix(shingles + nth.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-            keys = [picks(part, sketches, kmers).view(np.int64) if len(part) else []
-                    for part in np.split(labelled, np.cumsum(count)[:-1])]
+            parts = _labelled(t)
+            keys = [picks(part, sketches, kmers).view(np.int64) if len(part) else [] for part in parts]
             yield pd.DataFrame({
                 "doc_id": t.rows["doc_id"].astype("Int64"), "t1": t.span(low, high).view(np.int64),
-                "t2": t.span(low, high, 1).view(np.int64), "n": count, "keys": keys})
+                "t2": t.span(low, high, 1).view(np.int64), "n": [len(part) for part in parts], "keys": keys})
 
     return docs.select("doc_id", "text").mapInPandas(
         sketch, "doc_id bigint, t1 bigint, t2 bigint, n bigint, keys array<bigint>")
@@ -153,20 +166,30 @@ def similarity(a: Sequence, b: Sequence, least: float) -> float:
     return m / (len(a) + len(b) - m)
 
 
+class _Judge:
+    """Whether two texts are near; remembers the shingles of the last texts."""
+
+    def __init__(self, least: float):
+        self.least, self.known = least, {}
+
+    def _hashes(self, text: str) -> list[int]:
+        if text not in self.known:
+            if len(self.known) > 200:
+                self.known.clear()
+            self.known[text] = [hash(s) for s in shingles_of(text)]
+        return self.known[text]
+
+    def __call__(self, a: str, b: str) -> bool:
+        # Hashes can only add matches; the words decide.
+        near = similarity(self._hashes(a), self._hashes(b), self.least) >= self.least
+        return near and similarity(shingles_of(a), shingles_of(b), self.least) >= self.least
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[str, list] = {}
+        near = _Judge(least)
         for batch in batches:
-            keep = []
-            for ta, tb in zip(batch["ta"], batch["tb"]):
-                if len(known) > 200:
-                    known.clear()
-                for t in (ta, tb):
-                    if t not in known:
-                        known[t] = [hash(s) for s in shingles_of(t)]
-                near = similarity(known[ta], known[tb], least) >= least
-                # Hashes can only add matches; the words decide.
-                keep.append(near and similarity(shingles_of(ta), shingles_of(tb), least) >= least)
+            keep = np.array([near(ta, tb) for ta, tb in zip(batch["ta"], batch["tb"])], bool)
             yield batch.loc[keep, ["a", "b"]]
 
     a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
@@ -186,10 +209,17 @@ def _with_heads(placed: DataFrame, turn: int, least: float) -> DataFrame:
     )
 
 
-def _open_pairs(placed: DataFrame, least: float) -> DataFrame:
-    """All pairs of a bucket that still lie in different components and whose lengths allow a link."""
-    mixed = placed.groupBy("key").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).filter("_low < _high")
-    open_ = placed.join(mixed.select("key"), "key", "left_semi")
+def _open(placed: DataFrame) -> DataFrame:
+    """Members of the buckets that still hold several components, with the size of their bucket."""
+    size = placed.groupBy("key").agg(
+        F.min("root").alias("_low"), F.max("root").alias("_high"), F.count(F.lit(1)).alias("_members"),
+        F.sum("n").alias("_shingles")).filter("_low < _high")
+    return placed.join(size.select("key", "_members", "_shingles"), "key")
+
+
+def _open_pairs(open_: DataFrame, least: float) -> DataFrame:
+    """All pairs of a small bucket that still lie in different components and whose lengths allow a link."""
+    open_ = open_.filter(F.col("_members") <= CROWD)
     one, other = open_.alias("x"), open_.alias("y")
     pairs = one.join(other, (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep"))
                      & (F.col("x.root") != F.col("y.root"))
@@ -197,6 +227,66 @@ def _open_pairs(placed: DataFrame, least: float) -> DataFrame:
     return pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
 
 
+def _meeting(least: float, sketches: int, kmers: int):
+    """Links between the members of one or two blocks of a bucket that lie in different components.
+
+    A link joins components at once, so pairs that it puts into one are not judged.
+    """
+    def links(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["n", "rep"], kind="stable")
+        parts = [part for t in hashed(iter([rows[["text"]]])) for part in _labelled(t)]
+        keys = np.zeros((len(rows), sketches + MORE), np.int64)
+        for k, part in enumerate(parts):
+            found = picks(part, sketches, kmers).view(np.int64) if len(part) else np.empty(0, np.int64)
+            keys[k, :len(found)] = found
+        # Of several texts with one id only those with this key belong here.
+        here = np.flatnonzero((keys == rows["key"].iloc[0]).any(axis=1))
+        if len(here) < 2:
+            return pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
+        keys, parts, rows = keys[here], [parts[k] for k in here], rows.iloc[here]
+        turn = int((keys[0] == rows["key"].iloc[0]).argmax())
+        rep, block, text = rows["rep"].to_numpy(), rows["_b"].to_numpy(), rows["text"].to_numpy()
+        root = rows["root"].to_numpy().copy()
+        n = np.array([len(part) for part in parts])
+        first = np.cumsum(n) - n
+        distinct, codes = np.unique(np.concatenate(parts), return_inverse=True)
+        between = rows["_i"].iloc[0] != rows["_j"].iloc[0]
+        near, out = _Judge(least), []
+        marked = np.zeros(len(distinct), bool)
+        for a in range(len(rows)):
+            may = (root != root[a]) & (np.minimum(n, n[a]) >= np.maximum(n, n[a]) * least - ROUNDING)
+            may[:a + 1] = False
+            if between:
+                may &= block != block[a]
+            may[may] = (keys[may, :turn] != keys[a, :turn]).all(axis=1)  # else judged in an earlier bucket
+            if not may.any():
+                continue
+            mine = codes[first[a]:first[a] + n[a]]
+            marked[mine] = True
+            common = np.add.reduceat(marked[codes], first, dtype=np.int64)
+            marked[mine] = False
+            may &= common >= least / (1 + least) * (n + n[a]) - ROUNDING
+            for b in np.flatnonzero(may):
+                if root[a] != root[b] and near(text[a], text[b]):
+                    out.append((min(rep[a], rep[b]), max(rep[a], rep[b])))
+                    root[root == root[b]] = root[a]
+        return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
+
+    return links
+
+
+def _met(open_: DataFrame, texts: DataFrame, least: float, sketches: int, kmers: int) -> DataFrame:
+    """The links of large buckets that still lie in different components, enough to join the components."""
+    blocks = F.ceil(F.greatest(F.col("_members") / BLOCK, F.col("_shingles") / BLOCK_SHINGLES)).cast("long")
+    dealt = (
+        open_.filter(F.col("_members") > CROWD).withColumn("_b", F.pmod(F.xxhash64("rep"), blocks))
+        .withColumn("_x", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+        .select("key", "rep", "root", "n", "_b", F.least("_b", "_x").alias("_i"), F.greatest("_b", "_x").alias("_j"))
+    )
+    rows = dealt.join(texts.withColumnRenamed("doc_id", "rep"), "rep")
+    return rows.groupBy("key", "_i", "_j").applyInPandas(_meeting(least, sketches, kmers), "a bigint, b bigint")
+
+
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY, sketches: int = SKETCHES, kmers: int = KMERS) -> DataFrame:
     """Per row of ``docs``: doc_id, class_id (smallest id reachable by links) and kept."""
     rows = written(sketched(docs, sketches, kmers), "near-sketches")
@@ -218,8 +308,12 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, sketches: int =
         else:
             placed = shared.join(roots, F.col("rep") == F.col("node"), "left").select(
                 "key", "rep", "n", F.coalesce("root", "rep").alias("root"))
-        pairs = _with_heads(placed, turn, least) if turn < HEADS else _open_pairs(placed, least)
-        more = written(_verified(pairs, texts, least), "near-links")
+        if turn < HEADS:
+            more = _verified(_with_heads(placed, turn, least), texts, least)
+        else:
+            open_ = written(_open(placed), "near-open")
+            more = _verified(_open_pairs(open_, least), texts, least).unionByName(_met(open_, texts, least, sketches, kmers))
+        more = written(more, "near-links")
         links = more if links is None else links.unionByName(more)
         roots = components(links)
     found = with_table(members, roots.withColumnRenamed("node", "rep"), ["rep"], "left")

@@ -96,6 +96,25 @@ def test_near_texts_equal_brute_force(spark):
     assert got == classes_of(rows)
 
 
+@pytest.mark.parametrize("members, shingles", [(8, 10_000), (512, 500), (512, 500_000)])
+def test_blocks_of_a_crowded_bucket_equal_brute_force(spark, monkeypatch, members, shingles):
+    monkeypatch.setattr(near_text, "CROWD", 2)
+    monkeypatch.setattr(near_text, "BLOCK", members)
+    monkeypatch.setattr(near_text, "BLOCK_SHINGLES", shingles)
+    rng = random.Random(3)
+    original, rows = words(rng, 120), []
+    for k in range(90):  # most pairs of copies lie just under the threshold
+        ws = list(original)
+        for at in rng.sample(range(len(ws)), rng.randrange(1, 5)):
+            ws[at] = "changed" + str(rng.random())
+        rows.append((k, " ".join(ws)))
+    rows += [(100, rows[7][1]), (101, " ".join(reversed(original))), (7, rows[7][1] + " tail")]
+    want = classes_of(rows)
+    assert len(set(want.values())) > 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in near_text.near_duplicates(docs).collect()} == want
+
+
 def test_near_texts_of_odd_rows(odd_docs, no_docs):
     got = near_text.near_duplicates(odd_docs).collect()
     assert len(got) == odd_docs.count()
