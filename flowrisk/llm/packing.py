@@ -5,10 +5,13 @@ A piece demands tokens, one place among the documents of a sequence and attentio
 Among the open bins the piece goes to the one with the largest weighted dot product of
 demand and residual, or the smallest weighted norm of the residual left, both in shares
 of the capacities; pieces come longest first. Pieces that fill a sequence alone need no
-search. The rest is packed in groups of bounded size by hash; the bins a group leaves
-poorly filled are emptied again and their pieces packed in the next round, together with
-those of many other groups, until one group is left. So only the bins of the last group
-can be poorly filled, however large the input.
+search. The rest is packed in random groups of ``GROUP`` pieces, each a fair sample of all.
+Of the bins a group leaves poorly filled in every capacity it empties the worst again,
+up to ``GROUP / MERGE`` pieces or one bin; they are packed in the next round, together
+with those of ``MERGE`` groups, until one group is left. The other bins stay as they are:
+what found no complement among so many random pieces is not likely to find one among
+more. So no group grows, also where lengths never combine: after the first round it has
+at most ``MERGE`` times the larger of ``GROUP / MERGE`` and a bin's documents.
 
 Defined cases: a null text is an empty one, whose ids are the end id alone; an empty
 table gives an empty result; rows with the same id, and equal rows, are packed one by
@@ -31,8 +34,9 @@ from flowrisk.session import written
 # Words and word parts of which a worker remembers the ids; results don't depend on it.
 CACHE = 400_000
 GROUP = 3_000   # pieces packed together, about
-MERGE = 50      # groups whose poorly filled bins are packed together next
-FULL = 0.995    # token share from which a bin stays as it is
+MERGE = 10      # groups whose poorly filled bins are packed together next
+FULL = 0.995    # share of any capacity from which a bin stays as it is
+STRIDE = 10_000_000   # sequence numbers set aside for a group
 
 
 @dataclass(frozen=True)
@@ -203,19 +207,29 @@ def best_fit(demands: np.ndarray, limits: np.ndarray, weights: Sequence[float],
     return out
 
 
-def _pack(capacity: Capacity, last: bool):
+def _carried(fill: np.ndarray, pieces: np.ndarray, most: int) -> np.ndarray:
+    """Which bins are packed anew: the worst filled, as long as they hold up to ``most`` pieces, one at least."""
+    worst = np.argsort(fill, kind="stable")
+    out = np.zeros(len(fill), bool)
+    out[worst] = np.cumsum(pieces[worst]) <= most
+    out[worst[:1]] = True
+    return out & (fill < FULL)
+
+
+def _pack(capacity: Capacity, last: bool, carry: int):
     limits = np.array([capacity.tokens, capacity.documents, capacity.attention], float)
 
     def group(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable",
+        rows = rows.sort_values(["length", "doc_id", "piece", "_row"], ascending=[False, True, True, True], kind="stable",
                                 na_position="last").reset_index(drop=True)
         length = rows["length"].to_numpy(float)
-        bins = best_fit(np.column_stack([length, np.ones(len(rows)), length ** 2]), limits, capacity.weights, capacity.rule)
-        filled = np.bincount(bins, length)
-        rows["sequence_id"] = rows["_group"].to_numpy() * 1_000_000 + bins
+        demands = np.column_stack([length, np.ones(len(rows)), length ** 2])
+        bins = best_fit(demands, limits, capacity.weights, capacity.rule)
+        rows["sequence_id"] = rows["_group"].to_numpy() * STRIDE + bins
         rows["offset"] = rows.groupby("sequence_id")["length"].cumsum() - rows["length"]
         if not last:
-            rows.loc[filled[bins] < FULL * capacity.tokens, "sequence_id"] = -1
+            fill = np.max([np.bincount(bins, demands[:, k]) / limits[k] for k in range(3)], axis=0)
+            rows.loc[_carried(fill, np.bincount(bins), carry)[bins], "sequence_id"] = -1
         return rows
     return group
 
@@ -225,25 +239,27 @@ def pack(pieces: DataFrame, capacity: Capacity = Capacity(), group: int = GROUP,
 
     No piece may be longer than a sequence, or demand more attention than one has alone.
     """
+    # Rows are numbered in the table, so equal rows and rows without an id are dealt to different groups.
     pieces = written(
         pieces.select("doc_id", "piece", "start", "length", "ids_crc32")
-        .withColumn("sequence_id", F.lit(-1).cast("long")).withColumn("offset", F.lit(0).cast("long")),
+        .withColumn("sequence_id", F.lit(-1).cast("long")).withColumn("offset", F.lit(0).cast("long"))
+        .withColumn("_row", F.monotonically_increasing_id()),
         "pack-pieces")
     alone = F.col("length") >= FULL * capacity.tokens
     rest = pieces.filter(~alone)
     groups = max(1, -(-rest.count() // group))
     # A full piece is a sequence by itself, numbered below zero.
-    done = pieces.filter(alone).withColumn("sequence_id", -F.monotonically_increasing_id() - 1)
-    rows = rest.withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)))
+    done = pieces.filter(alone).withColumn("sequence_id", -F.col("_row") - 1).drop("_row")
+    rows = rest.withColumn("_group", F.pmod(F.xxhash64("_row"), F.lit(groups)))
     first_id = 0
     while True:
-        packed = rows.groupBy("_group").applyInPandas(_pack(capacity, groups == 1), rows.schema)
+        packed = rows.groupBy("_group").applyInPandas(_pack(capacity, groups == 1, group // merge), rows.schema)
         packed = packed.withColumn("sequence_id", F.when(F.col("sequence_id") >= 0, F.col("sequence_id") + first_id)
                                    .otherwise(F.col("sequence_id")))
         if groups == 1:
-            return done.unionByName(packed.drop("_group"))
+            return done.unionByName(packed.drop("_group", "_row"))
         packed = written(packed, "pack-round")
-        done = done.unionByName(packed.filter("sequence_id >= 0").drop("_group"))
+        done = done.unionByName(packed.filter("sequence_id >= 0").drop("_group", "_row"))
         rows = packed.filter("sequence_id < 0").withColumn("_group", F.floor(F.col("_group") / merge).cast("long"))
-        first_id += groups * 1_000_000
+        first_id += groups * STRIDE
         groups = -(-groups // merge)

@@ -137,6 +137,36 @@ def test_every_capacity_binds(rule):
         assert (used[k] > 0.8 * limits[k]).any()
 
 
+@pytest.mark.parametrize("capacity", [packing.Capacity(), packing.Capacity(documents=2), packing.Capacity(attention=4096.0 ** 2 / 4)])
+@pytest.mark.parametrize("low, high", [(2100, 4000), (1, 12), (100, 2040)])
+def test_no_group_grows(spark, monkeypatch, capacity, low, high):
+    rng = random.Random(low)
+    rows = [(None if k % 3 == 0 else k, 0, 0, min(rng.randrange(low, high), int(capacity.attention ** 0.5)), 7) for k in range(3000)]
+    pieces = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    written, carried = packing.written, []
+
+    def watched(df, purpose):
+        out = written(df, purpose)
+        if purpose == "pack-round":
+            carried.append([r["n"] for r in out.filter("sequence_id < 0").groupBy((out["_group"] / 4).cast("int")).agg(
+                packing.F.count("*").alias("n")).collect()])
+        return out
+
+    monkeypatch.setattr(packing, "written", watched)
+    got = packing.pack(pieces, capacity, group=60, merge=4).collect()
+    assert len(got) == len(rows) and len(carried) == 3  # 50, 13, 4 groups, then one
+    assert max((n for ns in carried for n in ns), default=0) <= 4 * max(15, min(capacity.documents, 4096 // low))
+    check_packed(got, 4096)
+    bins = {}
+    for r in got:
+        bins.setdefault(r.sequence_id, []).append(r.length)
+    for ls in bins.values():
+        assert len(ls) <= capacity.documents and sum(n * n for n in ls) <= capacity.attention + 1e-6
+    whole = packing.best_fit(np.array([[r[3], 1, r[3] ** 2] for r in sorted(rows, key=lambda r: -r[3])], float),
+                             np.array([capacity.tokens, capacity.documents, capacity.attention]), capacity.weights)
+    assert len(bins) <= 1.06 * (whole.max() + 1) + 1
+
+
 def test_packing_of_odd_rows(odd_docs, no_docs):
     pieces = packing.tokenized_pieces(odd_docs, queries.tokenizer_path())
     rows = packing.pack(pieces).collect()
