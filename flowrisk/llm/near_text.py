@@ -23,7 +23,8 @@ time meet in a task, so a text moves once per block and not once per pair. There
 is judged in the first of its common buckets only, by the number of shingles it shares,
 counted for all pairs of a text at once, and by alignment where that number suffices.
 So a bucket whose members agree on four ordered shingles and still are mostly dissimilar
-costs a count for each pair, which stays quadratic in its size, but no row.
+costs a count for each pair, which stays quadratic in its size; rows grow with its
+square over ``BLOCK``.
 
 Defined cases: empty and null texts are equal texts; texts under five words are one
 shingle; null ids take the class of an equal text with an id, else null; rows with equal
