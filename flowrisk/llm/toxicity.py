@@ -28,7 +28,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -65,6 +65,8 @@ _SYMBOL = "".join(re.escape(c) for c in LOOKS_LIKE)
 _ONE = rf"(?:[^\W\d_]|[{_SYMBOL}])"
 # At least four single characters, each set apart from the next.
 _SPACED = re.compile(rf"(?<![^\s.,;:!?()]){_ONE}(?:[ .\-_,~'·]{{1,2}}{_ONE}){{3,}}(?![^\s.,;:!?()])")
+# Every such stretch has this after its first character; it starts with a separator, so it is quick to look for.
+_HALF_SPACED = re.compile(rf"[ .\-_,~'·](?={_ONE}[ .\-_,~'·]{{1,2}}{_ONE}[ .\-_,~'·])")
 _TWISTED = re.compile(rf"[^\W\d_][.\-_~'·]*[{_SYMBOL}]|[{_SYMBOL}][.\-_~'·]*[^\W\d_]|[^\W\d_][.\-_~'·]+[^\W\d_]|(.)\1\1")
 _TRIPLE = re.compile(r"(.)\1\1")
 _SIGNS = re.compile(rf"(?=[\d*]*[^\d*])[{_SYMBOL}]{{3,}}")  # a word may hide in signs alone, but not in a number
@@ -170,13 +172,27 @@ def spaced(text: str, model: CharacterModel, admits: tuple[re.Pattern, re.Patter
 
     Where one word ends there is often left open; so all ends of a decoded word go along.
     """
-    for m in _SPACED.finditer(text):
-        if admits is not None and not admits[1].search(m.group()):
+    for stretch in stretches(text):
+        if admits is not None and not admits[1].search(stretch):
             continue
-        for words in decoded(m.group(), model):
+        for words in decoded(stretch, model):
             yield [w[i:] for w in words for i in range(max(1, len(w) - 3))]
 
 
+def stretches(text: str) -> Iterator[str]:
+    """What ``_SPACED`` finds in a text, tried only where one or two signs further on ``_HALF_SPACED`` is found."""
+    end, half = 0, _HALF_SPACED.search(text)
+    while half:
+        at = half.start()
+        for start in range(max(end, at - 2), at):
+            m = _SPACED.match(text, start)
+            if m:
+                yield m.group()
+                end = at = m.end()
+                break
+        half = _HALF_SPACED.search(text, max(at, half.start() + 1))
+
+
 def _borders(run: str) -> list[int]:
     """How many signs of a run beside a word may belong to it: none, or whole groups of a sign that stands for a letter."""
     reach = next((k for k, c in enumerate(run) if c not in LOOKS_LIKE and c not in SEPARATORS), len(run))
@@ -218,6 +234,28 @@ def admitting(features: Iterable[str]) -> tuple[re.Pattern, re.Pattern]:
     return re.compile(rf"(?<![^\W\d_]){found}"), re.compile(found)
 
 
+_SPACE_AFTER = re.compile(r"\s")
+
+
+def admitted_tokens(text: str, starts: re.Pattern) -> set[str]:
+    """The tokens of a lower-case text in which ``starts`` finds a place.
+
+    One search over the text instead of one look-up per token. A match that began in the
+    text before a token may run into it, so ``starts`` matches one sign before the place.
+    """
+    found, end, text = set(), 0, "\n" + text
+    for m in starts.finditer(text):
+        at = m.end()
+        if at < end:
+            continue  # in the token before
+        stop = _SPACE_AFTER.search(text, at)
+        begin, end = at, stop.start() if stop else len(text)
+        while begin and not text[begin - 1].isspace():
+            begin -= 1
+        found.update(text[begin:end].split())
+    return found
+
+
 def readings(token: str) -> list[str]:
     """The stretches of a token that may be a disguised word: signs at its ends hide letters, or are none of the word."""
     token = token.strip(_EDGE)
@@ -232,11 +270,12 @@ def readings(token: str) -> list[str]:
 class Restorer:
     """Words of texts, restored; remembers words it has seen, up to a bound.
 
-    With ``admits``, patterns of `admitting`, stretches in which they find nothing are not decoded.
+    With ``admits``, patterns of `admitting`, tokens and stretches in which they find nothing are left out.
     """
 
     def __init__(self, model: CharacterModel, admits: tuple[re.Pattern, re.Pattern] | None = None):
         self.model, self.admits, self.known = model, admits, {}
+        self.starts = None if admits is None else re.compile(rf"[\W\d_](?={admits[1].pattern})")  # no letter before it, as in ``admits[0]``
 
     def of_token(self, token: str) -> tuple[str, ...]:
         if token not in self.known:
@@ -257,13 +296,17 @@ class Restorer:
             self.known[token] = tuple(words)
         return self.known[token]
 
+    def tokens(self, text: str) -> set[str]:
+        """The tokens of a lower-case text that may have a say."""
+        return set(text.split()) if self.starts is None else admitted_tokens(text, self.starts)
+
     def words(self, text: str) -> set[str]:
-        """Distinct restored words of a text, in lower case."""
+        """Distinct restored words of a text, in lower case; with ``admits`` at least those that they let pass."""
         text = text.lower()
         found = set()
         for words in spaced(text, self.model, self.admits):
             found.update(words)
-        for token in set(text.split()):
+        for token in self.tokens(text):
             found.update(self.of_token(token))
         return found
 
@@ -333,13 +376,27 @@ def _toxic_words(texts: DataFrame, model: CharacterModel) -> DataFrame:
     return texts.filter("toxic = 1").mapInPandas(words, "word string, mark bigint").distinct()
 
 
-def _clean_words(texts: DataFrame, model: CharacterModel, wanted: list[str] | None, plain: bool = False) -> DataFrame:
-    """(word, clean): the weight of the clean texts that have a word.
+def _plain_words(texts: DataFrame) -> DataFrame:
+    """(word, clean): the weight of the clean texts that have a word as a token, but for punctuation around it."""
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            clean: Counter = Counter()
+            for text, weight in zip(batch["text"], batch["weight"]):
+                words = {t if t.isalpha() else t.strip(_EDGE) for t in set(text.lower().split())}
+                if weight == 1.0:
+                    clean.update(words)
+                else:
+                    for w in words:
+                        clean[w] += weight
+            plain = [w for w in clean if w.isalpha() and not _TRIPLE.search(w)]
+            yield pd.DataFrame({"word": pd.Series(plain, dtype=object), "clean": pd.Series([clean[w] for w in plain], dtype="float64")})
 
-    Of words as they stand with ``plain``; else of restored words that have a feature of
-    ``wanted`` (None: of all words).
-    """
-    admits = admitting([]) if plain else admitting(wanted) if wanted is not None else None
+    return texts.filter("toxic = 0").mapInPandas(count, "word string, clean double").groupBy("word").agg(F.sum("clean").alias("clean"))
+
+
+def _clean_words(texts: DataFrame, model: CharacterModel, wanted: list[str] | None) -> DataFrame:
+    """(word, clean): the weight of the clean texts that have a restored word with a feature of ``wanted`` (None: any word)."""
+    admits = admitting(wanted) if wanted is not None else None
     listed = None if wanted is None else frozenset(wanted)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -385,7 +442,7 @@ def telling_features(texts: DataFrame, model: CharacterModel) -> tuple[DataFrame
         return told.join(clean, "feature", "left").withColumn("odds", odds).filter("odds > -4.0")
 
     # Words as they stand are a part of the restored ones: what cannot tell now, cannot at last.
-    open_ = written(likely(_clean_words(texts, model, None, plain=True), told).select("feature", "toxic"), "toxic-candidates")
+    open_ = written(likely(_plain_words(texts), told).select("feature", "toxic"), "toxic-candidates")
     wanted = [r["feature"] for r in open_.collect()] if open_.count() <= PATTERN else None
     found = likely(_clean_words(texts, model, wanted), open_)
     telling = 1 / (1 + F.exp(-F.least("odds", F.lit(30.0))))
@@ -431,7 +488,7 @@ def score_texts(docs: DataFrame, model: ToxicityModel) -> DataFrame:
                     known.clear()
                 text = text.lower() if isinstance(text, str) else ""
                 best = max([model.rate, *[of_words(words) for words in spaced(text, model.characters, admits)]])
-                for token in set(text.split()):
+                for token in restorer.tokens(text):
                     p = known.get(token)
                     if p is None:
                         p = known[token] = of_words(restorer.of_token(token))

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -280,3 +281,37 @@ def test_redaction_and_odd_rows(spark, odd_docs, no_docs):
     assert secrets.scan(odd_docs, model).count() == odd_docs.count()
     assert secrets.fit(secrets.labelled_samples(no_docs)) == [] and secrets.scan(no_docs, []).count() == 0
     assert hashlib.sha256(b"").hexdigest() == docs.select(F.sha2(F.lit(""), 256)).first()[0]
+
+
+def _any_texts(signs, count, seed):
+    rnd = random.Random(seed)
+    return ["".join(rnd.choice(signs) for _ in range(rnd.randint(3, 30))) for _ in range(count)]
+
+
+def test_spaced_stretches_equal_the_plain_search():
+    for text in _any_texts("ab1$ .-_,(!x \n", 30_000, 1):
+        assert list(toxicity.stretches(text)) == [m.group() for m in toxicity._SPACED.finditer(text)]
+
+
+def test_admitted_tokens_lose_no_telling_word():
+    features = {"=idiot", "=scum", "^stup"}
+    model = toxicity.CharacterModel({}, frozenset("abcdefghijklmnopqrstuvwxyz"))
+    restorer = toxicity.Restorer(model, toxicity.admitting(features))
+
+    def telling(tokens):
+        return {w for t in tokens for w in restorer.of_token(t) if features.intersection(toxicity._features(w))}
+
+    found = 0
+    for i, text in enumerate(_any_texts("idiotscup1$!@*. -_'(,x\n3", 8_000, 2)):
+        text += ("", " 1di0t", "\tsc.um!!", "$tupid,a idiots i.d1ot")[i % 4]
+        whole = telling(set(text.split()))
+        assert telling(restorer.tokens(text)) == whole
+        found += bool(whole)
+    assert found > 4_000
+
+
+def test_long_tokens_of_signs_are_read_in_time():
+    model = toxicity.CharacterModel({}, frozenset("abcdefghijklmnopqrstuvwxyz"))
+    begin = time.process_time()
+    toxicity.Restorer(model).of_token("$!@1" * 250 + "word" + "$!@1" * 250)
+    assert time.process_time() - begin < 5
