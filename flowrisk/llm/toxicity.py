@@ -109,6 +109,7 @@ class CharacterModel:
 def decode(noisy: str, model: CharacterModel) -> str:
     """The likeliest clear text of a lower-case stretch. All states are kept, at most the square of the letters at a place."""
     places = [{START + START: (0.0, "", "")}]  # of each state: cost, the state before and what was added
+    known = model._known
     for o in noisy:
         paths = places[-1]
         step: dict[str, tuple[float, str, str]] = {}
@@ -121,6 +122,8 @@ def decode(noisy: str, model: CharacterModel) -> str:
         dense = len(likes) > 2 and len(paths) > 100
         if dense:
             _any_letter(paths, model, step)
+        itself = [(o, 0.0 if o.isalpha() else ODD)]
+        stands = itself + [(c, WILD if len(likes) > 2 else SWAP) for c in likes]
         for state, (cost, *_) in paths.items():
             last = state[1]
             if o in SEPARATORS:
@@ -128,13 +131,13 @@ def decode(noisy: str, model: CharacterModel) -> str:
                 if last != START:
                     offer(START + START, cost + SPLIT + model.cost(state, END), state, " ")
                 continue
-            if o.isalpha():
-                offer(last + o, cost + model.cost(state, o), state, o)
-            else:
-                offer(last + o, cost + ODD + model.cost(state, o), state, o)
-            if not (dense and state[0] in WILD_AT and last in WILD_AT):
-                for c in likes:
-                    offer(last + c, cost + (WILD if len(likes) > 2 else SWAP) + model.cost(state, c), state, c)
+            # Written out without calls: most of the time goes here.
+            for c, price in itself if dense and state[0] in WILD_AT and last in WILD_AT else stands:
+                chance = known.get(state + c)
+                whole = cost + price + (model.cost(state, c) if chance is None else chance)
+                best = step.get(last + c)
+                if best is None or whole < best[0]:
+                    step[last + c] = (whole, state, c)
             if last == o or last in likes and len(likes) <= 2:
                 offer(state, cost + REPEAT, state, "")
         places.append(step)
@@ -161,10 +164,15 @@ def _any_letter(paths: dict, model: CharacterModel, step: dict) -> None:
                 step[b + c] = (best[i][j], letters[first[i][j]] + b, c)
 
 
-def decoded(text: str, model: CharacterModel) -> Iterator[list[str]]:
-    """Words of a decoded stretch, window by window: each word of up to ``OVERLAP`` signs is whole in one of them."""
+def decoded(text: str, model: CharacterModel, admits: re.Pattern | None = None) -> Iterator[list[str]]:
+    """Words of a decoded stretch, window by window: each word of up to ``OVERLAP`` signs is whole in one of them.
+
+    With ``admits`` only of windows in which it is found.
+    """
     for at in range(0, max(len(text) - OVERLAP, 1), WINDOW - OVERLAP):
-        yield _LETTERS.findall(decode(text[at:at + WINDOW], model))
+        part = text[at:at + WINDOW]
+        if admits is None or admits.search(part):
+            yield _LETTERS.findall(decode(part, model))
 
 
 def spaced(text: str, model: CharacterModel, admits: tuple[re.Pattern, re.Pattern] | None = None) -> Iterator[list[str]]:
@@ -173,9 +181,7 @@ def spaced(text: str, model: CharacterModel, admits: tuple[re.Pattern, re.Patter
     Where one word ends there is often left open; so all ends of a decoded word go along.
     """
     for stretch in stretches(text):
-        if admits is not None and not admits[1].search(stretch):
-            continue
-        for words in decoded(stretch, model):
+        for words in decoded(stretch, model, None if admits is None else admits[1]):
             yield [w[i:] for w in words for i in range(max(1, len(w) - 3))]
 
 
@@ -206,18 +212,22 @@ def admitting(features: Iterable[str]) -> tuple[re.Pattern, re.Pattern]:
 
     Between the letters of a word a lattice drops separators, and signs that stand for the
     letter before; so each letter is one or more signs for it, with separators among them.
-    A letter is never dropped but for its repetition, so a word begins behind no letter.
+    A letter is never dropped but for its repetition, so a word begins behind no letter and
+    a whole word ends before none.
     """
-    trie: dict = {}
-    for letters in sorted({f[1:] for f in features}, key=len):
+    trie: dict = {}  # END under the last letter of a whole word, "" alone under that of a beginning
+    for kind, letters in sorted(((f[0], f[1:]) for f in features), key=lambda x: (len(x[1]), x[0])):
         node = trie
         for c in letters:
             if "" in node:  # a beginning of it is enough
                 break
             node = node.setdefault(c, {})
         else:
-            node.clear()
-            node[""] = {}
+            if kind == "^":
+                node.clear()
+                node[""] = {}
+            elif "" not in node:
+                node[END] = {}
     stands = {}
     for sign, letters in LOOKS_LIKE.items():
         for c in letters:
@@ -226,6 +236,9 @@ def admitting(features: Iterable[str]) -> tuple[re.Pattern, re.Pattern]:
     def written_out(node: dict) -> str:
         branches = []
         for c, below in node.items():
+            if c == END:
+                branches.append(r"(?![^\W\d_])")
+                continue
             signs = "".join(re.escape(x) for x in sorted({c, *stands.get(c, ())}))
             branches.append(f"[{signs}]" + ("" if "" in below else f"[{signs}{_SEPARATOR_SIGNS}]*" + written_out(below)))
         return branches[0] if len(branches) == 1 else "(?:" + "|".join(branches) + ")"
@@ -234,25 +247,19 @@ def admitting(features: Iterable[str]) -> tuple[re.Pattern, re.Pattern]:
     return re.compile(rf"(?<![^\W\d_]){found}"), re.compile(found)
 
 
-_SPACE_AFTER = re.compile(r"\s")
-
-
-def admitted_tokens(text: str, starts: re.Pattern) -> set[str]:
-    """The tokens of a lower-case text in which ``starts`` finds a place.
-
-    One search over the text instead of one look-up per token. A match that began in the
-    text before a token may run into it, so ``starts`` matches one sign before the place.
-    """
-    found, end, text = set(), 0, "\n" + text
-    for m in starts.finditer(text):
-        at = m.end()
-        if at < end:
+def tripled(text: str) -> set[str]:
+    """The tokens of a text in which a character comes three times in a row."""
+    signs = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    found, end = set(), 0
+    for at in np.flatnonzero((signs[2:] == signs[1:-1]) & (signs[1:-1] == signs[:-2])).tolist():
+        if at < end or text[at].isspace():
             continue  # in the token before
-        stop = _SPACE_AFTER.search(text, at)
-        begin, end = at, stop.start() if stop else len(text)
+        begin = end = at
         while begin and not text[begin - 1].isspace():
             begin -= 1
-        found.update(text[begin:end].split())
+        while end < len(text) and not text[end].isspace():
+            end += 1
+        found.add(text[begin:end])
     return found
 
 
@@ -270,12 +277,20 @@ def readings(token: str) -> list[str]:
 class Restorer:
     """Words of texts, restored; remembers words it has seen, up to a bound.
 
-    With ``admits``, patterns of `admitting`, tokens and stretches in which they find nothing are left out.
+    With ``features``, tokens and stretches that can spell none of them are left out: of
+    words as they stand those with a feature are picked by look-ups, of all others
+    (with signs, or a character three times in a row) those that `admitting` lets pass.
     """
 
-    def __init__(self, model: CharacterModel, admits: tuple[re.Pattern, re.Pattern] | None = None):
-        self.model, self.admits, self.known = model, admits, {}
-        self.starts = None if admits is None else re.compile(rf"[\W\d_](?={admits[1].pattern})")  # no letter before it, as in ``admits[0]``
+    def __init__(self, model: CharacterModel, features: Iterable[str] | None = None):
+        self.model, self.known, self.admits = model, {}, None
+        if features is not None:
+            features = frozenset(features)
+            self.admits = admitting(features)
+            self.whole = frozenset(f[1:] for f in features if f[0] == "=")
+            self.begins = frozenset(f[1:] for f in features if f[0] == "^")
+            self.lengths = sorted({len(f) for f in self.begins})
+            self.least = frozenset(f[:self.lengths[0]] for f in self.begins)
 
     def of_token(self, token: str) -> tuple[str, ...]:
         if token not in self.known:
@@ -288,20 +303,27 @@ class Restorer:
             words = {}
             for core in readings(token):
                 if _TWISTED.search(core) or _SIGNS.fullmatch(core):
-                    if self.admits is None or self.admits[0].search(core):
-                        for part in decoded(core, self.model):
-                            words.update(dict.fromkeys(part))
+                    for part in decoded(core, self.model, None if self.admits is None else self.admits[0]):
+                        words.update(dict.fromkeys(part))
                 else:
                     words.update(dict.fromkeys(_LETTERS.findall(core)))
             self.known[token] = tuple(words)
         return self.known[token]
 
     def tokens(self, text: str) -> set[str]:
-        """The tokens of a lower-case text that may have a say."""
-        return set(text.split()) if self.starts is None else admitted_tokens(text, self.starts)
+        """The tokens of a lower-case text that may have a say, without punctuation around them."""
+        bare = {t if t.isalpha() else t.strip(_EDGE) for t in set(text.split())}
+        if self.admits is None:
+            return bare
+        found = {t for t in bare if not t.isalpha()}
+        found |= self.whole & bare
+        if self.lengths:
+            n = self.lengths[0]
+            found.update([t for t in bare if t[:n] in self.least and any(t[:k] in self.begins for k in self.lengths)])
+        return found | tripled(text)
 
     def words(self, text: str) -> set[str]:
-        """Distinct restored words of a text, in lower case; with ``admits`` at least those that they let pass."""
+        """Distinct restored words of a text, in lower case; with features at least those that have one."""
         text = text.lower()
         found = set()
         for words in spaced(text, self.model, self.admits):
@@ -396,11 +418,10 @@ def _plain_words(texts: DataFrame) -> DataFrame:
 
 def _clean_words(texts: DataFrame, model: CharacterModel, wanted: list[str] | None) -> DataFrame:
     """(word, clean): the weight of the clean texts that have a restored word with a feature of ``wanted`` (None: any word)."""
-    admits = admitting(wanted) if wanted is not None else None
     listed = None if wanted is None else frozenset(wanted)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        restorer, has = Restorer(model, admits), {}
+        restorer, has = Restorer(model, wanted), {}
         for batch in batches:
             clean: Counter = Counter()
             for text, weight in zip(batch["text"], batch["weight"]):
@@ -475,8 +496,7 @@ def score_texts(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = shared.value
         tells, known = model.features, {}
-        admits = admitting(tells) if len(tells) <= PATTERN else None
-        restorer = Restorer(model.characters, admits)
+        restorer = Restorer(model.characters, tells if len(tells) <= PATTERN else None)
 
         def of_words(words) -> float:
             return max([tells[f] for w in words for f in _features(w) if f in tells], default=model.rate)
@@ -487,7 +507,7 @@ def score_texts(docs: DataFrame, model: ToxicityModel) -> DataFrame:
                 if len(known) > 300_000:
                     known.clear()
                 text = text.lower() if isinstance(text, str) else ""
-                best = max([model.rate, *[of_words(words) for words in spaced(text, model.characters, admits)]])
+                best = max([model.rate, *[of_words(words) for words in spaced(text, model.characters, restorer.admits)]])
                 for token in restorer.tokens(text):
                     p = known.get(token)
                     if p is None:

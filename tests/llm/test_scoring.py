@@ -296,14 +296,14 @@ def test_spaced_stretches_equal_the_plain_search():
 def test_admitted_tokens_lose_no_telling_word():
     features = {"=idiot", "=scum", "^stup"}
     model = toxicity.CharacterModel({}, frozenset("abcdefghijklmnopqrstuvwxyz"))
-    restorer = toxicity.Restorer(model, toxicity.admitting(features))
+    restorer = toxicity.Restorer(model, features)
 
     def telling(tokens):
         return {w for t in tokens for w in restorer.of_token(t) if features.intersection(toxicity._features(w))}
 
     found = 0
     for i, text in enumerate(_any_texts("idiotscup1$!@*. -_'(,x\n3", 8_000, 2)):
-        text += ("", " 1di0t", "\tsc.um!!", "$tupid,a idiots i.d1ot")[i % 4]
+        text += ("", " 1di0t sccummm", "\tsc.um!!", "$tupid,a idiots i.d1ot")[i % 4]
         whole = telling(set(text.split()))
         assert telling(restorer.tokens(text)) == whole
         found += bool(whole)
