@@ -7,9 +7,9 @@ import math
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
-from pyspark.ml.feature import OneHotEncoder
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from flowrisk.functions.numeric import named, number
 from flowrisk.operators.clean import numeric_columns
@@ -82,14 +82,15 @@ def _category(df: DataFrame, name: str) -> Column:
 def one_hot_vectors(df: DataFrame, name: str, out: str) -> DataFrame:
     """``out``: the category of ``name`` as a sparse 0/1 vector, categories in alphabetical order.
 
-    The table of categories stays distributed, so there may be any number of them; a
-    missing value is the category ``missing``.
+    The table of categories stays distributed and the column names none of them, so there
+    may be any number; a missing value is the category ``missing``.
     """
     coded = label_encode(df.withColumn("_category", _category(df, name)), "_category", "_code")
-    most = coded.agg(F.max("_code")).scalar()
-    size = coded.sparkSession.range(1).select(F.coalesce(most, F.lit(0)).cast("double").alias("_code"))
-    encoder = OneHotEncoder(inputCol="_code", outputCol=out, dropLast=False).fit(size)
-    return encoder.transform(coded.withColumn("_code", F.col("_code").cast("double"))).drop("_category", "_code")
+    size = (coded.agg(F.max("_code")).first()[0] or 0) + 1
+    # An encoder would list a name per category in the column's metadata, on the driver.
+    text = F.format_string(f'{{"v":{{"type":0,"size":{size},"indices":[%d],"values":[1.0]}}}}', "_code")
+    vector = F.from_json(text, T.StructType([T.StructField("v", VectorUDT())]))["v"]
+    return coded.withColumn(out, vector.alias(out, metadata={"ml_attr": {"num_attrs": size}})).drop("_category", "_code")
 
 
 def active_columns(df: DataFrame, categorical: Sequence[str] = CATEGORICAL_COLUMNS,

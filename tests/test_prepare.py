@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from flowrisk.operators import clean, prep
 from flowrisk.operators.features import derive_features
+from flowrisk.plans.queries_prepare import repeated_names
 from flowrisk.schema import BASELINE_LEAK_COLUMNS
 from flowrisk.sources.csv_files import csv_headers, csv_paths, read_csv_folder
 from flowrisk.sources.records import from_payloads, from_records, rejected_payloads
@@ -124,6 +125,16 @@ def test_one_hot_vectors(spark):
     assert got == {1: [0, 1, 0], 2: [0, 0, 1], 3: [1, 0, 0], 4: [0, 1, 0]}
 
 
+def test_one_hot_column_names_no_category(spark):
+    df = spark.range(30_000).select(F.concat(F.lit("s"), "id").alias("service"))
+    made = prep.one_hot_vectors(df, "service", "v")
+    assert made.schema["v"].metadata == {"ml_attr": {"num_attrs": 30_000}}
+    vector = made.filter("service = 's7'").first()["v"]
+    code = sorted(f"s{i}" for i in range(30_000)).index("s7")
+    assert (vector.size, vector.indices.tolist(), vector.values.tolist()) == (30_000, [code], [1.0])
+    assert prep.one_hot_vectors(df.limit(0), "service", "v").count() == 0
+
+
 def test_clean_flows(spark):
     rows = [(1.0, " DoS ", "1.1.1.1", 5), (float("inf"), "Normal", "x", 6), (float("nan"), None, "y", 7)]
     df = spark.createDataFrame(rows, "`rate ` double, ` Label` string, ` Src IP` string, id int")
@@ -219,3 +230,11 @@ def test_taxonomy_search_and_filters(spark):
     assert [r["dst_port"] for r in found.collect()] == [443]
     assert clean.search(flows, "80", ["dst_port", "label"]).count() == 1
     assert clean.first_rows(flows, ["dst_port"], 0).count() == 2
+
+
+def test_repeated_names_of_events_in_several_files(spark, tmp_path):
+    event = "id event_id, id % 3 user_id, timestamp_ntz'2024-01-01 00:00:00' ts, 'view' event_type, cast(id % 5 as double) value, '{\"k\": 4}' props"
+    spark.range(40, numPartitions=3).selectExpr(*event.replace(" user_id", " user_id").split(", ")).write.parquet(str(tmp_path / "events.parquet"))
+    made = repeated_names(spark, str(tmp_path))
+    assert made.columns == ["x", "x1", "label"]
+    assert sorted((r["x"], r["x1"]) for r in made.collect()) == [(float(i), i % 5 * 8.0) for i in range(40)]
