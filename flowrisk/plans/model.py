@@ -22,6 +22,22 @@ from flowrisk.schema import CATEGORICAL_COLUMNS
 from flowrisk.sources.records import from_records
 
 
+# Up to this many pairs of row and tree the node of each is kept (4 bytes) from pass to pass;
+# beyond it, every pass goes down the trees again.
+CACHED_IDS = 1_000_000_000
+PART_ROWS = 500_000  # rows of a partition of training data, whose trees' counts lie in memory
+
+
+def spread(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` in partitions for all cores, however few files it comes from.
+
+    A forest reads its rows once per level; each partition adds up histograms of its own, so
+    there are no more of them than cores and the size of partitions ask for.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores * max(1, -(-rows // (PART_ROWS * cores))))
+
+
 @dataclass(frozen=True)
 class ForestParams:
     """Defaults of the production classifier; the baseline uses 100 trees of depth 20."""
@@ -35,12 +51,14 @@ class ForestParams:
     # Memory for the histograms of one pass over the rows: more means fewer passes.
     memory_mb: int = 512
 
-    def classifier(self) -> RandomForestClassifier:
+    def classifier(self, rows: int | None = None) -> RandomForestClassifier:
+        """The learner; the number of ``rows``, if known, decides how it finds a row's node, not which."""
         return RandomForestClassifier(
             featuresCol="features", labelCol="_y", weightCol="_w", numTrees=self.trees,
             maxDepth=self.depth, seed=self.seed, maxBins=self.max_bins, impurity="gini",
             minInstancesPerNode=1, featureSubsetStrategy="sqrt", maxMemoryInMB=self.memory_mb,
-            subsamplingRate=self.subsampling,
+            subsamplingRate=self.subsampling, checkpointInterval=-1,
+            cacheNodeIds=rows is not None and rows * self.trees <= CACHED_IDS,
         )
 
 
@@ -81,14 +99,15 @@ class FlowModel:
         named = {"ml_attr": {"type": "nominal", "name": "_y", "vals": classes}}
         ready = stats.transform(rows).select(
             "features", index[F.col(target)].alias("_y", metadata=named), weight[F.col(target)].alias("_w"))
-        forest = params.classifier().fit(ready)
+        n_samples = sum(n for n, _ in weights.values())
+        forest = params.classifier(n_samples).fit(spread(ready, n_samples))
         info = {
             "model_type": "random forest",
             "classes": classes,
             "feature_count": len(stats.feature_names),
             "features": stats.feature_names,
             "trained_at": datetime.now(timezone.utc).isoformat(),
-            "n_samples": sum(n for n, _ in weights.values()),
+            "n_samples": n_samples,
             "input_schema": {f.name: f.dataType.simpleString() for f in df.schema
                              if f.name != target and f.name not in exclude},
         }

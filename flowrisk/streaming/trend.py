@@ -36,7 +36,7 @@ def _back(values: np.ndarray, steps: int) -> np.ndarray:
     return np.concatenate([np.zeros(steps), values[:len(values) - steps]]) if steps else values
 
 
-def _trend_rows(flags, attack, risk, age, window: int) -> pd.DataFrame:
+def _trend_rows(flags, attack, risk, age, window: int) -> dict[str, np.ndarray]:
     """Trend columns per row; ``age`` is the number of earlier rows in the same series."""
     n = np.minimum(age + 1, window).astype("float64")
     suspicious, a, ia, r, ir = (np.zeros(len(flags)) for _ in range(5))
@@ -50,23 +50,41 @@ def _trend_rows(flags, attack, risk, age, window: int) -> pd.DataFrame:
         ir += i * r_i
     with np.errstate(divide="ignore", invalid="ignore"):
         slope = ((n - 1) / 2 * a - ia) * 12 / (n * (n * n - 1))
-    return pd.DataFrame({
+    return {
         "_n": n.astype("int32"), "_slope": np.where(n >= 2, slope, np.nan),
         "_momentum": (n * r - ir) * 2 / (n * (n + 1)),
         "_suspicious": suspicious.astype("int32"), "_newest": attack,
-    })
+    }
+
+
+def _signals(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Suspicious flag, attack probability and risk of each row; what is missing is 0."""
+    numbers = [rows[c].to_numpy("float64") for c in (ATTACK, RISK)]
+    flags = (rows[LABEL].to_numpy("object") != BENIGN).astype("float64")
+    return flags, *[np.where(np.isnan(x), 0.0, x) for x in numbers]
+
+
+def _in_order(rows: pd.DataFrame, order: Sequence[str]) -> pd.DataFrame:
+    """Sorted rows, missing values first. A key's rows are few, so plain arrays are sorted if they can be."""
+    columns = [rows[c].to_numpy() for c in order]
+    if any(c.dtype.kind not in "iuM" or (c.dtype.kind == "M" and np.isnat(c).any()) for c in columns):
+        return rows.sort_values(list(order), ignore_index=True, na_position="first")
+    at = np.lexsort(columns[::-1])
+    return rows if (at[1:] > at[:-1]).all() else rows.take(at)
+
+
+def _beside(rows: pd.DataFrame, names: Sequence[str], trend: dict[str, np.ndarray]) -> pd.DataFrame:
+    return pd.DataFrame({c: rows[c].array for c in names} | trend, copy=False)
 
 
 def _advance(rows: pd.DataFrame, old: tuple, window: int, times: np.ndarray | None = None,
-             pause: int | None = None) -> tuple[pd.DataFrame, tuple]:
+             pause: int | None = None) -> tuple[dict[str, np.ndarray], tuple]:
     """Trend columns of a key's next rows, in order, and its state after them.
 
     A pause of more than ``pause`` microseconds between ``times`` restarts the trend.
     """
     kept = len(old[0])
-    flags = np.concatenate([old[0], (rows[LABEL] != BENIGN).to_numpy("float64")])
-    attack = np.concatenate([old[1], rows[ATTACK].fillna(0.0).to_numpy("float64")])
-    risk = np.concatenate([old[2], rows[RISK].fillna(0.0).to_numpy("float64")])
+    flags, attack, risk = (np.concatenate([a, b]) for a, b in zip(old, _signals(rows)))
     at = np.arange(len(flags))
     start = np.zeros(len(flags), dtype="int64")
     last = old[3]
@@ -76,9 +94,9 @@ def _advance(rows: pd.DataFrame, old: tuple, window: int, times: np.ndarray | No
         start[restarts] = restarts
         start = np.maximum.accumulate(start)
         last = int(times[-1])
-    trend = _trend_rows(flags, attack, risk, at - start, window).iloc[kept:]
+    trend = {c: v[kept:] for c, v in _trend_rows(flags, attack, risk, at - start, window).items()}
     keep = slice(max(start[-1], len(flags) - window + 1), None)
-    return trend.reset_index(drop=True), (flags[keep].astype("int32").tolist(), attack[keep].tolist(), risk[keep].tolist(), last)
+    return trend, (flags[keep].astype("int32").tolist(), attack[keep].tolist(), risk[keep].tolist(), last)
 
 
 _NOTHING = ([], [], [], None)
@@ -136,16 +154,16 @@ def forecast_stream(detections: DataFrame, keys: Sequence[str], order: Sequence[
         old = state.get if state.exists else (*_NOTHING, None)
         passed = state.getCurrentWatermarkMs() if timed else 0
         parts = _waiting(old[4]) + ([] if state.hasTimedOut else list(batches))
-        rows = pd.concat(parts, ignore_index=True) if parts else None
+        rows = (parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)) if parts else None
         later = None
         if hold and rows is not None:
             due = ~(rows["_at"] > passed * 1000)
             rows, later = rows[due], rows[~due]
         new = old[:4]
         if rows is not None and len(rows):
-            rows = rows.sort_values(order, ignore_index=True, na_position="first")
+            rows = _in_order(rows, order)
             trend, new = _advance(rows, new, window, rows["_at"].to_numpy("int64") if pause is not None else None, pause)
-            yield pd.concat([rows[names], trend], axis=1)
+            yield _beside(rows, names, trend)
         waits = later is not None and len(later) > 0
         if not waits and pause is not None and new[3] is not None and state.hasTimedOut and (new[3] + pause) // 1000 < passed:
             state.remove()
@@ -169,40 +187,60 @@ def forecast_stream(detections: DataFrame, keys: Sequence[str], order: Sequence[
 
 
 class _BucketTrend(StatefulProcessor):
-    """Trend columns of a key's closed buckets; the last ones stay as its state."""
+    """Trend columns of the closed buckets of many keys; the last ones of each stay as state.
+
+    Keys share a state by their hash: reading and writing a state costs more than the
+    arithmetic of a key, and arrays hold the rows of many keys as well as those of one.
+    """
 
-    def __init__(self, names: Sequence[str], bucket: str, window: int):
-        self.names, self.bucket, self.window = list(names), bucket, window
+    def __init__(self, names: Sequence[str], keys: Sequence[str], bucket: str, window: int):
+        self.names, self.keys, self.bucket, self.window = list(names), list(keys), bucket, window
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.tail = handle.getValueState("tail", "flags array<int>, attack array<double>, risk array<double>")
+        self.tails = handle.getValueState("tails", "rows binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         found = pd.concat(list(rows), ignore_index=True).sort_values(self.bucket, ignore_index=True)
-        old = tuple(self.tail.get()) if self.tail.exists() else _NOTHING[:3]
-        trend, new = _advance(found, (*old, None), self.window)
-        self.tail.update(new[:3])
-        yield pd.concat([found[self.names], trend], axis=1)
+        new = found[self.keys].assign(**dict(zip(("_f", "_a", "_r"), _signals(found))), _at=np.arange(len(found)))
+        stored = self.tails.get()
+        # Earlier buckets come first, and the sort by key keeps their order.
+        series = pd.concat([*_waiting(stored[0] if stored else None), new], ignore_index=True)
+        series["_series"] = series.groupby(self.keys, dropna=False, sort=False).ngroup() if self.keys else 0
+        series = series.sort_values("_series", kind="stable", ignore_index=True)
+        age = series.groupby("_series").cumcount().to_numpy()
+        trend = _trend_rows(*[series[c].to_numpy() for c in ("_f", "_a", "_r")], age, self.window)
+        last = series.groupby("_series").tail(self.window - 1)
+        self.tails.update((_stored(last.drop(columns="_series").assign(_at=-1)),))
+        there = series["_at"].to_numpy()
+        made = found.iloc[there[there >= 0]]
+        yield _beside(made, self.names, {c: v[there >= 0] for c, v in trend.items()})
 
     def close(self) -> None:
         pass
 
 
+KEY_PARTS = 1024  # states that the keys of `bucket_forecast_stream` share
+
+
 def bucket_forecast_stream(scored: DataFrame, bucket: str, keys: Sequence[str], ts: str = "ts",
-                           window: int = TREND_WINDOW) -> DataFrame:
+                           window: int = TREND_WINDOW, parts: int = KEY_PARTS) -> DataFrame:
     """Forecast per key after every time bucket, on a stream with a watermark on ``ts``; append mode.
 
     Two stateful operators in a row: the first closes a bucket when the watermark has passed
     it, the second takes closed buckets, which come in order, and keeps the last of each
-    key. Needs the RocksDB state store.
+    key, in one of ``parts`` states by the key's hash. Needs the RocksDB state store.
     """
     _check(window)
     buckets = risk_by_time(scored, bucket, ts, keys, timed=True)
     buckets = buckets.withColumn(ATTACK, half_up(F.col(ATTACK), 6))
     names = [c for c in buckets.columns if c != "bucket_time"]
     schema = T.StructType([buckets.schema[c] for c in names] + _TREND_FIELDS)
-    trend = buckets.groupBy(*keys).transformWithStateInPandas(
-        _BucketTrend(names, "bucket_start", window), schema, "append", "None")
+    # A key with a NULL has a state of its own: beside others it would turn their numbers into floats.
+    part = F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("string")
+    for c in keys:
+        part = F.when(F.col(c).isNull(), F.to_json(F.array(*[F.col(k).cast("string") for k in keys]))).otherwise(part)
+    trend = buckets.withColumn("_part", part).groupBy("_part").transformWithStateInPandas(
+        _BucketTrend(names, keys, "bucket_start", window), schema, "append", "None")
     return _with_outputs(trend, window)
 
 

@@ -187,3 +187,39 @@ def test_encoded(spark):
 def test_unlabelled_training_data(spark):
     with pytest.raises(ValueError):
         FlowModel.fit(spark.range(3))
+
+
+def test_training_rows_lie_on_all_cores(spark, split, monkeypatch):
+    from flowrisk.plans import model as module
+    cores, seen = spark.sparkContext.defaultParallelism, []
+    learner = ForestParams.classifier
+
+    def watched(params, *rows):
+        made = learner(params, *rows)
+        fit = made.fit
+        made.fit = lambda df: (seen.append((df.rdd.getNumPartitions(), made.getCacheNodeIds())), fit(df))[1]
+        return made
+
+    monkeypatch.setattr(ForestParams, "classifier", watched)
+    few = ForestParams(trees=4, depth=6, max_bins=16)
+    kept = FlowModel.fit(split[0].coalesce(1), params=few, exclude=KEYS)
+    monkeypatch.setattr(module, "CACHED_IDS", 100)
+    monkeypatch.setattr(module, "PART_ROWS", 600)
+    sought = FlowModel.fit(split[0].coalesce(1), params=few, exclude=KEYS)
+    assert seen == [(cores, True), (2 * cores, False)]
+    assert kept.info["n_samples"] == sought.info["n_samples"] == 8000
+
+
+def test_kept_node_ids_give_the_same_forest(spark, split):
+    few = ForestParams(trees=6, depth=12)
+    rows = few.classifier(10**12).getCacheNodeIds(), few.classifier(10).getCacheNodeIds()
+    assert rows == (False, True)
+    import flowrisk.plans.model as module
+    made = []
+    for bound in (0, 10**9):
+        module.CACHED_IDS, before = bound, module.CACHED_IDS
+        try:
+            made.append(FlowModel.fit(split[0], params=few, exclude=KEYS).forest.toDebugString.split("\n", 1)[1])
+        finally:
+            module.CACHED_IDS = before
+    assert made[0] == made[1]

@@ -1,3 +1,7 @@
+from pathlib import Path
+
+import pandas as pd
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -6,8 +10,8 @@ from flowrisk.operators.rolling import sessions
 from flowrisk.plans.queries_trend import _OBSERVED
 from flowrisk.plans.registry import scored
 from flowrisk.streaming import live
-from flowrisk.streaming.source import append_to, dataset_stream, drain, each_batch, file_stream, rocksdb_state
-from flowrisk.streaming.trend import TrendBatches, bucket_forecast_stream, forecast_stream
+from flowrisk.streaming.source import append_to, dataset_stream, drain, each_batch, file_stream, replayed, rocksdb_state
+from flowrisk.streaming.trend import TrendBatches, _in_order, bucket_forecast_stream, forecast_stream
 
 HOST, ORDER = ["host_id"], ["ts", "flow_id"]
 RESULT = ["flow_id", "forecast_risk_score", "forecast_risk_level", "windows_observed", "reason_codes"]
@@ -222,3 +226,32 @@ def test_bucket_forecast_runs_two_stateful_operators(spark, observed, files):
     columns = ["host_id", "bucket_start", "windows_observed", "trend_flagged"]
     assert 0 < made.count() <= batch.count()
     assert made.select(columns).exceptAll(batch.select(columns)).count() == 0
+
+
+def test_keys_share_the_states_of_their_buckets(spark, observed, files):
+    host = F.when(F.col("host_id") % 5 > 0, F.col("host_id") + F.lit(2**53 + 1))  # beyond what a float can tell apart, and NULL
+    rows = live.event_time(stream(spark, observed, files).withColumn("host_id", host), late="0 seconds")
+    with rocksdb_state(spark):
+        made = drain(bucket_forecast_stream(rows, "1 day", HOST, parts=2))
+    batch = forecast(live.bucket_risk(observed.withColumn("host_id", host), "1 day", keys=HOST).withColumn(
+        "forecast_attack_prob", F.round("forecast_attack_prob", 6)), HOST, ["bucket_start"])
+    columns = ["host_id", "bucket_start", "windows_observed", "trend_flagged"]
+    assert made.count() > made.select("host_id").distinct().count() > 8
+    assert made.select(columns).exceptAll(batch.select(columns)).count() == 0
+
+
+def test_a_replayed_batch_is_read_by_many_tasks(spark, tmp_path):
+    rows = spark.range(600_000).select(F.xxhash64("id").alias("id"), F.timestamp_seconds("id").alias("ts"))
+    path, _ = replayed(rows, "ts", parts=1)
+    lone, = Path(path.removeprefix("file:")).glob("part-*")
+    assert pq.ParquetFile(str(lone)).num_row_groups > 1
+
+
+@pytest.mark.parametrize("missing", [False, True])
+def test_rows_of_a_key_in_order(missing):
+    rows = pd.DataFrame({"ts": pd.to_datetime([5, 3, 3, 9, 1]), "id": [1, 9, 2, 0, 4], "text": list("edcba")})
+    if missing:
+        rows.loc[3, "ts"] = pd.NaT
+    for order in (["ts", "id"], ["text"], ["id"]):
+        made, plain = _in_order(rows, order), rows.sort_values(order, na_position="first")
+        assert made["id"].tolist() == plain["id"].tolist()
