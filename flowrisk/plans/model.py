@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
@@ -38,6 +40,16 @@ def spread(df: DataFrame, rows: int) -> DataFrame:
     return df.repartition(cores * max(1, -(-rows // (PART_ROWS * cores))))
 
 
+@contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` on the executors' disks while a fit reads it again and again."""
+    df = df.persist(StorageLevel.DISK_ONLY)
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
 @dataclass(frozen=True)
 class ForestParams:
     """Defaults of the production classifier; the baseline uses 100 trees of depth 20."""
@@ -85,22 +97,24 @@ class FlowModel:
         target = find_target(df, label)
         if target is None:
             raise ValueError(f"no {label!r} column among {df.columns}")
-        rows = derive_features(df, derive)
-        stats = fit_stats(rows, categorical, (*exclude, target))
-        # The forest holds a number per class in every leaf, so classes are few.
-        weights = {r[target]: (r["n"], r["weight"]) for r in class_weights(rows, target).collect()}
-        if not weights:
-            raise ValueError("no labelled flow to fit on")
-        classes = sorted(weights)
-        index = F.create_map(*[F.lit(x) for i, c in enumerate(classes) for x in (c, float(i))])
-        weight = F.create_map(*[
-            F.lit(x) for c in classes for x in (c, weights[c][1] if params.balanced else 1.0)])
-        # The metadata tells the learner the classes; without it a scan would count them.
-        named = {"ml_attr": {"type": "nominal", "name": "_y", "vals": classes}}
-        ready = stats.transform(rows).select(
-            "features", index[F.col(target)].alias("_y", metadata=named), weight[F.col(target)].alias("_w"))
-        n_samples = sum(n for n, _ in weights.values())
-        forest = params.classifier(n_samples).fit(spread(ready, n_samples))
+        # Medians, classes and the forest each read the rows several times.
+        with kept(derive_features(df, derive).drop(*exclude)) as rows:
+            stats = fit_stats(rows, categorical, (*exclude, target))
+            # The forest holds a number per class in every leaf, so classes are few.
+            weights = {r[target]: (r["n"], r["weight"]) for r in class_weights(rows, target).collect()}
+            if not weights:
+                raise ValueError("no labelled flow to fit on")
+            classes = sorted(weights)
+            index = F.create_map(*[F.lit(x) for i, c in enumerate(classes) for x in (c, float(i))])
+            weight = F.create_map(*[
+                F.lit(x) for c in classes for x in (c, weights[c][1] if params.balanced else 1.0)])
+            # The metadata tells the learner the classes; without it a scan would count them.
+            named = {"ml_attr": {"type": "nominal", "name": "_y", "vals": classes}}
+            ready = stats.transform(rows).select(
+                "features", index[F.col(target)].alias("_y", metadata=named), weight[F.col(target)].alias("_w"))
+            n_samples = sum(n for n, _ in weights.values())
+            with kept(spread(ready, n_samples)) as dealt:
+                forest = params.classifier(n_samples).fit(dealt)
         info = {
             "model_type": "random forest",
             "classes": classes,

@@ -19,7 +19,7 @@ from flowrisk.plans.registry import HOST, ORDER, flows, query
 from flowrisk.plans.scoring import RESULT_COLUMNS
 from flowrisk.plans.training import score_files, train, train_baseline, train_encoded, training_metadata
 from flowrisk.schema import ALERT_SCORE, BENIGN, CLASSES, LEVELS
-from flowrisk.session import shared_path
+from flowrisk.session import shared_path, written
 from flowrisk.sources.sinks import export_json, export_split
 
 KEYS = ("flow_id", "host_id", "ts", "k")
@@ -36,7 +36,7 @@ def _once(spark, folder, what, make):
 
 
 def _split(spark, folder):
-    rows = random_split(flows(spark, folder), "flow_id", method="md5")
+    rows = _once(spark, folder, "split", lambda: written(random_split(flows(spark, folder), "flow_id", method="md5"), "split"))
     return rows.filter("split = 'train'").drop("split"), rows.filter("split = 'test'").drop("split")
 
 
