@@ -1,5 +1,7 @@
 """Quality bars on the adapter's labels, which are a fixed function of the features."""
 
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -223,3 +225,36 @@ def test_kept_node_ids_give_the_same_forest(spark, split):
         finally:
             module.CACHED_IDS = before
     assert made[0] == made[1]
+
+
+def test_training_rows_are_derived_once(spark, split):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    rows = split[0].filter("flow_id < 500").withColumn("packet_rate", counted("packet_rate"))
+    FlowModel.fit(rows, params=ForestParams(trees=2, depth=3, max_bins=16), exclude=KEYS)
+    n = split[0].filter("flow_id < 500").count()
+    assert n <= seen.value <= 2 * n
+
+
+def test_folds_are_fitted_side_by_side(spark, monkeypatch):
+    from flowrisk.plans import training
+    rows = flows(spark, FOLDER).filter("flow_id < 2000").drop("host_id", "ts", "k")
+    few = ForestParams(trees=2, depth=3, max_bins=16)
+    fit, meet = FlowModel.fit, threading.Barrier(2)
+
+    def fit_together(*args, **options):
+        meet.wait(60)  # breaks if the other fold's fit only starts after this one
+        return fit(*args, **options)
+
+    monkeypatch.setattr(FlowModel, "fit", fit_together)
+    together = cross_validate(rows, "label", "flow_id", 2, few)
+    monkeypatch.setattr(FlowModel, "fit", fit)
+    monkeypatch.setattr(training, "CACHED_IDS", 0)
+    in_turn = cross_validate(rows, "label", "flow_id", 2, few)
+    assert together.count() == in_turn.count() == rows.count()
+    assert together.groupBy("fold").count().exceptAll(in_turn.groupBy("fold").count()).isEmpty()
