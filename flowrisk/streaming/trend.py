@@ -1,7 +1,7 @@
 """The forecast on a stream of detections.
 
-`forecast_stream` keeps each key's last detections in keyed state: only the keys of
-a micro-batch are touched. It counts them as they arrive or, with ``hold``, keeps rows back
+`forecast_stream` keeps each key's last detections in keyed state, many keys in one by their
+hash, and computes them together: a call per key would cost more than its arithmetic. It counts them as they arrive or, with ``hold``, keeps rows back
 until the watermark has passed them and counts them in event order, whatever order they
 arrive in. `TrendBatches` runs the batch forecast on every micro-batch together with
 the last rows of its keys: a key that sends most of the rows is cut into slices like in a
@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -29,7 +29,8 @@ from flowrisk.operators.report import risk_by_time
 from flowrisk.operators.rolling import latest_rows, sessions
 from flowrisk.schema import BENIGN, TREND_WINDOW
 
-_STATE = "flags array<int>, attack array<double>, risk array<double>, last bigint, waiting binary"
+_STATE = "tails binary, waiting binary"
+KEY_PARTS = 1024  # states that the keys of a stream share
 
 
 def _back(values: np.ndarray, steps: int) -> np.ndarray:
@@ -67,7 +68,7 @@ def _signals(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _in_order(rows: pd.DataFrame, order: Sequence[str]) -> pd.DataFrame:
     """Sorted rows, missing values first. A key's rows are few, so plain arrays are sorted if they can be."""
     columns = [rows[c].to_numpy() for c in order]
-    if any(c.dtype.kind not in "iuM" or (c.dtype.kind == "M" and np.isnat(c).any()) for c in columns):
+    if any(c.dtype.kind not in "biuM" or (c.dtype.kind == "M" and np.isnat(c).any()) for c in columns):
         return rows.sort_values(list(order), ignore_index=True, na_position="first")
     at = np.lexsort(columns[::-1])
     return rows if (at[1:] > at[:-1]).all() else rows.take(at)
@@ -77,29 +78,37 @@ def _beside(rows: pd.DataFrame, names: Sequence[str], trend: dict[str, np.ndarra
     return pd.DataFrame({c: rows[c].array for c in names} | trend, copy=False)
 
 
-def _advance(rows: pd.DataFrame, old: tuple, window: int, times: np.ndarray | None = None,
-             pause: int | None = None) -> tuple[dict[str, np.ndarray], tuple]:
-    """Trend columns of a key's next rows, in order, and its state after them.
+def _advance(tails: pd.DataFrame | None, rows: pd.DataFrame, window: int,
+             pause: int | None = None) -> tuple[pd.DataFrame, dict[str, np.ndarray], pd.DataFrame]:
+    """The next rows of many keys, sorted by key, their trend columns, and the last rows after them.
 
-    A pause of more than ``pause`` microseconds between ``times`` restarts the trend.
+    ``rows`` are in order, their keys in ``_key``. A pause of more than ``pause`` microseconds
+    between rows of a key restarts its trend.
     """
-    kept = len(old[0])
-    flags, attack, risk = (np.concatenate([a, b]) for a, b in zip(old, _signals(rows)))
-    at = np.arange(len(flags))
-    start = np.zeros(len(flags), dtype="int64")
-    last = old[3]
+    times = rows["_at"].to_numpy("int64") if pause is not None else np.zeros(len(rows), dtype="int64")
+    new = pd.DataFrame({"_key": rows["_key"].array, **dict(zip(("_f", "_a", "_r"), _signals(rows))), "_t": times,
+                        "_row": np.arange(len(rows))}, copy=False)
+    # Earlier rows come first, and the sort by key keeps their order.
+    series = new if tails is None else pd.concat([tails, new], ignore_index=True)
+    code = pd.factorize(series["_key"])[0]
+    at = np.argsort(code, kind="stable")
+    code, series = code[at], series.take(at)
+    flags, attack, risk, times, row = (series[c].to_numpy() for c in ("_f", "_a", "_r", "_t", "_row"))
+    at = np.arange(len(code))
+    first = np.ones(len(code), dtype=bool)
+    first[1:] = code[1:] != code[:-1]
+    starts = first.copy()
     if pause is not None:
-        before = np.concatenate([[times[0] if last is None else last], times[:-1]])
-        restarts = kept + np.flatnonzero(times - before > pause)
-        start[restarts] = restarts
-        start = np.maximum.accumulate(start)
-        last = int(times[-1])
-    trend = {c: v[kept:] for c, v in _trend_rows(flags, attack, risk, at - start, window).items()}
-    keep = slice(max(start[-1], len(flags) - window + 1), None)
-    return trend, (flags[keep].astype("int32").tolist(), attack[keep].tolist(), risk[keep].tolist(), last)
+        starts[1:] |= (row[1:] >= 0) & (times[1:] - times[:-1] > pause)
+    start = np.maximum.accumulate(np.where(starts, at, 0))
+    fresh = row >= 0
+    trend = {c: v[fresh] for c, v in _trend_rows(flags, attack, risk, at - start, window).items()}
+    ends = np.append(np.flatnonzero(first)[1:], len(code))  # of each row's key, and where its last trend starts
+    end = np.repeat(ends, np.diff(np.append(np.flatnonzero(first), len(code))))
+    last = series[at >= np.maximum(start[end - 1], end - window + 1)].assign(_row=-1)
+    return rows.take(row[fresh]), trend, last
 
 
-_NOTHING = ([], [], [], None)
 _TREND_FIELDS = [
     T.StructField("_n", T.IntegerType()), T.StructField("_slope", T.DoubleType()),
     T.StructField("_momentum", T.DoubleType()), T.StructField("_suspicious", T.IntegerType()),
@@ -129,8 +138,8 @@ def _waiting(stored: bytes | None) -> list[pd.DataFrame]:
 
 def forecast_stream(detections: DataFrame, keys: Sequence[str], order: Sequence[str],
                     window: int = TREND_WINDOW, ts: str | None = None,
-                    quiet: str | None = None, hold: bool = False) -> DataFrame:
-    """Forecast after every detection; append mode.
+                    quiet: str | None = None, hold: bool = False, parts: int = KEY_PARTS) -> DataFrame:
+    """Forecast after every detection; append mode. Keys share ``parts`` states by their hash.
 
     Micro-batches count in arrival order, the rows inside one by ``order``. With ``ts``
     and ``quiet`` (such as ``30 minutes``) a longer pause of a key restarts its trend,
@@ -143,49 +152,72 @@ def forecast_stream(detections: DataFrame, keys: Sequence[str], order: Sequence[
     of keys that send nothing more.
     """
     _check(window)
-    names = detections.columns
     order = list(order)
     if hold and (ts is None or order[0] != ts):
         raise ValueError("rows held back need a time, and an order that begins with it")
     pause = pd.Timedelta(quiet).value // 1000 if quiet else None
     timed = hold or pause is not None
+    # A missing whole number would turn those of other keys in the same state into floats.
+    whole = [f.name for f in detections.schema.fields if isinstance(f.dataType, T.IntegralType)]
+    there = {c: f"_there_{i}" for i, c in enumerate(whole)}
+    sorted_by = [x for c in order for x in ([there[c], c] if c in there else [c])]
 
     def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        old = state.get if state.exists else (*_NOTHING, None)
+        old = state.get if state.exists else (None, None)
         passed = state.getCurrentWatermarkMs() if timed else 0
-        parts = _waiting(old[4]) + ([] if state.hasTimedOut else list(batches))
+        parts = _waiting(old[1]) + ([] if state.hasTimedOut else list(batches))
         rows = (parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)) if parts else None
         later = None
         if hold and rows is not None:
             due = ~(rows["_at"] > passed * 1000)
             rows, later = rows[due], rows[~due]
-        new = old[:4]
+        tails = next(iter(_waiting(old[0])), None)
         if rows is not None and len(rows):
-            rows = _in_order(rows, order)
-            trend, new = _advance(rows, new, window, rows["_at"].to_numpy("int64") if pause is not None else None, pause)
+            rows, trend, tails = _advance(tails, _in_order(rows, sorted_by), window, pause)
             yield _beside(rows, names, trend)
         waits = later is not None and len(later) > 0
-        if not waits and pause is not None and new[3] is not None and state.hasTimedOut and (new[3] + pause) // 1000 < passed:
-            state.remove()
-            return
-        if not waits and new[:3] == _NOTHING[:3] and new[3] is None:
+        wake = [int(later["_at"].min()) // 1000] if waits else []
+        if pause is not None and tails is not None and len(tails):
+            # Keys that fell silent start anew with their next row; those that wait are kept.
+            until = (tails.groupby("_key", sort=False)["_t"].transform("last") + pause) // 1000
+            stays = until >= passed
+            if waits:
+                stays |= tails["_key"].isin(later["_key"])
+            tails = tails[stays]
+            wake += [int(until[stays].min())] if len(tails) else []
+        if not waits and (tails is None or tails.empty):
             if state.exists:
                 state.remove()
             return
-        state.update((*new, _stored(later) if waits else None))
-        wake = [int(later["_at"].min()) // 1000] if waits else []
-        if pause is not None and new[3] is not None:
-            wake.append((new[3] + pause) // 1000)
+        state.update((None if tails is None else _stored(tails), _stored(later) if waits else None))
         if wake:
             state.setTimeoutTimestamp(max(min(wake), passed + 1))
 
     timeout = GroupStateTimeout.EventTimeTimeout if timed else GroupStateTimeout.NoTimeout
     rows = detections.withColumn("_at", F.unix_micros(F.col(ts).cast("timestamp"))) if timed else detections
-    schema = T.StructType(detections.schema.fields + _TREND_FIELDS)
-    trend = rows.groupBy(*keys).applyInPandasWithState(step, schema, _STATE, "append", timeout)
+    rows = rows.withColumn("_key", _key_text(rows, keys))
+    rows = rows.withColumn("_part", F.pmod(F.xxhash64("_key"), F.lit(parts)))
+    rows = rows.withColumns({n: F.col(c).isNotNull() for c, n in there.items()})
+    rows = rows.withColumns({c: F.coalesce(c, F.lit(0).cast(detections.schema[c].dataType)) for c in whole})
+    fields = detections.schema.fields + [T.StructField(n, T.BooleanType()) for n in there.values()]
+    names = [f.name for f in fields]
+    trend = rows.groupBy("_part").applyInPandasWithState(
+        step, T.StructType(fields + _TREND_FIELDS), _STATE, "append", timeout)
+    trend = trend.withColumns({c: F.when(F.col(n), F.col(c)) for c, n in there.items()}).drop(*there.values())
     return _with_outputs(trend, window)
 
 
+def _key_text(df: DataFrame, keys: Sequence[str]) -> Column:
+    """The values of the keys as one text, equal for equal keys only; 0.0 and -0.0 are equal."""
+    def text(c: str) -> Column:
+        kind = df.schema[c].dataType
+        if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+            return (F.col(c) + F.lit(0.0)).cast("string")
+        return F.hex(c) if isinstance(kind, T.BinaryType) else F.col(c).cast("string")
+
+    return F.to_json(F.array(*map(text, keys)))
+
+
 class _BucketTrend(StatefulProcessor):
     """Trend columns of the closed buckets of many keys; the last ones of each stay as state.
 
@@ -219,9 +251,6 @@ class _BucketTrend(StatefulProcessor):
         pass
 
 
-KEY_PARTS = 1024  # states that the keys of `bucket_forecast_stream` share
-
-
 def bucket_forecast_stream(scored: DataFrame, bucket: str, keys: Sequence[str], ts: str = "ts",
                            window: int = TREND_WINDOW, parts: int = KEY_PARTS) -> DataFrame:
     """Forecast per key after every time bucket, on a stream with a watermark on ``ts``; append mode.
