@@ -17,10 +17,12 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from flowrisk.session import written
 
-# A key with more rows than this is hot, and a slice holds about as many.
+# A key with more rows than this is hot, and a slice holds about as many, or `SLICE_ROWS`.
 HOT_ROWS = 2_000_000
 # At most this many keys can be hot: the bound also rises with total rows / MAX_HOT.
 MAX_HOT = 50_000
+# Beyond a slice per shuffle partition, slices hold at least this many rows: each costs a task and a file.
+SLICE_ROWS = 50_000
 
 AddColumns = Callable[[DataFrame, WindowSpec], DataFrame]
 
@@ -145,8 +147,9 @@ def _so_far(window: WindowSpec) -> WindowSpec:
 def _cut(rows: DataFrame, order: Sequence[str], n_rows: int, hot_rows: int) -> DataFrame:
     default = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Slices are listed in small tables that are sent along, so their number has a bound:
-    # like that of a hot key, their size rises with the table.
-    n = max(default, min(-(-n_rows // hot_rows), MAX_HOT))
+    # like that of a hot key, their size rises with the table. Where keys are hot from a few rows
+    # on, slices of as few would make more tasks than work.
+    n = max(default, min(-(-n_rows // max(hot_rows, SLICE_ROWS)), MAX_HOT))
     cut = rows.repartitionByRange(n, "_hot", *order).withColumn("_slice", F.spark_partition_id())
     # Range bounds come from a sample, so the slices must not be computed twice.
     return written(cut, "slices")

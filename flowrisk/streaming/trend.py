@@ -335,7 +335,9 @@ class TrendBatches:
                 "overwrite").parquet(f"{self.out}/batch={batch_id}")
             if touched:
                 last = latest_rows(rows, self.keys, order, self.window - 1).withColumn("state_bucket", bucket)
-                last.repartition("state_bucket").write.partitionBy("state_bucket").mode("overwrite").parquet(
+                # A file per bucket: with a number given they aren't all left to one task, however small.
+                tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+                last.repartition(tasks, "state_bucket").write.partitionBy("state_bucket").mode("overwrite").parquet(
                     f"{self.state}/rows/batch={batch_id}")
         finally:
             batch.unpersist()

@@ -66,3 +66,13 @@ def test_only_the_hot_key_is_cut(skewed):
     assert order.plain.filter("host_id = 0").count() == 0
     largest = order.sliced.groupBy("_slice").count().agg(F.max("count")).first()[0]
     assert largest < order.sliced.count() / 2
+
+
+def test_slices_do_not_grow_with_rows_over_a_small_bound(spark, skewed, monkeypatch):
+    order = KeyOrder.of(skewed.select("host_id", "ts", "flow_id"), ["host_id"], ["ts", "flow_id"], hot_rows=5)
+    assert order.sliced.select("_slice").distinct().count() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Slices shorter than a frame still give the same rows.
+    monkeypatch.setattr("flowrisk.operators.ordered.SLICE_ROWS", 1)
+    cut = KeyOrder.of(skewed.select("host_id", "ts", "flow_id"), ["host_id"], ["ts", "flow_id"], hot_rows=5)
+    assert cut.sliced.select("_slice").distinct().count() > 50
+    same(forecast(skewed, ["host_id"], ["ts", "flow_id"], hot_rows=5), forecast(skewed, ["host_id"], ["ts", "flow_id"]))

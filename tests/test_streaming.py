@@ -271,3 +271,10 @@ def test_rows_of_a_key_in_order(missing):
     for order in (["ts", "id"], ["text"], ["id"]):
         made, plain = _in_order(rows, order), rows.sort_values(order, na_position="first")
         assert made["id"].tolist() == plain["id"].tolist()
+
+
+def test_buckets_of_the_state_are_written_by_many_tasks(spark, observed, tmp_path):
+    TrendBatches(str(tmp_path / "out"), str(tmp_path / "state"), HOST, ORDER)(observed, 0)
+    # A file's name begins with the number of its task.
+    tasks = {p.name.split("-")[1] for p in (tmp_path / "state" / "rows").rglob("part-*.parquet")}
+    assert len(tasks) > 1
