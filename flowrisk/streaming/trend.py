@@ -262,15 +262,19 @@ def bucket_forecast_stream(scored: DataFrame, bucket: str, keys: Sequence[str],
     _check(window)
     buckets = risk_by_time(scored, bucket, ts, keys, timed=True)
     buckets = buckets.withColumn(ATTACK, half_up(F.col(ATTACK), 6))
-    names = [c for c in buckets.columns if c != "bucket_time"]
-    schema = T.StructType([buckets.schema[c] for c in names] + _TREND_FIELDS)
-    # A key with a NULL has a state of its own: beside others it would turn their numbers into floats.
+    # A key with a NULL has a state of its own.
     part = F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("string")
     for c in keys:
         part = F.when(F.col(c).isNull(), F.to_json(F.array(*[F.col(k).cast("string") for k in keys]))).otherwise(part)
-    trend = buckets.withColumn("_part", part).groupBy("_part").transformWithStateInPandas(
+    buckets = buckets.withColumn("_part", part)
+    # Rows of several states come in one table, where a missing whole number would turn the others into floats.
+    whole = {c: buckets.schema[c].dataType for c in keys if isinstance(buckets.schema[c].dataType, T.IntegralType)}
+    buckets = buckets.withColumns({c: F.col(c).cast("string") for c in whole})
+    names = [c for c in buckets.columns if c not in ("bucket_time", "_part")]
+    schema = T.StructType([buckets.schema[c] for c in names] + _TREND_FIELDS)
+    trend = buckets.groupBy("_part").transformWithStateInPandas(
         _BucketTrend(names, keys, "bucket_start", window), schema, "append", "None")
-    return _with_outputs(trend, window)
+    return _with_outputs(trend.withColumns({c: F.col(c).cast(kind) for c, kind in whole.items()}), window)
 
 
 BUCKETS = 1024  # parts of the state of `TrendBatches`
