@@ -55,6 +55,7 @@ PREFIXES = range(3, 8)
 SUPPORT = 3           # different toxic texts a telling feature occurs in
 BROADCAST = 300_000   # features sent to every worker; more are joined
 PATTERN = 5_000       # features that are made a pattern; with more of them all stretches are decoded
+FEW = 12              # states of a path that is found first
 BORDERS = 3           # groups of signs at each end of a word that are tried as letters, besides all of them
 TOXIC_FROM = 0.7
 WINDOW, OVERLAP = 400, 200  # signs decoded together, and those shared by neighbouring windows
@@ -107,10 +108,35 @@ class CharacterModel:
 
 
 def decode(noisy: str, model: CharacterModel) -> str:
-    """The likeliest clear text of a lower-case stretch. All states are kept, at most the square of the letters at a place."""
+    """The likeliest clear text of a lower-case stretch, among all states, at most the square of the letters at a place.
+
+    Where signs for any letter make them many, some path of few states is found first; states
+    that cannot end at its cost, whatever follows, are no part of the likeliest path.
+    """
+    most = _decoded(noisy, model, math.inf, FEW)[1] if noisy.count("*") > 1 else math.inf
+    return _decoded(noisy, model, most, None)[0]
+
+
+def _least(noisy: str) -> Iterator[float]:
+    """Costs that no step over a sign is below, sign by sign."""
+    before = ""  # the last sign but separators
+    for o in noisy:
+        if o in SEPARATORS:
+            yield min(JOIN, SPLIT)
+            continue
+        # Only behind itself a sign for any letter may be a repetition.
+        repeats = o == before or len(LOOKS_LIKE.get(o, "")) <= 2
+        yield 0.0 if o.isalpha() else min(SWAP, WILD, ODD, REPEAT) if repeats else min(WILD, ODD)
+        before = o
+
+
+def _decoded(noisy: str, model: CharacterModel, most: float, few: int | None) -> tuple[str, float]:
+    """The likeliest text and its cost, of paths that cost up to ``most``; of the ``few`` cheapest states at a place, if given."""
     places = [{START + START: (0.0, "", "")}]  # of each state: cost, the state before and what was added
     known = model._known
-    for o in noisy:
+    least = list(_least(noisy)) if most < math.inf else [0.0] * len(noisy)
+    left = sum(least)
+    for o, sure in zip(noisy, least):
         paths = places[-1]
         step: dict[str, tuple[float, str, str]] = {}
 
@@ -140,13 +166,19 @@ def decode(noisy: str, model: CharacterModel) -> str:
                     step[last + c] = (whole, state, c)
             if last == o or last in likes and len(likes) <= 2:
                 offer(state, cost + REPEAT, state, "")
+        if few is not None and len(step) > few:
+            step = dict(sorted(step.items(), key=lambda x: x[1][0])[:few])
+        elif most < math.inf:
+            left -= sure
+            bound = most - left + 1e-6
+            step = {state: found for state, found in step.items() if found[0] <= bound}
         places.append(step)
-    state = min((cost + model.cost(state, END), state) for state, (cost, *_) in places[-1].items())[1]
+    whole, state = min((cost + model.cost(state, END), state) for state, (cost, *_) in places[-1].items())
     out = []
     for step in reversed(places):
         _, state, added = step[state] if state in step else (0.0, state, "")
         out.append(added)
-    return "".join(reversed(out))
+    return "".join(reversed(out)), whole
 
 
 def _any_letter(paths: dict, model: CharacterModel, step: dict) -> None:

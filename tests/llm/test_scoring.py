@@ -315,3 +315,30 @@ def test_long_tokens_of_signs_are_read_in_time():
     begin = time.process_time()
     toxicity.Restorer(model).of_token("$!@1" * 250 + "word" + "$!@1" * 250)
     assert time.process_time() - begin < 5
+
+
+def test_decoding_drops_states_that_cannot_win_and_no_others():
+    rng = random.Random(5)
+    counts = Counter()
+    for w in ["".join(rng.choice("abehost") for _ in range(rng.randrange(2, 8))) for _ in range(200)]:
+        padded = toxicity.START * 2 + w + toxicity.END
+        for i in range(2, len(padded)):
+            for k in range(3):
+                counts[padded[i - 2 + k:i + 1]] += 1.0
+                counts[padded[i - 2 + k:i] + "*"] += 1.0
+    model = toxicity.CharacterModel(dict(counts), frozenset("abehost"))
+    for _ in range(120):
+        noisy = "".join(rng.choice("abest***$1 .-0!z") for _ in range(rng.randrange(1, 12)))
+        whole, cost = toxicity._decoded(noisy, model, math.inf, None)
+        assert toxicity.decode(noisy, model) == whole and cost == pytest.approx(plain_cost(noisy, model))
+    # Fewer steps are looked at where signs for any letter meet.
+    seen, plain = [], model.cost
+    model.cost = lambda before, c: seen.append(c) or plain(before, c)
+    model._known = type("Nothing", (dict,), {"get": lambda self, key, default=None: None})()
+    model.cube()
+    steps = []
+    for decode in (lambda: toxicity._decoded("host***", model, math.inf, None), lambda: toxicity.decode("host***", model)):
+        seen.clear()
+        decode()
+        steps.append(len(seen))
+    assert steps[1] < 0.7 * steps[0], steps
