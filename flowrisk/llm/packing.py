@@ -20,10 +20,12 @@ one; null ids stay null; further columns are ignored.
 
 from __future__ import annotations
 
+import string
 import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -37,6 +39,8 @@ GROUP = 3_000   # pieces packed together, about
 MERGE = 10      # groups whose poorly filled bins are packed together next
 FULL = 0.995    # share of any capacity from which a bin stays as it is
 STRIDE = 10_000_000   # sequence numbers set aside for a group
+LATIN_FROM, LATIN_TO = 0x80, 0xC3  # the largest byte of a word with letters up to U+00FF in UTF-8
+_SIGNS = string.punctuation.replace("'", "").encode()  # an apostrophe may begin a token with letters
 
 
 @dataclass(frozen=True)
@@ -72,8 +76,9 @@ class _WordIds:
     """Ids of words, as little-endian 32-bit bytes.
 
     The tokenizer drops white space and never merges across it, nor across the border of
-    letters and other signs, and it folds case: so a word of ASCII letters, with or without
-    a mark after it, is looked up in lower case and without the mark.
+    letters and other signs, and it folds case: so a word of Latin letters (up to U+00FF, where
+    case and composition have no special cases), with or without signs after it, is looked up
+    in lower case and without the signs.
     """
 
     def __init__(self, path: str):
@@ -98,20 +103,20 @@ class _WordIds:
     def learn(self, words: set[bytes]) -> None:
         """Make the ids of all ``words`` known, new ones in one go."""
         missing = words.difference(self.words.new)
-        parts = {}
+        again, put, parts = self.words.old, self.words.put, {}
         for w in missing:
-            ids = self.words.old.get(w)
+            ids = again.get(w)
             if ids is None:
-                parts[w] = _plain(w.decode())
+                parts[w] = _plain(w)
             else:
-                self.words.put(w, ids)
-        plain = {p: self.plain.get(p) for ps in parts.values() for p in ps}
+                put(w, ids)
+        plain = {p: self.plain.get(p) for p in set(chain.from_iterable(parts.values()))}
         new = [p for p, ids in plain.items() if ids is None]
-        for p, ids in zip(new, self._encoded(new)):
+        for p, ids in zip(new, self._encoded([p.decode() for p in new])):
             plain[p] = ids
             self.plain.put(p, ids)
         for w, ps in parts.items():
-            self.words.put(w, plain[ps[0]] if len(ps) == 1 else b"".join([plain[p] for p in ps]))
+            put(w, plain[ps[0]] if len(ps) == 1 else plain[ps[0]] + plain[ps[1]])
 
     def of(self, words: list[bytes]) -> bytes:
         known = self.words.new
@@ -123,18 +128,21 @@ class _WordIds:
     def _one(self, word: bytes) -> bytes:
         ids = self.words.new.get(word)
         ids = self.words.old.get(word) if ids is None else ids
-        return b"".join(self._encoded(list(_plain(word.decode())))) if ids is None else ids
+        return b"".join(self._encoded([p.decode() for p in _plain(word)])) if ids is None else ids
 
 
-def _plain(word: str) -> tuple[str, ...]:
-    """The parts of a word that the tokenizer encodes apart in any case."""
-    if not word.isascii():
-        return (word,)
-    if word.isalpha():
+def _plain(word: bytes) -> tuple[bytes, ...]:
+    """The parts of a word that the tokenizer encodes apart in any case: its letters in lower case, and signs behind them."""
+    if word.isalpha():  # ASCII letters alone
         return (word.lower(),)
-    if word[-1] in ".,;:!?" and word[:-1].isalpha():
-        return word[:-1].lower(), word[-1]
-    return (word,)
+    stem = word.rstrip(_SIGNS)
+    if stem.isalpha():
+        low = stem.lower()
+    elif stem and LATIN_FROM <= max(stem) <= LATIN_TO and (text := stem.decode()).isalpha():
+        low = text.lower().encode()
+    else:
+        return (word,)
+    return (low,) if len(stem) == len(word) else (low, word[len(stem):])
 
 
 @lru_cache(maxsize=2)

@@ -254,3 +254,12 @@ def test_mix_stage_takes_what_the_mix_says(spark, folder):
     assert {r.doc_id: r["count"] for r in out.groupBy("doc_id").count().collect()} == want
     assert out.select(n_words(out["text"]).alias("n")).agg({"n": "sum"}).first()[0] == pytest.approx(
         1.5 * docs.select(n_words(docs["text"]).alias("n")).agg({"n": "sum"}).first()[0], rel=0.05)
+
+
+def test_words_that_differ_in_case_or_signs_are_encoded_once():
+    known = packing._WordIds(queries.tokenizer_path())
+    words = ["Été", "été.", "ÉTÉ,%%%", "mot", "Mot###", "mot!?", "l'été", "İx.", "क़.", "ÿ²", "$$", "don't.", "a's!"]
+    known.learn({w.encode() for w in words})
+    for w in words:
+        assert np.frombuffer(known.of([w.encode()]), "<u4").tolist() == known.tokenizer.encode(w, add_special_tokens=False).ids, w
+    assert {packing._plain(w.encode())[0] for w in words[:6]} == {"été".encode(), b"mot"}
