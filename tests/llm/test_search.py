@@ -86,6 +86,26 @@ def test_collocations_of_odd_rows(odd_docs):
     assert listed(collocations.collocations(odd_docs, support=4)) == plain_collocations(rows, 4, 2000)
 
 
+@pytest.mark.parametrize("gate", [4_000_000, 100, 0])
+def test_collocations_list_a_phrase_about_once(spark, monkeypatch, gate):
+    # The same 144 pairs and longer phrases in each of twelve files.
+    rows = [(i, " ".join(f"w{j}" for j in range(50)), "en", "s", 1) for i in range(120)]
+    frame, made = type(spark.range(0)), []
+    plain = frame.distinct
+    monkeypatch.setattr(frame, "distinct", lambda self: (made.append(self.count() if "words" in self.columns else 0), plain(self))[1])
+    docs = spark.createDataFrame(rows, DOCS).repartition(12, "doc_id")
+    assert listed(collocations.collocations(docs, gate_rows=gate)) == plain_collocations(rows, 30, 2000)
+    assert 49 + 48 + 47 <= sum(made) <= 2 * (49 + 48 + 47)
+
+
+@pytest.mark.parametrize("gate,trie", [(4_000_000, 1_000_000), (4_000_000, 40), (5, 1_000_000)])
+def test_collocations_of_phrases_that_share_hashes(spark, phrase_docs, monkeypatch, gate, trie):
+    monkeypatch.setattr(collocations, "BITS", 5)
+    docs = spark.createDataFrame(phrase_docs, DOCS).repartition(5)
+    made = collocations.collocations(docs, support=6, gate_rows=gate, trie_rows=trie)
+    assert listed(made) == plain_collocations(phrase_docs, 6, 2000)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 12), min_size=1, max_size=4).map(tuple), max_size=40, unique=True), st.lists(st.integers(0, 13), max_size=60))
 def test_double_array_counts(phrases, line):
