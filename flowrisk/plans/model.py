@@ -10,7 +10,7 @@ from datetime import datetime, timezone
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -19,22 +19,23 @@ from flowrisk.operators.clean import clean_flows, find_target, trim_names
 from flowrisk.operators.explore import class_weights
 from flowrisk.operators.features import derive_features
 from flowrisk.operators.prep import FitStats, fit_stats
+from flowrisk.plans.forest import Forest
 from flowrisk.plans.scoring import RESULT_COLUMNS, add_risk, with_forecast
 from flowrisk.schema import CATEGORICAL_COLUMNS
 from flowrisk.sources.records import from_records
 
 
-# Up to this many pairs of row and tree the node of each is kept (4 bytes) from pass to pass;
-# beyond it, every pass goes down the trees again.
+# Up to this many pairs of row and tree a fit's binned rows are kept in memory from pass to pass,
+# and folds are fitted side by side; beyond it they lie on disk alone.
 CACHED_IDS = 1_000_000_000
-PART_ROWS = 500_000  # rows of a partition of training data, whose trees' counts lie in memory
+PART_ROWS = 500_000  # rows of a partition of training data
 
 
 def spread(df: DataFrame, rows: int) -> DataFrame:
     """``df`` in partitions for all cores, however few files it comes from.
 
-    A forest reads its rows once per level; each partition adds up histograms of its own, so
-    there are no more of them than cores and the size of partitions ask for.
+    A forest's passes add up counts in every task, so there are no more partitions than cores
+    and their size ask for.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores * max(1, -(-rows // (PART_ROWS * cores))))
@@ -63,9 +64,9 @@ class ForestParams:
     # Memory for the histograms of one pass over the rows: more means fewer passes.
     memory_mb: int = 512
 
-    def classifier(self, rows: int | None = None) -> RandomForestClassifier:
-        """The learner; the number of ``rows``, if known, decides how it finds a row's node, not which."""
-        return RandomForestClassifier(
+    def classifier(self, rows: int | None = None) -> Forest:
+        """The learner; the number of ``rows``, if known, decides where it keeps them, not what it learns."""
+        return Forest(
             featuresCol="features", labelCol="_y", weightCol="_w", numTrees=self.trees,
             maxDepth=self.depth, seed=self.seed, maxBins=self.max_bins, impurity="gini",
             minInstancesPerNode=1, featureSubsetStrategy="sqrt", maxMemoryInMB=self.memory_mb,
