@@ -114,11 +114,11 @@ def _drawn(rules: Rules, table: tuple, part: int, chunk: int, tree: int, n: int)
     """Rows of a chunk that a tree draws, and how often."""
     bounds, counts = table
     random = np.random.Generator(np.random.SFC64([rules.seed % 2**64, part, chunk, tree])).integers(0, 2**32, n, np.uint32)
-    c = counts[random >> np.uint32(16)]
+    c = counts.take(random >> np.uint32(16))
     open_ = np.flatnonzero(c == 255)
-    c[open_] = np.searchsorted(bounds, random[open_].astype("uint64"), side="right")
-    rows = np.flatnonzero(c)
-    return rows, c[rows]
+    c[open_] = np.searchsorted(bounds, random.take(open_).astype("uint64"), side="right")
+    rows = np.flatnonzero(c != 0)
+    return rows, c.take(rows)
 
 
 def _counted(rules: Rules, x: np.ndarray, n: int, chosen: np.ndarray, rows: np.ndarray, slot: np.ndarray,
@@ -128,7 +128,7 @@ def _counted(rules: Rules, x: np.ndarray, n: int, chosen: np.ndarray, rows: np.n
     base, out = slot * rules.cells + y, np.zeros(len(chosen) * rules.cells)
     at = chosen * n
     for j in range(rules.chosen):
-        cell = x[at[:, j][slot] + rows].astype(np.int64)
+        cell = x.take(at[:, j].take(slot) + rows).astype(np.int64)
         cell *= classes
         cell += base
         cell += j * rules.bins * classes
@@ -240,11 +240,17 @@ def _walk(x: np.ndarray, n: int, rows: np.ndarray, c: np.ndarray, path: list[tup
         if feature is None:  # the root itself
             to = np.full(len(rows), code[0])
         else:
-            to = code[2 * slot + (x[feature[slot] * n + rows] > bin_[slot])]
-        small = np.flatnonzero(to < -1)
-        yield rows[small], c[small], -2 - to[small]
-        on = np.flatnonzero(to >= 0)
-        rows, c, slot = rows[on], c[on], to[on]
+            right = x.take((feature * n).take(slot) + rows) > bin_.astype(x.dtype).take(slot)
+            slot *= 2
+            slot += right
+            to = code.take(slot)
+        if code.min() < -1:
+            small = np.flatnonzero(to < -1)
+            yield rows.take(small), c.take(small), -2 - to.take(small)
+        if code.min() < 0:
+            on = np.flatnonzero(to >= 0)
+            rows, c, to = rows.take(on), c.take(on), to.take(on)
+        slot = to
     yield rows, c, slot
 
 
@@ -334,6 +340,8 @@ def _grown(binned: DataFrame, rules: Rules, paths: dict[int, list], small: dict[
             by_feature, y = x.reshape(-1, n), y.astype(np.uint16)
             for tree in trees:
                 *found, _ = _walk(x, n, *_drawn(rules, table, part, chunk, tree, n), paths[tree])
+                if not found:
+                    continue
                 rows, c, number = (np.concatenate(v) for v in zip(*found))
                 group = groups[tree][number]
                 order = np.argsort(group.astype(np.uint16) if group.size and groups[tree][-1] < 65536 else group, kind="stable")
